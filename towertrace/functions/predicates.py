@@ -1,0 +1,16 @@
+"""Predicates shared by the join operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def overlaps(a_enter: Column, a_exit: Column, b_enter: Column, b_exit: Column) -> Column:
+    """Closed-interval overlap: touching ends count."""
+    return (a_enter <= b_exit) & (a_exit >= b_enter)
+
+
+def not_equal_or_null(c: Column, value) -> Column:
+    """`c is null or c <> value` without three-valued surprises."""
+    return ~c.eqNullSafe(F.lit(value))

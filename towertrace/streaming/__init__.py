@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference works on static tables and files only: no stream source,
+watermark, event-time window or state store.  Nothing is built here; every
+operator of this package is a batch DataFrame operator.
+"""
