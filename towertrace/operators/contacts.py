@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import overlaps
 from ..schema import DAY_BUCKET
+from .intervals import bucket_of
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -87,10 +88,7 @@ def overlapping_stays_sweep(all_stays: DataFrame, subject_stays: DataFrame,
         "cellid", F.col("exit_time").alias("_key"), F.lit(None).cast("long").alias("_val"),
         F.lit(1).alias("_kind"), "phone", "enter_time", "exit_time")
     u = subj.unionByName(alls)
-    if bucket_span is None:
-        u = u.withColumn("_b", F.lit(0).cast("long"))
-    else:
-        u = u.withColumn("_b", F.expr(f"_key div {int(bucket_span)}"))
+    u = u.withColumn("_b", bucket_of("_key", bucket_span))
     wl = Window.partitionBy("cellid", "_b").orderBy("_key", "_kind").rowsBetween(UNB, 0)
     u = u.withColumn("_m", F.max("_val").over(wl))
     bk = u.groupBy("cellid", "_b").agg(F.max("_val").alias("_bm"))
@@ -161,10 +159,7 @@ def overlap_counts(subject_stays: DataFrame, all_stays: DataFrame,
     u = (starts.select("cellid", "_key", "_kind", *nul)
          .unionByName(ends.select("cellid", "_key", "_kind", *nul))
          .unionByName(probe_x).unionByName(probe_e))
-    if bucket_span is None:
-        u = u.withColumn("_b", F.lit(0).cast("long"))
-    else:
-        u = u.withColumn("_b", F.expr(f"_key div {int(bucket_span)}"))
+    u = u.withColumn("_b", bucket_of("_key", bucket_span))
     # ordering at equal key: end-probe(-1) < start(0) < end(1) < exit-probe(2)
     wl = Window.partitionBy("cellid", "_b").orderBy("_key", "_kind").rowsBetween(UNB, 0)
     u = (u.withColumn("_ns", F.sum((F.col("_kind") == 0).cast("long")).over(wl))

@@ -16,6 +16,9 @@ further shuffle, ordered per key with a window over the (small) summary
 rows, and joined back only to the rows that sit on a bucket edge or to
 pre-aggregated segment rows.  `bucket_span=None` puts each key in a single
 bucket (the same plan, one bucket per key).
+
+All aggregates are scalar (no struct min/max), so Spark keeps hash
+aggregation and the summary branch reuses the events shuffle.
 """
 
 from __future__ import annotations
@@ -32,12 +35,19 @@ UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
 
 
-def _bucket(df: DataFrame, bucket_span: int | None, col: str = "times") -> DataFrame:
+def bucket_of(col: str, bucket_span: int | None) -> F.Column:
+    """Time bucket of `col`.  Never null (a null time falls in bucket 0),
+    so Spark infers no extra filter on one side of a summary join and both
+    sides keep reusing one shuffle of the input."""
     if bucket_span is None:
-        return df.withColumn("_b", F.lit(0).cast("long"))
+        return F.lit(0).cast("long")
     if int(bucket_span) <= 0:
         raise ValueError("bucket_span must be positive")
-    return df.withColumn("_b", F.expr(f"`{col}` div {int(bucket_span)}"))
+    return F.coalesce(F.expr(f"`{col}` div {int(bucket_span)}"), F.lit(0).cast("long"))
+
+
+def _bucket(df: DataFrame, bucket_span: int | None, col: str = "times") -> DataFrame:
+    return df.withColumn("_b", bucket_of(col, bucket_span))
 
 
 def _events(df: DataFrame) -> DataFrame:
@@ -57,14 +67,29 @@ def _buckets():
     return Window.partitionBy(*KEY).orderBy("_b")
 
 
+def _edges(x: DataFrame, wl) -> DataFrame:
+    """`_prv` / `_nxt`: the neighbouring codes inside the bucket (null on
+    the bucket's first / last row)."""
+    return (x.withColumn("_prv", F.lag("register").over(wl))
+             .withColumn("_nxt", F.lead("register").over(wl)))
+
+
+def _at_last(c: str) -> F.Column:
+    """Value of `c` on the bucket's last row (as an aggregate)."""
+    return F.max(F.when(F.col("_nxt").isNull(), F.col(c)))
+
+
+def _at_first(c: str) -> F.Column:
+    """Value of `c` on the bucket's first row (as an aggregate)."""
+    return F.max(F.when(F.col("_prv").isNull(), F.col(c)))
+
+
 def _project(df: DataFrame, include_phone: bool) -> DataFrame:
     cols = STAY_COLUMNS if include_phone else STAY_COLUMNS[1:]
     return df.select(*cols)
 
 
-# --------------------------------------------------------------------------
-# robust: state machine with look-ahead
-# --------------------------------------------------------------------------
+# --- robust: state machine with look-ahead -------------------------------
 
 def robust(events: DataFrame, include_phone: bool = True,
            bucket_span: int | None = DAY_BUCKET) -> DataFrame:
@@ -78,23 +103,23 @@ def robust(events: DataFrame, include_phone: bool = True,
     an enter yields (its first enter, its close).
     """
     wl = _local_window()
-    x = _bucket(_events(events), bucket_span)
-    x = x.withColumn("_nxt", F.lead("register").over(wl))
+    x = _edges(_bucket(_events(events), bucket_span), wl)
     x = x.withColumn("_ic", ((F.col("register") == EXIT) & (F.col("_nxt") == ENTER)).cast("int"))
     x = x.withColumn("_cc", F.coalesce(F.sum("_ic").over(wl.rowsBetween(UNB, -1)), F.lit(0)))
 
-    # Local segments: pre-aggregated inside the bucket (no shuffle: the data
+    # Local segments, pre-aggregated inside the bucket (no shuffle: the data
     # is already hash-partitioned by key and bucket).
     seg = x.groupBy(*KEY, "_b", "_cc").agg(
         F.min(F.when(F.col("register") == ENTER, F.col("times"))).alias("_enter"),
         F.max(F.when(F.col("_ic") == 1, F.col("times"))).alias("_close"),
-        F.min(F.struct("times", "register")).alias("_first"),
-        F.max(F.struct("times", "register")).alias("_last"),
+        _at_last("times").alias("_last_t"),
+        _at_last("register").alias("_last_r"),
+        _at_first("register").alias("_first_r"),
     )
     bk = seg.groupBy(*KEY, "_b").agg(
         F.max("_cc").alias("_C"),
-        F.min("_first")["register"].alias("_first_reg"),
-        F.max("_last")["register"].alias("_last_reg"),
+        F.max("_first_r").alias("_first_reg"),
+        F.max("_last_r").alias("_last_reg"),
     )
     bk = bk.withColumn("_next_first", F.lead("_first_reg", 1, ENTER).over(_buckets()))
     bk = bk.withColumn("_tail", ((F.col("_last_reg") == EXIT)
@@ -104,7 +129,7 @@ def robust(events: DataFrame, include_phone: bool = True,
 
     j = seg.join(bk.select(*KEY, "_b", "_C", "_tail", "_base"), [*KEY, "_b"])
     close_t = (F.when(F.col("_cc") < F.col("_C"), F.col("_close"))
-                .when(F.col("_tail") == 1, F.col("_last")["times"]))
+                .when(F.col("_tail") == 1, F.col("_last_t")))
     out = (
         j.groupBy(*KEY, (F.col("_base") + F.col("_cc")).alias("_seg"))
         .agg(F.min("_enter").alias("enter_time"), F.max(close_t).alias("exit_time"))
@@ -113,28 +138,29 @@ def robust(events: DataFrame, include_phone: bool = True,
     return _project(out, include_phone)
 
 
-# --------------------------------------------------------------------------
-# adjacent: previous row enter, own row exit
-# --------------------------------------------------------------------------
+# --- adjacent: previous row enter, own row exit --------------------------
+
+def _bucket_tails(x: DataFrame) -> DataFrame:
+    """Per (key, bucket): time and code of the previous bucket's last row."""
+    bk = x.groupBy(*KEY, "_b").agg(_at_last("times").alias("_lt"), _at_last("register").alias("_lr"))
+    return (bk.withColumn("_pt", F.lag("_lt").over(_buckets()))
+              .withColumn("_pr", F.lag("_lr").over(_buckets())))
+
 
 def with_previous(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Every event with `prev_register` / `prev_time` of the row before it
     in its key (null for the key's first row)."""
     wl = _local_window()
-    x = _bucket(_events(events), bucket_span)
-    x = (x.withColumn("prev_register", F.lag("register").over(wl))
-          .withColumn("prev_time", F.lag("times").over(wl)))
-    inner = x.where(F.col("prev_register").isNotNull())
-    heads = x.where(F.col("prev_register").isNull()).drop("prev_register", "prev_time")
-    bk = x.groupBy(*KEY, "_b").agg(F.max(F.struct("times", "register")).alias("_last"))
-    bk = bk.withColumn("_prev", F.lag("_last").over(_buckets()))
-    heads = heads.join(bk.select(*KEY, "_b", "_prev"), [*KEY, "_b"], "left").select(
-        *KEY, "times", "register", "_b",
-        F.col("_prev")["register"].alias("prev_register"),
-        F.col("_prev")["times"].alias("prev_time"),
-    )
-    cols = [*KEY, "times", "register", "prev_register", "prev_time"]
-    return inner.select(*cols).unionByName(heads.select(*cols))
+    x = _edges(_bucket(_events(events), bucket_span), wl)
+    x = x.withColumn("_pt", F.lag("times").over(wl))
+    cols = [*KEY, "times", "register",
+            F.col("_prv").alias("prev_register"), F.col("_pt").alias("prev_time")]
+    inner = x.where(F.col("_prv").isNotNull()).select(*cols)
+    heads = x.where(F.col("_prv").isNull()).select(*KEY, "_b", "times", "register")
+    heads = heads.join(_bucket_tails(x).select(*KEY, "_b", "_pr", "_pt"), [*KEY, "_b"], "left")
+    heads = heads.select(*KEY, "times", "register",
+                         F.col("_pr").alias("prev_register"), F.col("_pt").alias("prev_time"))
+    return inner.unionByName(heads)
 
 
 def adjacent(events: DataFrame, include_phone: bool = True,
@@ -142,23 +168,18 @@ def adjacent(events: DataFrame, include_phone: bool = True,
     """A row is kept when the previous row of its key is an enter and it is
     an exit; stay = (previous time, own time).  Duplicates are kept."""
     wl = _local_window()
-    x = _bucket(_events(events), bucket_span)
-    x = (x.withColumn("_pr", F.lag("register").over(wl))
-          .withColumn("_pt", F.lag("times").over(wl)))
-    inner = x.where((F.col("_pr") == ENTER) & (F.col("register") == EXIT)).select(
+    x = _edges(_bucket(_events(events), bucket_span), wl)
+    x = x.withColumn("_pt", F.lag("times").over(wl))
+    inner = x.where((F.col("_prv") == ENTER) & (F.col("register") == EXIT)).select(
         *KEY, F.col("_pt").alias("enter_time"), F.col("times").alias("exit_time"))
-    heads = x.where(F.col("_pr").isNull() & (F.col("register") == EXIT)).select(*KEY, "_b", "times")
-    bk = x.groupBy(*KEY, "_b").agg(F.max(F.struct("times", "register")).alias("_last"))
-    bk = bk.withColumn("_prev", F.lag("_last").over(_buckets()))
-    bk = bk.where(F.col("_prev")["register"] == ENTER).select(*KEY, "_b", "_prev")
+    heads = x.where(F.col("_prv").isNull() & (F.col("register") == EXIT)).select(*KEY, "_b", "times")
+    bk = _bucket_tails(x).where(F.col("_pr") == ENTER).select(*KEY, "_b", "_pt")
     cross = heads.join(bk, [*KEY, "_b"]).select(
-        *KEY, F.col("_prev")["times"].alias("enter_time"), F.col("times").alias("exit_time"))
+        *KEY, F.col("_pt").alias("enter_time"), F.col("times").alias("exit_time"))
     return _project(inner.unionByName(cross), include_phone)
 
 
-# --------------------------------------------------------------------------
-# ordinal: k-th enter with k-th exit
-# --------------------------------------------------------------------------
+# --- ordinal: k-th enter with k-th exit ----------------------------------
 
 def with_ordinal(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Enter and exit rows with `idx`, their 0-based rank among the key's
@@ -183,9 +204,7 @@ def ordinal(events: DataFrame, include_phone: bool = True,
     return _project(enters.join(exits, [*KEY, "idx"]), include_phone)
 
 
-# --------------------------------------------------------------------------
-# first exit: each run-starting enter with the earliest exit at or after it
-# --------------------------------------------------------------------------
+# --- first exit: each run-starting enter with the earliest exit at or after it
 
 def first_exit(events: DataFrame, include_phone: bool = True,
                bucket_span: int | None = DAY_BUCKET) -> DataFrame:
@@ -193,18 +212,17 @@ def first_exit(events: DataFrame, include_phone: bool = True,
     earliest exit of its key whose time is >= its own (peers included)."""
     wl = _local_window()
     wr = Window.partitionBy(*KEY, "_b").orderBy("times").rangeBetween(Window.currentRow, UNF)
-    x = _bucket(_events(events), bucket_span)
-    x = (x.withColumn("_pr", F.lag("register").over(wl))
-          .withColumn("_nx", F.min(F.when(F.col("register") == EXIT, F.col("times"))).over(wr)))
-    starts = x.where((F.col("register") == ENTER) & not_equal_or_null(F.col("_pr"), ENTER))
+    x = _edges(_bucket(_events(events), bucket_span), wl)
+    x = x.withColumn("_nx", F.min(F.when(F.col("register") == EXIT, F.col("times"))).over(wr))
+    starts = x.where((F.col("register") == ENTER) & not_equal_or_null(F.col("_prv"), ENTER))
     bk = x.groupBy(*KEY, "_b").agg(
-        F.max(F.struct("times", "register"))["register"].alias("_last_reg"),
+        _at_last("register").alias("_last_reg"),
         F.min(F.when(F.col("register") == EXIT, F.col("times"))).alias("_min_exit"),
     )
     bk = (bk.withColumn("_prev_reg", F.lag("_last_reg").over(_buckets()))
             .withColumn("_later_exit", F.min("_min_exit").over(_buckets().rowsBetween(1, UNF))))
     j = starts.join(bk.select(*KEY, "_b", "_prev_reg", "_later_exit"), [*KEY, "_b"])
-    j = j.where(F.col("_pr").isNotNull() | not_equal_or_null(F.col("_prev_reg"), ENTER))
+    j = j.where(F.col("_prv").isNotNull() | not_equal_or_null(F.col("_prev_reg"), ENTER))
     out = j.select(*KEY, F.col("times").alias("enter_time"),
                    F.coalesce("_nx", "_later_exit").alias("exit_time")).where(
         F.col("exit_time").isNotNull())
