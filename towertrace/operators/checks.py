@@ -24,7 +24,8 @@ def bad_lines(numbered: DataFrame) -> DataFrame:
 
 def order_violations(numbered: DataFrame) -> DataFrame:
     """Lines whose number is smaller than the previous line's (ties allowed):
-    (line_no, prev_line, line)."""
+    (line_no, prev_line, line).  Both lines must be numeric; a malformed
+    neighbour is reported by `bad_lines` instead."""
     cur = numbered.select("line_no", "line",
                           F.trim(F.col("line")).try_cast("decimal(38,0)").alias("_v"))
     prev = cur.select((F.col("line_no") + 1).alias("line_no"),
