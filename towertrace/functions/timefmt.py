@@ -13,8 +13,15 @@ def _c(x) -> Column:
 
 
 def ts_to_times(ts) -> Column:
-    """Timestamp -> `yyyyMMddHHmmss` as BIGINT (sub-second part dropped)."""
-    return F.date_format(_c(ts), TIME_PATTERN).cast("long")
+    """Timestamp -> `yyyyMMddHHmmss` as BIGINT (sub-second part dropped).
+
+    Built from integer fields rather than a formatted string: the same value
+    as `date_format(ts, 'yyyyMMddHHmmss')` for years 0..9999, without a
+    per-row string round trip."""
+    t = _c(ts)
+    return (F.year(t).cast("long") * 10_000_000_000 + F.month(t).cast("long") * 100_000_000
+            + F.dayofmonth(t).cast("long") * 1_000_000 + F.hour(t).cast("long") * 10_000
+            + F.minute(t).cast("long") * 100 + F.second(t).cast("long"))
 
 
 def seconds_of_day(ts) -> Column:

@@ -44,9 +44,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 
 def subject_events(events: DataFrame, subjects: DataFrame,
-                   max_broadcast_rows: int = SUBJECT_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = SUBJECT_BROADCAST_ROWS,
+                   subjects_checked: bool = False) -> DataFrame:
     """Events of the subject phones (left-semi join; no distinct needed)."""
-    subj, _ = bounded_broadcast(subjects.select("phone"), max_broadcast_rows)
+    subj = subjects.select("phone")
+    if not subjects_checked:
+        subj, _ = bounded_broadcast(subj, max_broadcast_rows)
     return events.join(subj, "phone", "left_semi")
 
 
@@ -109,9 +112,13 @@ def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: Data
                   bucket_span: int | None = DAY_BUCKET,
                   max_island_rows: int = ISLAND_BROADCAST_ROWS,
                   max_subject_rows: int = SUBJECT_BROADCAST_ROWS,
-                  spark: SparkSession | None = None) -> DataFrame:
+                  spark: SparkSession | None = None,
+                  subjects_checked: bool = False) -> DataFrame:
     """Distinct phones with a stay overlapping a subject stay on the same
-    tower; with `include=False` the phones of `subjects` are removed."""
+    tower; with `include=False` the phones of `subjects` are removed.
+
+    `subjects_checked=True` says `subjects` already went through
+    `bounded_broadcast` (its hint, if any, is kept)."""
     strategy = strategy.lower()
     if strategy not in ("auto", "broadcast", "sweep"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -120,7 +127,7 @@ def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: Data
         isl = islands(subject_stays)
         if spark is not None:
             from ..session import materialize
-            isl = materialize(isl, spark)
+            isl = materialize(isl, spark, "subject-islands")
         n = isl.limit(max_island_rows + 1).count()
         if n <= max_island_rows:
             hits = overlapping_stays_broadcast(all_stays, isl)
@@ -130,7 +137,9 @@ def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: Data
         hits = overlapping_stays_sweep(all_stays, subject_stays, bucket_span)
     phones = hits.select("phone").distinct()
     if not include:
-        subj, _ = bounded_broadcast(subjects.select("phone"), max_subject_rows)
+        subj = subjects.select("phone")
+        if not subjects_checked:
+            subj, _ = bounded_broadcast(subj, max_subject_rows)
         phones = phones.join(subj, "phone", "left_anti")
     return phones
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.contacts import find_contacts, subject_events
+from ..operators.contacts import (
+    SUBJECT_BROADCAST_ROWS, bounded_broadcast, find_contacts, subject_events,
+)
 from ..operators.intervals import intervals
 from ..schema import DAY_BUCKET
 
@@ -19,20 +21,25 @@ def trace(events: DataFrame, subjects: DataFrame, rule: str = "robust",
           include: bool = False, strategy: str = "auto",
           bucket_span: int | None = DAY_BUCKET, spark: SparkSession | None = None,
           **limits) -> DataFrame:
-    """Distinct contact phones (column `phone`)."""
+    """Distinct contact phones (column `phone`).
+
+    The subject list is size-checked once: broadcast when it has at most
+    `max_subject_rows` rows, shuffled otherwise."""
+    subj, _ = bounded_broadcast(subjects.select("phone"),
+                                limits.get("max_subject_rows", SUBJECT_BROADCAST_ROWS))
     all_stays = intervals(events, rule, include_phone=True, bucket_span=bucket_span)
-    subj_stays = intervals(subject_events(events, subjects), rule, include_phone=True,
-                           bucket_span=bucket_span)
-    return find_contacts(subj_stays, all_stays, subjects, include=include, strategy=strategy,
-                         bucket_span=bucket_span, spark=spark, **limits)
+    subj_stays = intervals(subject_events(events, subj, subjects_checked=True), rule,
+                           include_phone=True, bucket_span=bucket_span)
+    return find_contacts(subj_stays, all_stays, subj, include=include, strategy=strategy,
+                         bucket_span=bucket_span, spark=spark, subjects_checked=True, **limits)
 
 
 def trace_stays(stays: DataFrame, subjects: DataFrame, include: bool = False,
                 strategy: str = "auto", bucket_span: int | None = DAY_BUCKET,
                 spark: SparkSession | None = None, **limits) -> DataFrame:
     """Contacts from stays that are already intervals."""
-    from ..operators.contacts import bounded_broadcast
-    subj, _ = bounded_broadcast(subjects.select("phone"), limits.get("max_subject_rows", 1_000_000))
+    subj, _ = bounded_broadcast(subjects.select("phone"),
+                                limits.get("max_subject_rows", SUBJECT_BROADCAST_ROWS))
     subj_stays = stays.join(subj, "phone", "left_semi")
-    return find_contacts(subj_stays, stays, subjects, include=include, strategy=strategy,
-                         bucket_span=bucket_span, spark=spark, **limits)
+    return find_contacts(subj_stays, stays, subj, include=include, strategy=strategy,
+                         bucket_span=bucket_span, spark=spark, subjects_checked=True, **limits)

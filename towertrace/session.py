@@ -75,16 +75,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, spark: SparkSession):
+def materialize(df, spark: SparkSession, name: str = "stage"):
     """Cut the lineage of a small, reused intermediate.
 
-    Uses a reliable ``checkpoint()`` into the shared checkpoint folder so a
-    lost executor does not force the upstream scan to be redone.  Without a
-    shared folder the frame is returned unchanged (recomputed on reuse).
+    The frame is written once as a parquet table into the shared checkpoint
+    folder and read back, so a lost executor does not force the upstream
+    scan to be redone and later counts read file footers only.  (A
+    `checkpoint()` would compute an unpersisted plan twice: once for the
+    action and once to write the checkpoint files.)  Without a shared folder
+    the frame is returned unchanged and recomputed on reuse.
     """
     if ensure_checkpoint_dir(spark) is None:
         return df
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def env_cpus(default: int = 8) -> int:
