@@ -12,13 +12,22 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def times_sql(ts: str) -> str:
+    """SQL text of `ts_to_times` for a column name."""
+    return (f"(CAST(year(`{ts}`) AS BIGINT) * 10000000000 + CAST(month(`{ts}`) AS BIGINT) * 100000000"
+            f" + CAST(day(`{ts}`) AS BIGINT) * 1000000 + CAST(hour(`{ts}`) AS BIGINT) * 10000"
+            f" + CAST(minute(`{ts}`) AS BIGINT) * 100 + CAST(second(`{ts}`) AS BIGINT))")
+
+
 def ts_to_times(ts) -> Column:
     """Timestamp -> `yyyyMMddHHmmss` as BIGINT (sub-second part dropped).
 
     Built from integer fields rather than a formatted string: the same value
     as `date_format(ts, 'yyyyMMddHHmmss')` for years 0..9999, without a
     per-row string round trip."""
-    t = _c(ts)
+    if isinstance(ts, str):
+        return F.expr(times_sql(ts))
+    t = ts
     return (F.year(t).cast("long") * 10_000_000_000 + F.month(t).cast("long") * 100_000_000
             + F.dayofmonth(t).cast("long") * 1_000_000 + F.hour(t).cast("long") * 10_000
             + F.minute(t).cast("long") * 100 + F.second(t).cast("long"))

@@ -4,9 +4,13 @@ A contact is a phone with a stay that overlaps (closed intervals) a
 subject's stay on the same tower.  Only *whether* a stay overlaps matters,
 so no pair of stays is ever emitted:
 
-* `broadcast` strategy: subject stays are merged per tower into disjoint
-  islands, the island table is size-checked and broadcast, and every stay
-  is tested with a left-semi join (the probe side is never shuffled).
+* `auto` strategy: subject stays are merged per tower into disjoint
+  islands, and every stay is tested with a left-semi join whose strategy
+  adaptive execution picks from the islands' measured size (broadcast, or
+  a skew-split sort-merge join).
+* `broadcast` strategy: the islands are written once to the shared
+  checkpoint folder, their row count is checked against a bound, and they
+  are broadcast (the probe side is never shuffled).
 * `sweep` strategy (any size, hot towers): subject stays and all stays are
   put in one stream per (tower, time bucket); a running maximum of subject
   exits, carried over from earlier buckets through a per-bucket summary,
@@ -19,9 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import overlaps
 from ..schema import DAY_BUCKET
-from .intervals import bucket_of
+from .intervals import bucket_sql
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -57,13 +60,14 @@ def islands(stays: DataFrame) -> DataFrame:
     """Merge overlapping or touching closed stays per tower (gaps and
     islands).  Meant for the subject side only, whose size is checked by
     the caller before it is used in a broadcast."""
-    w = Window.partitionBy("cellid").orderBy("enter_time", "exit_time")
-    s = stays.select("cellid", "enter_time", "exit_time")
-    s = s.withColumn("_pm", F.max("exit_time").over(w.rowsBetween(UNB, -1)))
-    s = s.withColumn("_new", (F.col("_pm").isNull() | (F.col("enter_time") > F.col("_pm"))).cast("int"))
-    s = s.withColumn("_isl", F.sum("_new").over(w.rowsBetween(UNB, 0)))
+    w = "PARTITION BY cellid ORDER BY enter_time, exit_time"
+    s = stays.selectExpr("cellid", "enter_time", "exit_time",
+                         f"max(exit_time) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _pm")
+    s = s.selectExpr("cellid", "enter_time", "exit_time",
+                     f"sum(CASE WHEN _pm IS NULL OR enter_time > _pm THEN 1 ELSE 0 END) OVER ({w} "
+                     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _isl")
     return s.groupBy("cellid", "_isl").agg(
-        F.min("enter_time").alias("enter_time"), F.max("exit_time").alias("exit_time")
+        F.expr("min(enter_time) AS enter_time"), F.expr("max(exit_time) AS exit_time")
     ).drop("_isl")
 
 
@@ -71,8 +75,25 @@ def overlapping_stays_broadcast(all_stays: DataFrame, subject_islands: DataFrame
     """Stays that overlap an island; islands must already be size-checked."""
     a = all_stays.alias("a")
     i = F.broadcast(subject_islands.select("cellid", "enter_time", "exit_time")).alias("i")
-    cond = (F.col("a.cellid") == F.col("i.cellid")) & overlaps(
-        F.col("a.enter_time"), F.col("a.exit_time"), F.col("i.enter_time"), F.col("i.exit_time"))
+    cond = F.expr("a.cellid = i.cellid AND a.enter_time <= i.exit_time AND a.exit_time >= i.enter_time")
+    return a.join(i, cond, "left_semi")
+
+
+def overlapping_stays_runtime(all_stays: DataFrame, subject_islands: DataFrame) -> DataFrame:
+    """Stays that overlap an island, with the join strategy picked at run
+    time from measured sizes.
+
+    The islands get their own shuffle stage (`repartition` by tower), so
+    adaptive execution sees their real size when that stage finishes: under
+    `spark.sql.adaptive.autoBroadcastJoinThreshold` they are broadcast and
+    the stays are probed where they are; above it the plan stays a
+    sort-merge semi join on the tower, whose oversized tower partitions
+    adaptive execution splits (skew join).  Both sides are computed in the
+    same job, so the subject side and the all-stays side run concurrently.
+    """
+    a = all_stays.alias("a")
+    i = subject_islands.select("cellid", "enter_time", "exit_time").repartition("cellid").alias("i")
+    cond = F.expr("a.cellid = i.cellid AND a.enter_time <= i.exit_time AND a.exit_time >= i.enter_time")
     return a.join(i, cond, "left_semi")
 
 
@@ -81,28 +102,30 @@ def overlapping_stays_sweep(all_stays: DataFrame, subject_stays: DataFrame,
     """Stays that overlap a subject stay, without a join between the two.
 
     Stay [e, x] overlaps some subject [se, sx] on its tower iff
-    max{sx : se <= x} >= e.  Subject rows are keyed by se, stays by x;
-    at equal keys subjects sort first (closed intervals)."""
-    subj = subject_stays.select(
-        "cellid", F.col("enter_time").alias("_key"), F.col("exit_time").alias("_val"),
-        F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("phone"),
-        F.lit(None).cast("long").alias("enter_time"), F.lit(None).cast("long").alias("exit_time"))
-    alls = all_stays.select(
-        "cellid", F.col("exit_time").alias("_key"), F.lit(None).cast("long").alias("_val"),
-        F.lit(1).alias("_kind"), "phone", "enter_time", "exit_time")
-    u = subj.unionByName(alls)
-    u = u.withColumn("_b", bucket_of("_key", bucket_span))
-    wl = Window.partitionBy("cellid", "_b").orderBy("_key", "_kind").rowsBetween(UNB, 0)
-    u = u.withColumn("_m", F.max("_val").over(wl))
-    bk = u.groupBy("cellid", "_b").agg(F.max("_val").alias("_bm"))
-    bk = bk.withColumn("_carry", F.max("_bm").over(
-        Window.partitionBy("cellid").orderBy("_b").rowsBetween(UNB, -1)))
-    stays = u.where(F.col("_kind") == 1)
-    hit = F.col("_m") >= F.col("enter_time")
-    decided = stays.where(hit)
-    rest = stays.where(~F.coalesce(hit, F.lit(False)))
-    carried = rest.join(bk.where(F.col("_carry").isNotNull()).select("cellid", "_b", "_carry"),
-                        ["cellid", "_b"]).where(F.col("_carry") >= F.col("enter_time"))
+    max{sx : se <= x} >= e.  Subject rows are keyed by se, stays by x; at
+    equal keys subjects sort first (closed intervals).  The running maximum
+    is taken per (tower, time bucket); the maximum over earlier buckets
+    comes from one summary row per bucket, joined only to the stays that
+    their own bucket did not already decide."""
+    b = bucket_sql("_key", bucket_span)
+    subj = subject_stays.selectExpr(
+        "cellid", "enter_time AS _key", "exit_time AS _val", "0 AS _kind",
+        "CAST(NULL AS BIGINT) AS phone", "CAST(NULL AS BIGINT) AS enter_time",
+        "CAST(NULL AS BIGINT) AS exit_time")
+    alls = all_stays.selectExpr(
+        "cellid", "exit_time AS _key", "CAST(NULL AS BIGINT) AS _val", "1 AS _kind",
+        "phone", "enter_time", "exit_time")
+    u = subj.unionByName(alls).selectExpr("*", f"{b} AS _b")
+    u = u.selectExpr("*", "max(_val) OVER (PARTITION BY cellid, _b ORDER BY _key, _kind "
+                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _m")
+    bk = u.groupBy("cellid", "_b").agg(F.expr("max(_val) AS _bm"))
+    bk = bk.selectExpr("cellid", "_b", "max(_bm) OVER (PARTITION BY cellid ORDER BY _b "
+                                       "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _carry")
+    stays = u.where("_kind = 1")
+    decided = stays.where("_m >= enter_time")
+    rest = stays.where("NOT coalesce(_m >= enter_time, false)")
+    carried = rest.join(bk.where("_carry IS NOT NULL"), ["cellid", "_b"]).where(
+        "_carry >= enter_time")
     cols = ["phone", "cellid", "enter_time", "exit_time"]
     return decided.select(*cols).unionByName(carried.select(*cols))
 
@@ -123,17 +146,19 @@ def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: Data
     if strategy not in ("auto", "broadcast", "sweep"):
         raise ValueError(f"unknown strategy {strategy!r}")
     hits = None
-    if strategy in ("auto", "broadcast"):
+    if strategy == "auto":
+        hits = overlapping_stays_runtime(all_stays, islands(subject_stays))
+    elif strategy == "broadcast":
         isl = islands(subject_stays)
         if spark is not None:
             from ..session import materialize
-            isl = materialize(isl, spark, "subject-islands")
-        n = isl.limit(max_island_rows + 1).count()
-        if n <= max_island_rows:
-            hits = overlapping_stays_broadcast(all_stays, isl)
-        elif strategy == "broadcast":
+            isl, n = materialize(isl, spark, "subject-islands")
+        else:
+            n = isl.limit(max_island_rows + 1).count()
+        if n > max_island_rows:
             raise ValueError(f"subject islands exceed {max_island_rows} rows; use sweep")
-    if hits is None:
+        hits = overlapping_stays_broadcast(all_stays, isl)
+    else:
         hits = overlapping_stays_sweep(all_stays, subject_stays, bucket_span)
     phones = hits.select("phone").distinct()
     if not include:
@@ -147,44 +172,38 @@ def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: Data
 def overlap_counts(subject_stays: DataFrame, all_stays: DataFrame,
                    bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """For each distinct stay, the number of subject stays on its tower that
-    overlap it (closed intervals), for stays with at least one.
+    overlap it (closed intervals), for stays with at least one.  Subject
+    stays must not end before they start (true for every rule but ordinal).
 
     #overlapping = #{se <= x} - #{sx < e}; the second set is contained in
     the first, so both are running counts over one stream per (tower,
     bucket) with per-bucket carries: no pair is formed."""
-    starts = subject_stays.select("cellid", F.col("enter_time").alias("_key"),
-                                  F.lit(0).alias("_kind"))
-    ends = subject_stays.select("cellid", F.col("exit_time").alias("_key"),
-                                F.lit(1).alias("_kind"))
-    # probes: the stay's exit (count starts <= x) and the stay's enter
-    # (count ends < e); at equal keys a start sorts before an exit probe and
-    # an end-probe sorts before an end.
-    a = all_stays.select("phone", "cellid", "enter_time", "exit_time")
-    probe_x = a.select("phone", "cellid", "enter_time", "exit_time",
-                       F.col("exit_time").alias("_key"), F.lit(2).alias("_kind"))
-    probe_e = a.select("phone", "cellid", "enter_time", "exit_time",
-                       F.col("enter_time").alias("_key"), F.lit(-1).alias("_kind"))
-    nul = [F.lit(None).cast("long").alias(c) for c in ("phone", "enter_time", "exit_time")]
-    u = (starts.select("cellid", "_key", "_kind", *nul)
-         .unionByName(ends.select("cellid", "_key", "_kind", *nul))
-         .unionByName(probe_x).unionByName(probe_e))
-    u = u.withColumn("_b", bucket_of("_key", bucket_span))
-    # ordering at equal key: end-probe(-1) < start(0) < end(1) < exit-probe(2)
-    wl = Window.partitionBy("cellid", "_b").orderBy("_key", "_kind").rowsBetween(UNB, 0)
-    u = (u.withColumn("_ns", F.sum((F.col("_kind") == 0).cast("long")).over(wl))
-          .withColumn("_ne", F.sum((F.col("_kind") == 1).cast("long")).over(wl)))
+    nul = "CAST(NULL AS BIGINT)"
+    starts = subject_stays.selectExpr("cellid", "enter_time AS _key", "0 AS _kind",
+                                      f"{nul} AS phone", f"{nul} AS enter_time", f"{nul} AS exit_time")
+    ends = subject_stays.selectExpr("cellid", "exit_time AS _key", "1 AS _kind",
+                                    f"{nul} AS phone", f"{nul} AS enter_time", f"{nul} AS exit_time")
+    # probes: the stay's exit counts starts <= x; the stay's enter counts
+    # ends < e.  At equal keys: end-probe(-1) < start(0) < end(1) < exit-probe(2)
+    probe_x = all_stays.selectExpr("cellid", "exit_time AS _key", "2 AS _kind",
+                                   "phone", "enter_time", "exit_time")
+    probe_e = all_stays.selectExpr("cellid", "enter_time AS _key", "-1 AS _kind",
+                                   "phone", "enter_time", "exit_time")
+    u = starts.unionByName(ends).unionByName(probe_x).unionByName(probe_e)
+    u = u.selectExpr("*", f"{bucket_sql('_key', bucket_span)} AS _b")
+    w = ("PARTITION BY cellid, _b ORDER BY _key, _kind "
+         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    u = u.selectExpr("*", f"sum(CASE WHEN _kind = 0 THEN 1 ELSE 0 END) OVER ({w}) AS _ns",
+                     f"sum(CASE WHEN _kind = 1 THEN 1 ELSE 0 END) OVER ({w}) AS _ne")
     bk = u.groupBy("cellid", "_b").agg(
-        F.sum((F.col("_kind") == 0).cast("long")).alias("_bs"),
-        F.sum((F.col("_kind") == 1).cast("long")).alias("_be"))
-    wb = Window.partitionBy("cellid").orderBy("_b").rowsBetween(UNB, -1)
-    bk = (bk.withColumn("_cs", F.coalesce(F.sum("_bs").over(wb), F.lit(0)))
-            .withColumn("_ce", F.coalesce(F.sum("_be").over(wb), F.lit(0))))
-    p = u.where(F.col("_kind").isin(-1, 2)).join(
-        bk.select("cellid", "_b", "_cs", "_ce"), ["cellid", "_b"])
-    p = p.select("phone", "cellid", "enter_time", "exit_time", "_kind",
-                 (F.col("_ns") + F.col("_cs")).alias("_s"), (F.col("_ne") + F.col("_ce")).alias("_e"))
+        F.expr("sum(CASE WHEN _kind = 0 THEN 1 ELSE 0 END) AS _bs"),
+        F.expr("sum(CASE WHEN _kind = 1 THEN 1 ELSE 0 END) AS _be"))
+    wb = "PARTITION BY cellid ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    bk = bk.selectExpr("cellid", "_b", f"coalesce(sum(_bs) OVER ({wb}), 0) AS _cs",
+                       f"coalesce(sum(_be) OVER ({wb}), 0) AS _ce")
+    p = u.where("_kind IN (-1, 2)").join(bk, ["cellid", "_b"])
     # the two probes of one stay meet again on the stay itself
     res = p.groupBy("phone", "cellid", "enter_time", "exit_time").agg(
-        (F.max(F.when(F.col("_kind") == 2, F.col("_s")))
-         - F.max(F.when(F.col("_kind") == -1, F.col("_e")))).alias("overlaps"))
-    return res.where(F.col("overlaps") > 0)
+        F.expr("max(CASE WHEN _kind = 2 THEN _ns + _cs END)"
+               " - max(CASE WHEN _kind = -1 THEN _ne + _ce END) AS overlaps"))
+    return res.where("overlaps > 0")

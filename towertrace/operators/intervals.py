@@ -9,79 +9,75 @@ Scale design
 None of the rules sorts a whole key in one task.  Each key is cut into
 time buckets (`times div bucket_span`); windows run per
 (phone, cellid, bucket), which is one hash shuffle of the events and one
-sort.  What a bucket needs from its neighbours (the next bucket's first
-code, the previous bucket's last row, how many stays closed before it) is
-a handful of values per bucket: a bucket summary is aggregated without a
-further shuffle, ordered per key with a window over the (small) summary
-rows, and joined back only to the rows that sit on a bucket edge or to
-pre-aggregated segment rows.  `bucket_span=None` puts each key in a single
-bucket (the same plan, one bucket per key).
-
-All aggregates are scalar (no struct min/max), so Spark keeps hash
-aggregation and the summary branch reuses the events shuffle.
+sort.  Whatever is complete inside a bucket leaves from there.  What a
+bucket needs from its neighbours (the next bucket's first code, the
+previous bucket's last row, the stay still open at its start) travels in
+one or two summary rows per bucket, which are shuffled by key and ordered
+with a window; a key's summary rows are bounded by its time span, not by
+its number of events.  `bucket_span=None` puts each key in a single bucket.
+
+Expressions are written as SQL snippets: the plans are the same as with
+column objects, and building a query costs far fewer driver round trips.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import not_equal_or_null
 from ..schema import DAY_BUCKET, ENTER, EXIT, STAY_COLUMNS
 
 KEY = ["phone", "cellid"]
 RULES = ("robust", "adjacent", "ordinal", "first_exit")
-UNB = Window.unboundedPreceding
-UNF = Window.unboundedFollowing
 
+# window clauses: inside a bucket, and over a key's buckets / pieces
+W_LOCAL = "PARTITION BY phone, cellid, _b ORDER BY times, register"
+W_BUCKETS = "PARTITION BY phone, cellid ORDER BY _b"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+AFTER = "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
 
-def bucket_of(col: str, bucket_span: int | None) -> F.Column:
-    """Time bucket of `col`.  Never null (a null time falls in bucket 0),
-    so Spark infers no extra filter on one side of a summary join and both
-    sides keep reusing one shuffle of the input."""
+
+def bucket_sql(col: str, bucket_span: int | None) -> str:
+    """Time bucket of `col` as SQL.  Never null (a null time falls in
+    bucket 0), so Spark infers no extra filter on one side of a join of two
+    frames derived from the same shuffle, and the shuffle is reused."""
     if bucket_span is None:
-        return F.lit(0).cast("long")
+        return "CAST(0 AS BIGINT)"
     if int(bucket_span) <= 0:
         raise ValueError("bucket_span must be positive")
-    return F.coalesce(F.expr(f"`{col}` div {int(bucket_span)}"), F.lit(0).cast("long"))
-
+    return f"coalesce(`{col}` div {int(bucket_span)}, CAST(0 AS BIGINT))"
 
-def _bucket(df: DataFrame, bucket_span: int | None, col: str = "times") -> DataFrame:
-    return df.withColumn("_b", bucket_of(col, bucket_span))
 
-
-def _events(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("phone").cast("long").alias("phone"),
-        F.col("cellid").cast("long").alias("cellid"),
-        F.col("times").cast("long").alias("times"),
-        F.col("register").cast("int").alias("register"),
-    )
+def bucket_of(col: str, bucket_span: int | None) -> F.Column:
+    return F.expr(bucket_sql(col, bucket_span))
 
 
-def _local_window(*extra: str):
-    return Window.partitionBy(*KEY, *extra, "_b").orderBy("times", "register")
+def _events(df: DataFrame, bucket_span: int | None) -> DataFrame:
+    return df.selectExpr(
+        "CAST(phone AS BIGINT) AS phone", "CAST(cellid AS BIGINT) AS cellid",
+        "CAST(times AS BIGINT) AS times", "CAST(register AS INT) AS register",
+    ).withColumn("_b", bucket_of("times", bucket_span))
 
 
-def _buckets():
-    return Window.partitionBy(*KEY).orderBy("_b")
+def _edges(x: DataFrame, *more: str) -> DataFrame:
+    """`_prv` / `_nxt`: the neighbouring codes inside the bucket (null on
+    the bucket's first / last row), plus any further window columns."""
+    return x.selectExpr("*", f"lag(register) OVER ({W_LOCAL}) AS _prv",
+                        f"lead(register) OVER ({W_LOCAL}) AS _nxt", *more)
 
 
-def _edges(x: DataFrame, wl) -> DataFrame:
-    """`_prv` / `_nxt`: the neighbouring codes inside the bucket (null on
-    the bucket's first / last row)."""
-    return (x.withColumn("_prv", F.lag("register").over(wl))
-             .withColumn("_nxt", F.lead("register").over(wl)))
+def _at_last(c: str) -> str:
+    """Aggregate: value of `c` on the bucket's last row."""
+    return f"max(CASE WHEN _nxt IS NULL THEN {c} END)"
 
 
-def _at_last(c: str) -> F.Column:
-    """Value of `c` on the bucket's last row (as an aggregate)."""
-    return F.max(F.when(F.col("_nxt").isNull(), F.col(c)))
+def _at_first(c: str) -> str:
+    """Aggregate: value of `c` on the bucket's first row."""
+    return f"max(CASE WHEN _prv IS NULL THEN {c} END)"
 
 
-def _at_first(c: str) -> F.Column:
-    """Value of `c` on the bucket's first row (as an aggregate)."""
-    return F.max(F.when(F.col("_prv").isNull(), F.col(c)))
+def _agg(df: DataFrame, keys: list[str], **aggs: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*(F.expr(f"{sql} AS {name}") for name, sql in aggs.items()))
 
 
 def _project(df: DataFrame, include_phone: bool) -> DataFrame:
@@ -101,65 +97,67 @@ def robust(events: DataFrame, include_phone: bool = True,
     Equivalent set form: a row *closes* when it is an exit followed by an
     enter (or by nothing).  Closes cut the key into segments; a segment with
     an enter yields (its first enter, its close).
+
+    Plan: inside a bucket the closes seen there cut it into local segments.
+    Segments strictly between two such closes are final.  Only the first
+    and the last local segment of each bucket (at most two rows per bucket,
+    however many events it holds) are gathered per key and stitched across
+    buckets with one ordered window: the last segment's close depends on the
+    next bucket's first code, and a stay may run over several buckets.
+    Final segments ride the same (segment-level) shuffle, grouped by their
+    own bucket, so the plan is one straight line: events shuffle, sort and
+    windows once; segments shuffle once.
     """
-    wl = _local_window()
-    x = _edges(_bucket(_events(events), bucket_span), wl)
-    x = x.withColumn("_ic", ((F.col("register") == EXIT) & (F.col("_nxt") == ENTER)).cast("int"))
-    x = x.withColumn("_cc", F.coalesce(F.sum("_ic").over(wl.rowsBetween(UNB, -1)), F.lit(0)))
-
-    # Local segments, pre-aggregated inside the bucket (no shuffle: the data
-    # is already hash-partitioned by key and bucket).
-    seg = x.groupBy(*KEY, "_b", "_cc").agg(
-        F.min(F.when(F.col("register") == ENTER, F.col("times"))).alias("_enter"),
-        F.max(F.when(F.col("_ic") == 1, F.col("times"))).alias("_close"),
-        _at_last("times").alias("_last_t"),
-        _at_last("register").alias("_last_r"),
-        _at_first("register").alias("_first_r"),
-    )
-    bk = seg.groupBy(*KEY, "_b").agg(
-        F.max("_cc").alias("_C"),
-        F.max("_first_r").alias("_first_reg"),
-        F.max("_last_r").alias("_last_reg"),
-    )
-    bk = bk.withColumn("_next_first", F.lead("_first_reg", 1, ENTER).over(_buckets()))
-    bk = bk.withColumn("_tail", ((F.col("_last_reg") == EXIT)
-                                 & (F.col("_next_first") == ENTER)).cast("int"))
-    bk = bk.withColumn("_base", F.coalesce(
-        F.sum(F.col("_C") + F.col("_tail")).over(_buckets().rowsBetween(UNB, -1)), F.lit(0)))
-
-    j = seg.join(bk.select(*KEY, "_b", "_C", "_tail", "_base"), [*KEY, "_b"])
-    close_t = (F.when(F.col("_cc") < F.col("_C"), F.col("_close"))
-                .when(F.col("_tail") == 1, F.col("_last_t")))
-    out = (
-        j.groupBy(*KEY, (F.col("_base") + F.col("_cc")).alias("_seg"))
-        .agg(F.min("_enter").alias("enter_time"), F.max(close_t).alias("exit_time"))
-        .where(F.col("enter_time").isNotNull() & F.col("exit_time").isNotNull())
-    )
+    x = _edges(_events(events, bucket_span))
+    x = x.selectExpr("*", f"CAST(register = {EXIT} AND _nxt = {ENTER} AS INT) AS _ic")
+    x = x.selectExpr("*", f"coalesce(sum(_ic) OVER ({W_LOCAL} {BEFORE}), 0) AS _cc")
+
+    # local segments (no shuffle: already partitioned by key and bucket)
+    seg = _agg(x, [*KEY, "_b", "_cc"],
+               _enter=f"min(CASE WHEN register = {ENTER} THEN times END)",
+               _close="max(CASE WHEN _ic = 1 THEN times END)",
+               _last_t=_at_last("times"), _last_r=_at_last("register"),
+               _first_r=_at_first("register"))
+    # Interior segments (after a close, ended by a close) are final; they
+    # keep their bucket as group key.  The bucket's first and last segment
+    # go to the key's group (-1), where they are stitched in time order.
+    # One shuffle carries both, so the events are sorted only once.
+    seg = seg.selectExpr(
+        "*", "CASE WHEN _cc > 0 AND _close IS NOT NULL THEN _b ELSE -1 END AS _gk").where(
+        "_gk = -1 OR _enter IS NOT NULL")
+    wp = "PARTITION BY phone, cellid, _gk ORDER BY _b, _cc"
+    seg = seg.selectExpr("*", f"lead(_first_r, 1, {ENTER}) OVER ({wp}) AS _nf")
+    seg = seg.selectExpr(
+        "*", "CASE WHEN _gk = -1 THEN coalesce(_close, CASE WHEN _last_r = "
+             f"{EXIT} AND _nf = {ENTER} THEN _last_t END) ELSE _close END AS _pc")
+    seg = seg.selectExpr(
+        "*", f"CASE WHEN _gk = -1 THEN coalesce(count(_pc) OVER ({wp} {BEFORE}), 0) "
+             "ELSE _cc END AS _g")
+    out = (_agg(seg, [*KEY, "_gk", "_g"], enter_time="min(_enter)", exit_time="max(_pc)")
+           .where("enter_time IS NOT NULL AND exit_time IS NOT NULL"))
     return _project(out, include_phone)
 
 
 # --- adjacent: previous row enter, own row exit --------------------------
 
-def _bucket_tails(x: DataFrame) -> DataFrame:
-    """Per (key, bucket): time and code of the previous bucket's last row."""
-    bk = x.groupBy(*KEY, "_b").agg(_at_last("times").alias("_lt"), _at_last("register").alias("_lr"))
-    return (bk.withColumn("_pt", F.lag("_lt").over(_buckets()))
-              .withColumn("_pr", F.lag("_lr").over(_buckets())))
+def _bucket_edges(x: DataFrame) -> DataFrame:
+    """Per (key, bucket): its first row (`_ft`, `_fr`) and the last row of
+    the key's previous bucket (`_pt`, `_pr`)."""
+    bk = _agg(x, [*KEY, "_b"], _ft=_at_first("times"), _fr=_at_first("register"),
+              _lt=_at_last("times"), _lr=_at_last("register"))
+    return bk.selectExpr("*", f"lag(_lt) OVER ({W_BUCKETS}) AS _pt",
+                         f"lag(_lr) OVER ({W_BUCKETS}) AS _pr")
 
 
 def with_previous(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Every event with `prev_register` / `prev_time` of the row before it
     in its key (null for the key's first row)."""
-    wl = _local_window()
-    x = _edges(_bucket(_events(events), bucket_span), wl)
-    x = x.withColumn("_pt", F.lag("times").over(wl))
-    cols = [*KEY, "times", "register",
-            F.col("_prv").alias("prev_register"), F.col("_pt").alias("prev_time")]
-    inner = x.where(F.col("_prv").isNotNull()).select(*cols)
-    heads = x.where(F.col("_prv").isNull()).select(*KEY, "_b", "times", "register")
-    heads = heads.join(_bucket_tails(x).select(*KEY, "_b", "_pr", "_pt"), [*KEY, "_b"], "left")
-    heads = heads.select(*KEY, "times", "register",
-                         F.col("_pr").alias("prev_register"), F.col("_pt").alias("prev_time"))
+    x = _edges(_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
+    inner = x.where("_prv IS NOT NULL").selectExpr(
+        "phone", "cellid", "times", "register", "_prv AS prev_register", "_pt AS prev_time")
+    heads = _bucket_edges(x).selectExpr(
+        "phone", "cellid", "_ft AS times", "_fr AS register",
+        "_pr AS prev_register", "_pt AS prev_time")
     return inner.unionByName(heads)
 
 
@@ -167,15 +165,11 @@ def adjacent(events: DataFrame, include_phone: bool = True,
              bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """A row is kept when the previous row of its key is an enter and it is
     an exit; stay = (previous time, own time).  Duplicates are kept."""
-    wl = _local_window()
-    x = _edges(_bucket(_events(events), bucket_span), wl)
-    x = x.withColumn("_pt", F.lag("times").over(wl))
-    inner = x.where((F.col("_prv") == ENTER) & (F.col("register") == EXIT)).select(
-        *KEY, F.col("_pt").alias("enter_time"), F.col("times").alias("exit_time"))
-    heads = x.where(F.col("_prv").isNull() & (F.col("register") == EXIT)).select(*KEY, "_b", "times")
-    bk = _bucket_tails(x).where(F.col("_pr") == ENTER).select(*KEY, "_b", "_pt")
-    cross = heads.join(bk, [*KEY, "_b"]).select(
-        *KEY, F.col("_pt").alias("enter_time"), F.col("times").alias("exit_time"))
+    x = _edges(_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
+    inner = x.where(f"_prv = {ENTER} AND register = {EXIT}").selectExpr(
+        "phone", "cellid", "_pt AS enter_time", "times AS exit_time")
+    cross = _bucket_edges(x).where(f"_pr = {ENTER} AND _fr = {EXIT}").selectExpr(
+        "phone", "cellid", "_pt AS enter_time", "_ft AS exit_time")
     return _project(inner.unionByName(cross), include_phone)
 
 
@@ -184,14 +178,15 @@ def adjacent(events: DataFrame, include_phone: bool = True,
 def with_ordinal(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Enter and exit rows with `idx`, their 0-based rank among the key's
     rows of the same code, ordered by time."""
-    x = _bucket(_events(events).where(F.col("register").isin(ENTER, EXIT)), bucket_span)
-    wl = Window.partitionBy(*KEY, "register", "_b").orderBy("times")
-    x = x.withColumn("_r", F.row_number().over(wl) - 1)
-    bk = x.groupBy(*KEY, "register", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    wb = Window.partitionBy(*KEY, "register").orderBy("_b").rowsBetween(UNB, -1)
-    bk = bk.withColumn("_base", F.coalesce(F.sum("_n").over(wb), F.lit(0)))
-    return x.join(bk.select(*KEY, "register", "_b", "_base"), [*KEY, "register", "_b"]).select(
-        *KEY, "times", "register", (F.col("_base") + F.col("_r")).alias("idx"))
+    x = _events(events, bucket_span).where(f"register IN ({ENTER}, {EXIT})")
+    x = x.selectExpr("*", "row_number() OVER (PARTITION BY phone, cellid, register, _b "
+                          "ORDER BY times) - 1 AS _r")
+    bk = _agg(x, [*KEY, "register", "_b"], _n="count(1)")
+    bk = bk.selectExpr("phone", "cellid", "register", "_b",
+                       "coalesce(sum(_n) OVER (PARTITION BY phone, cellid, register ORDER BY _b "
+                       f"{BEFORE}), 0) AS _base")
+    return x.join(bk, [*KEY, "register", "_b"]).selectExpr(
+        "phone", "cellid", "times", "register", "_base + _r AS idx")
 
 
 def ordinal(events: DataFrame, include_phone: bool = True,
@@ -199,8 +194,8 @@ def ordinal(events: DataFrame, include_phone: bool = True,
     """Pair the k-th enter with the k-th exit of each key; a stay may end
     before it starts, and unmatched rows are dropped."""
     x = with_ordinal(events, bucket_span)
-    enters = x.where(F.col("register") == ENTER).select(*KEY, "idx", F.col("times").alias("enter_time"))
-    exits = x.where(F.col("register") == EXIT).select(*KEY, "idx", F.col("times").alias("exit_time"))
+    enters = x.where(f"register = {ENTER}").selectExpr("phone", "cellid", "idx", "times AS enter_time")
+    exits = x.where(f"register = {EXIT}").selectExpr("phone", "cellid", "idx", "times AS exit_time")
     return _project(enters.join(exits, [*KEY, "idx"]), include_phone)
 
 
@@ -210,23 +205,25 @@ def first_exit(events: DataFrame, include_phone: bool = True,
                bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Each enter whose previous row is not an enter is paired with the
     earliest exit of its key whose time is >= its own (peers included)."""
-    wl = _local_window()
-    wr = Window.partitionBy(*KEY, "_b").orderBy("times").rangeBetween(Window.currentRow, UNF)
-    x = _edges(_bucket(_events(events), bucket_span), wl)
-    x = x.withColumn("_nx", F.min(F.when(F.col("register") == EXIT, F.col("times"))).over(wr))
-    starts = x.where((F.col("register") == ENTER) & not_equal_or_null(F.col("_prv"), ENTER))
-    bk = x.groupBy(*KEY, "_b").agg(
-        _at_last("register").alias("_last_reg"),
-        F.min(F.when(F.col("register") == EXIT, F.col("times"))).alias("_min_exit"),
-    )
-    bk = (bk.withColumn("_prev_reg", F.lag("_last_reg").over(_buckets()))
-            .withColumn("_later_exit", F.min("_min_exit").over(_buckets().rowsBetween(1, UNF))))
-    j = starts.join(bk.select(*KEY, "_b", "_prev_reg", "_later_exit"), [*KEY, "_b"])
-    j = j.where(F.col("_prv").isNotNull() | not_equal_or_null(F.col("_prev_reg"), ENTER))
-    out = j.select(*KEY, F.col("times").alias("enter_time"),
-                   F.coalesce("_nx", "_later_exit").alias("exit_time")).where(
-        F.col("exit_time").isNotNull())
-    return _project(out, include_phone)
+    x = _edges(_events(events, bucket_span),
+               f"min(CASE WHEN register = {EXIT} THEN times END) OVER ("
+               "PARTITION BY phone, cellid, _b ORDER BY times "
+               "RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _nx")
+    starts = x.where(f"register = {ENTER} AND NOT (_prv <=> {ENTER})")
+    # complete inside the bucket: the previous row and an exit are both here
+    done = starts.where("_prv IS NOT NULL AND _nx IS NOT NULL").selectExpr(
+        "phone", "cellid", "times AS enter_time", "_nx AS exit_time")
+    # the bucket's first row, or enters after the bucket's last exit
+    edge = starts.where("_prv IS NULL OR _nx IS NULL")
+    bk = _agg(x, [*KEY, "_b"], _last_reg=_at_last("register"),
+              _min_exit=f"min(CASE WHEN register = {EXIT} THEN times END)")
+    bk = bk.selectExpr("phone", "cellid", "_b",
+                       f"lag(_last_reg) OVER ({W_BUCKETS}) AS _prev_reg",
+                       f"min(_min_exit) OVER ({W_BUCKETS} {AFTER}) AS _later_exit")
+    j = edge.join(bk, [*KEY, "_b"]).where(f"_prv IS NOT NULL OR NOT (_prev_reg <=> {ENTER})")
+    out = j.selectExpr("phone", "cellid", "times AS enter_time",
+                       "coalesce(_nx, _later_exit) AS exit_time").where("exit_time IS NOT NULL")
+    return _project(done.unionByName(out), include_phone)
 
 
 _RULES = {"robust": robust, "adjacent": adjacent, "ordinal": ordinal, "first_exit": first_exit}

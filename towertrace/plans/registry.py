@@ -51,10 +51,16 @@ def _subjects(spark, d):
     return subjects_from_events(_events(spark, d))
 
 
+def _inputs(spark, d):
+    """The event view and the subject list, from one read of `events`."""
+    ev = _events(spark, d)
+    return cdr_from_events(ev), subjects_from_events(ev)
+
+
 def _contacts(rule: str, include: bool, strategy: str = "auto") -> Query:
     def q(spark, d):
-        return trace(_cdr(spark, d), _subjects(spark, d), rule=rule, include=include,
-                     strategy=strategy, spark=spark)
+        cdr, subj = _inputs(spark, d)
+        return trace(cdr, subj, rule=rule, include=include, strategy=strategy, spark=spark)
     return q
 
 
@@ -84,19 +90,20 @@ def q_subjects_text_scan(spark, d):
 
 
 def q_contacts_text_lines(spark, d):
-    c = trace(_cdr(spark, d), _subjects(spark, d), include=True, spark=spark)
+    cdr, subj = _inputs(spark, d)
+    c = trace(cdr, subj, include=True, spark=spark)
     path = write_sorted_phones(c, scratch_path(spark, "contacts"))
     return numbered_lines(spark, path)
 
 
 def q_overlap_counts(spark, d):
-    cdr, subj = _cdr(spark, d), _subjects(spark, d)
+    cdr, subj = _inputs(spark, d)
     return overlap_counts(intervals(subject_events(cdr, subj), "robust"), intervals(cdr, "robust"))
 
 
 def q_reconcile(kind: str) -> Query:
     def q(spark, d):
-        cdr, subj = _cdr(spark, d), _subjects(spark, d)
+        cdr, subj = _inputs(spark, d)
         expected = trace(cdr, subj, rule="first_exit", include=True, spark=spark)
         actual = trace(cdr, subj, rule="robust", include=True, spark=spark)
         if kind == "missing":
@@ -144,9 +151,9 @@ QUERIES: dict[str, Query] = {
     "cdr_text_scan": q_cdr_text_scan,
     "subjects_text_scan": q_subjects_text_scan,
     "register_filter": lambda s, d: _cdr(s, d).where(F.col("register") == 1),
-    "subject_events": lambda s, d: subject_events(_cdr(s, d), _subjects(s, d)),
+    "subject_events": lambda s, d: subject_events(*_inputs(s, d)),
     "cdr_sample": lambda s, d: _cdr(s, d).orderBy("cellid", "times", "register", "phone").limit(5),
-    "table_counts": lambda s, d: checks.table_counts(cdr=_cdr(s, d), subjects=_subjects(s, d)),
+    "table_counts": lambda s, d: checks.table_counts(**dict(zip(("cdr", "subjects"), _inputs(s, d)))),
     # windows
     "lag_register": lambda s, d: with_previous(_cdr(s, d)),
     "event_ordinal": lambda s, d: with_ordinal(_cdr(s, d)),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import seconds_of_day, ts_to_times
+from ..functions.timefmt import seconds_of_day, times_sql, ts_to_times
 from ..schema import ENTER, EXIT, LAST_SECOND_OF_DAY
 
 # Event types of the test table mapped to codes; any other
@@ -40,28 +40,27 @@ def tower_of(props) -> F.Column:
     return F.get_json_object(p, "$.k").try_cast("long")
 
 
+def _register_sql(event_type: str) -> str:
+    enters = ", ".join(f"'{t}'" for t in ENTER_TYPES)
+    exits = ", ".join(f"'{t}'" for t in EXIT_TYPES)
+    return (f"CAST(CASE WHEN `{event_type}` IN ({enters}) THEN {ENTER} "
+            f"WHEN `{event_type}` IN ({exits}) THEN {EXIT} ELSE {OTHER_CODE} END AS INT)")
+
+
 def cdr_from_events(events: DataFrame) -> DataFrame:
     """(cellid, times, register, phone); rows with a missing field dropped."""
-    return (
-        events.select(
-            tower_of("props").alias("cellid"),
-            ts_to_times("ts").alias("times"),
-            register_code("event_type").alias("register"),
-            F.col("user_id").cast("long").alias("phone"),
-        )
-        .where(F.col("cellid").isNotNull() & F.col("times").isNotNull()
-               & F.col("phone").isNotNull())
-    )
+    return events.selectExpr(
+        "try_cast(get_json_object(props, '$.k') AS BIGINT) AS cellid",
+        f"{times_sql('ts')} AS times",
+        f"{_register_sql('event_type')} AS register",
+        "CAST(user_id AS BIGINT) AS phone",
+    ).where("cellid IS NOT NULL AND times IS NOT NULL AND phone IS NOT NULL")
 
 
 def subjects_from_events(events: DataFrame, min_value: float = SUBJECT_MIN_VALUE) -> DataFrame:
     """Distinct phones that reported a value of at least `min_value`."""
-    return (
-        events.where(F.col("value") >= F.lit(min_value))
-        .select(F.col("user_id").cast("long").alias("phone"))
-        .where(F.col("phone").isNotNull())
-        .distinct()
-    )
+    return (events.where(f"value >= {float(min_value)!r} AND user_id IS NOT NULL")
+            .selectExpr("CAST(user_id AS BIGINT) AS phone").distinct())
 
 
 def visits_from_events(events: DataFrame) -> DataFrame:
