@@ -21,6 +21,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.checkpoint.dir", ckpt)
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tt-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

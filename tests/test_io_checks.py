@@ -97,3 +97,21 @@ def test_reconcile_report(spark):
     rep = {r.metric: r.value for r in checks.reconcile_report(e, a).collect()}
     assert rep == {"expected_count": 3, "actual_count": 4, "missing_in_actual": 1,
                    "extra_in_actual": 1, "duplicate_groups_in_actual": 1}
+
+
+def test_catalog_tables(spark):
+    from towertrace.sources import (
+        ensure_database, list_tables, load_managed_table, register_external_text_table,
+    )
+    tmp = tempfile.mkdtemp(prefix="tt-ext-")
+    _write(tmp, "part-00000", "55000000001,20220507000001,1,13000000001\n"
+                              "55000000001,20220507000101,2,13000000001\n")
+    ensure_database(spark, "tracing")
+    ensure_database(spark, "tracing")  # idempotent, drops nothing
+    ext = register_external_text_table(spark, "tracing.cdinfo", tmp)
+    assert ext.count() == 2 and ext.columns == ["cellid", "times", "register", "phone"]
+    subj = spark.createDataFrame([(13000000001,)], "phone long")
+    load_managed_table(spark, "tracing.infected", subj)
+    load_managed_table(spark, "tracing.infected", subj)  # overwrite, not append
+    assert spark.table("tracing.infected").count() == 1
+    assert list_tables(spark, "tracing") == ["cdinfo", "infected"]

@@ -108,3 +108,24 @@ def test_with_previous_crosses_buckets(spark):
             exp = [(t, r, rows[i - 1][1] if i else None, rows[i - 1][0] if i else None)
                    for i, (t, r) in enumerate(rows)]
             assert norm(got.get(k, [])) == norm(exp), (span, rows)
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_hot_key_is_split_by_time(spark, rule):
+    """One (phone, tower) key holds most events; it is cut into time
+    buckets, so no task sorts the whole key, and the answer is unchanged."""
+    rnd = random.Random(7)
+    keyed = {0: [(rnd.randint(0, 3000), rnd.choice([1, 2, 2, 1, 0])) for _ in range(6000)]}
+    for k in range(1, 40):
+        keyed[k] = [(rnd.randint(0, 3000), rnd.choice([1, 2])) for _ in range(rnd.randint(0, 6))]
+    ev = _events(spark, keyed)
+    df = intervals(ev, rule, bucket_span=50)
+    got = _collect(df)
+    for k, evs in keyed.items():
+        assert got.get(k, []) == sorted(pyrules.RULES[rule](evs)), (rule, k)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(phone" in plan and "_b" in plan
+    # the hot key's rows spread over many (key, bucket) groups
+    from pyspark.sql import functions as F
+    n_buckets = ev.where("phone = 0").select(F.expr("times div 50")).distinct().count()
+    assert n_buckets > 50

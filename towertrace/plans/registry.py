@@ -79,6 +79,15 @@ def _stay_lines(spark, d):
     return numbered_lines(spark, path)
 
 
+def q_events_sorted_lines(spark, d):
+    """Event export sorted by (cellid, times, register, phone): range-
+    partitioned sort, CSV lines, read back with line numbers."""
+    cdr = _cdr(spark, d)
+    path = write_lines(cdr.orderBy("cellid", "times", "register", "phone").select(csv_line()),
+                       scratch_path(spark, "events-sorted"))
+    return numbered_lines(spark, path)
+
+
 def q_cdr_text_scan(spark, d):
     path = write_lines(_cdr(spark, d).select(csv_line()), scratch_path(spark, "cdr-csv"))
     return read_events_text(spark, path)
@@ -189,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "stay_lines_duplicates": lambda s, d: checks.duplicate_values(_stay_lines(s, d).select("line"), ["line"]),
     # export formats
     "events_csv_lines": lambda s, d: _cdr(s, d).select(csv_line().alias("line")),
+    "events_sorted_lines": q_events_sorted_lines,
     "rowkey_tsv_lines": lambda s, d: _cdr(s, d).select(rowkey_tsv_line().alias("line")),
     "subject_tsv_lines": lambda s, d: _subjects(s, d).select(subject_tsv_line().alias("line")),
     # reshaping and scale-up
@@ -275,6 +285,10 @@ WHERE CAST(c.line AS BIGINT) < CAST(p.line AS BIGINT)""",
     "events_csv_lines": _W(S.CDR) +
         "SELECT concat_ws(',', CAST(cellid AS VARCHAR), CAST(times AS VARCHAR), "
         "CAST(register AS VARCHAR), CAST(phone AS VARCHAR)) AS line FROM cdr",
+    "events_sorted_lines": _W(S.CDR) +
+        "SELECT row_number() OVER (ORDER BY cellid, times, register, phone) AS line_no, "
+        "concat_ws(',', CAST(cellid AS VARCHAR), CAST(times AS VARCHAR), "
+        "CAST(register AS VARCHAR), CAST(phone AS VARCHAR)) AS line FROM cdr",
     "rowkey_tsv_lines": _W(S.CDR) +
         "SELECT concat_ws(chr(9), concat_ws('_', CAST(cellid AS VARCHAR), CAST(times AS VARCHAR), "
         "CAST(phone AS VARCHAR), CAST(register AS VARCHAR)), CAST(cellid AS VARCHAR), "

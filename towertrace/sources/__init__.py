@@ -2,7 +2,9 @@
 views that adapt the driver's test tables to the event data model."""
 
 from .text import read_events_text, read_subjects_text, split_valid, read_lines, numbered_lines
-from .tables import read_table, register_external_text_table, load_managed_table
+from .tables import (
+    read_table, register_external_text_table, load_managed_table, ensure_database, list_tables,
+)
 from .testdata import (
     load, cdr_from_events, subjects_from_events, visits_from_events,
     stays_from_orders, subjects_from_customers,
@@ -10,7 +12,8 @@ from .testdata import (
 
 __all__ = [
     "read_events_text", "read_subjects_text", "split_valid", "read_lines", "numbered_lines",
-    "read_table", "register_external_text_table", "load_managed_table",
+    "read_table", "register_external_text_table", "load_managed_table", "ensure_database",
+    "list_tables",
     "load", "cdr_from_events", "subjects_from_events", "visits_from_events",
     "stays_from_orders", "subjects_from_customers",
 ]

@@ -31,3 +31,13 @@ def load_managed_table(spark: SparkSession, name: str, df: DataFrame) -> DataFra
     """`LOAD DATA ... OVERWRITE INTO TABLE`: replace a managed table's rows."""
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
     return spark.table(name)
+
+
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """`create database` without dropping anything that exists."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+
+def list_tables(spark: SparkSession, database: str) -> list[str]:
+    """`show tables` (names only; catalog metadata, not data)."""
+    return sorted(t.name for t in spark.catalog.listTables(database))
