@@ -164,13 +164,26 @@ def with_previous(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> Da
 def adjacent(events: DataFrame, include_phone: bool = True,
              bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """A row is kept when the previous row of its key is an enter and it is
-    an exit; stay = (previous time, own time).  Duplicates are kept."""
+    an exit; stay = (previous time, own time).  Duplicates are kept.
+
+    Pairs inside a bucket are final.  Each bucket's first and last row also
+    go to the key's group (-1), where a first row finds the previous
+    bucket's last row as its predecessor (first rows order before last rows
+    of the same bucket).  One shuffle of pairs and edge rows; the events
+    are sorted once."""
     x = _edges(_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
-    inner = x.where(f"_prv = {ENTER} AND register = {EXIT}").selectExpr(
-        "phone", "cellid", "_pt AS enter_time", "times AS exit_time")
-    cross = _bucket_edges(x).where(f"_pr = {ENTER} AND _fr = {EXIT}").selectExpr(
-        "phone", "cellid", "_pt AS enter_time", "_ft AS exit_time")
-    return _project(inner.unionByName(cross), include_phone)
+    x = x.where(f"(_prv = {ENTER} AND register = {EXIT}) OR _prv IS NULL OR _nxt IS NULL")
+    x = x.selectExpr("*", "CASE WHEN _prv IS NULL OR _nxt IS NULL THEN -1 ELSE _b END AS _gk",
+                     "CASE WHEN _prv IS NULL THEN 0 ELSE 1 END AS _ek")
+    we = "PARTITION BY phone, cellid, _gk ORDER BY _b, _ek, times, register"
+    x = x.selectExpr("*", f"lag(register) OVER ({we}) AS _er", f"lag(times) OVER ({we}) AS _et")
+    out = x.selectExpr(
+        "phone", "cellid",
+        f"CASE WHEN _prv = {ENTER} AND register = {EXIT} THEN _pt "
+        f"WHEN _prv IS NULL AND register = {EXIT} AND _gk = -1 AND _er = {ENTER} THEN _et "
+        "END AS enter_time",
+        "times AS exit_time").where("enter_time IS NOT NULL")
+    return _project(out, include_phone)
 
 
 # --- ordinal: k-th enter with k-th exit ----------------------------------
@@ -204,26 +217,39 @@ def ordinal(events: DataFrame, include_phone: bool = True,
 def first_exit(events: DataFrame, include_phone: bool = True,
                bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Each enter whose previous row is not an enter is paired with the
-    earliest exit of its key whose time is >= its own (peers included)."""
+    earliest exit of its key whose time is >= its own (peers included).
+
+    Starts whose predecessor and exit are both inside their bucket are
+    final.  The others (a bucket's first row, or enters after the bucket's
+    last exit) go to the key's group (-1) together with each bucket's last
+    row, which carries the bucket's last code and earliest exit; ordered
+    range frames over the bucket number then give the previous bucket's
+    last code and the earliest exit of later buckets.  One shuffle of
+    starts and edge rows; the events are sorted once."""
     x = _edges(_events(events, bucket_span),
                f"min(CASE WHEN register = {EXIT} THEN times END) OVER ("
                "PARTITION BY phone, cellid, _b ORDER BY times "
                "RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _nx")
-    starts = x.where(f"register = {ENTER} AND NOT (_prv <=> {ENTER})")
-    # complete inside the bucket: the previous row and an exit are both here
-    done = starts.where("_prv IS NOT NULL AND _nx IS NOT NULL").selectExpr(
-        "phone", "cellid", "times AS enter_time", "_nx AS exit_time")
-    # the bucket's first row, or enters after the bucket's last exit
-    edge = starts.where("_prv IS NULL OR _nx IS NULL")
-    bk = _agg(x, [*KEY, "_b"], _last_reg=_at_last("register"),
-              _min_exit=f"min(CASE WHEN register = {EXIT} THEN times END)")
-    bk = bk.selectExpr("phone", "cellid", "_b",
-                       f"lag(_last_reg) OVER ({W_BUCKETS}) AS _prev_reg",
-                       f"min(_min_exit) OVER ({W_BUCKETS} {AFTER}) AS _later_exit")
-    j = edge.join(bk, [*KEY, "_b"]).where(f"_prv IS NOT NULL OR NOT (_prev_reg <=> {ENTER})")
-    out = j.selectExpr("phone", "cellid", "times AS enter_time",
-                       "coalesce(_nx, _later_exit) AS exit_time").where("exit_time IS NOT NULL")
-    return _project(done.unionByName(out), include_phone)
+    x = x.selectExpr("*", f"register = {ENTER} AND NOT (_prv <=> {ENTER}) AS _st")
+    # the bucket's earliest exit, known on its last row
+    x = x.selectExpr("*", f"CASE WHEN _nxt IS NULL THEN min(CASE WHEN register = {EXIT} "
+                          "THEN times END) OVER (PARTITION BY phone, cellid, _b) END AS _bx")
+    x = x.where("_st OR _nxt IS NULL")
+    # a bucket's last row always joins the key's group: it carries the carry
+    x = x.selectExpr(
+        "*", "CASE WHEN _nxt IS NULL THEN -1 "
+             "WHEN _prv IS NOT NULL AND _nx IS NOT NULL THEN _b ELSE -1 END AS _gk")
+    wk = "PARTITION BY phone, cellid, _gk ORDER BY _b"
+    x = x.selectExpr(
+        "*",
+        f"last(CASE WHEN _nxt IS NULL THEN register END, true) OVER ({wk} "
+        "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _prev_reg",
+        f"min(_bx) OVER ({wk} RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS _later_exit")
+    out = x.where(f"_st AND (_prv IS NOT NULL OR NOT (_prev_reg <=> {ENTER}))").selectExpr(
+        "phone", "cellid", "times AS enter_time",
+        "CASE WHEN _gk = -1 THEN coalesce(_nx, _later_exit) ELSE _nx END AS exit_time",
+    ).where("exit_time IS NOT NULL")
+    return _project(out, include_phone)
 
 
 _RULES = {"robust": robust, "adjacent": adjacent, "ordinal": ordinal, "first_exit": first_exit}
