@@ -60,17 +60,20 @@ def missing(expected: DataFrame, actual: DataFrame, key: str = "phone") -> DataF
 
 
 def reconcile_report(expected: DataFrame, actual: DataFrame, key: str = "phone") -> DataFrame:
-    """(metric, value): counts, missing, extra and duplicate key groups."""
-    def n(df, name):
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
-    parts = [
-        n(expected, "expected_count"),
-        n(actual, "actual_count"),
-        n(missing(expected, actual, key), "missing_in_actual"),
-        n(missing(actual, expected, key), "extra_in_actual"),
-        n(duplicate_values(actual, [key]), "duplicate_groups_in_actual"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(metric, value): counts, missing, extra and duplicate key groups.
+
+    One full outer join of the per-key counts of both sides feeds one
+    aggregate, so each side is computed once however many metrics use it."""
+    e = expected.groupBy(key).agg(F.count(F.lit(1)).alias("_ne"))
+    a = actual.groupBy(key).agg(F.count(F.lit(1)).alias("_na"))
+    r = e.join(a, key, "full_outer").agg(
+        F.expr("coalesce(sum(_ne), 0) AS expected_count"),
+        F.expr("coalesce(sum(_na), 0) AS actual_count"),
+        F.expr("count(CASE WHEN _na IS NULL THEN 1 END) AS missing_in_actual"),
+        F.expr("count(CASE WHEN _ne IS NULL THEN 1 END) AS extra_in_actual"),
+        F.expr("count(CASE WHEN _na > 1 THEN 1 END) AS duplicate_groups_in_actual"),
+    )
+    names = ["expected_count", "actual_count", "missing_in_actual", "extra_in_actual",
+             "duplicate_groups_in_actual"]
+    pairs = ", ".join(f"'{n}', {n}" for n in names)
+    return r.selectExpr(f"stack({len(names)}, {pairs}) AS (metric, value)")
