@@ -116,18 +116,16 @@ def overlapping_stays_sweep(all_stays: DataFrame, subject_stays: DataFrame,
         "cellid", "exit_time AS _key", "CAST(NULL AS BIGINT) AS _val", "1 AS _kind",
         "phone", "enter_time", "exit_time")
     u = subj.unionByName(alls).selectExpr("*", f"{b} AS _b")
-    u = u.selectExpr("*", "max(_val) OVER (PARTITION BY cellid, _b ORDER BY _key, _kind "
-                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _m")
+    # per-bucket maximum, aggregated straight from the shuffled rows (no
+    # second sort), then carried over earlier buckets
     bk = u.groupBy("cellid", "_b").agg(F.expr("max(_val) AS _bm"))
     bk = bk.selectExpr("cellid", "_b", "max(_bm) OVER (PARTITION BY cellid ORDER BY _b "
                                        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _carry")
-    stays = u.where("_kind = 1")
-    decided = stays.where("_m >= enter_time")
-    rest = stays.where("NOT coalesce(_m >= enter_time, false)")
-    carried = rest.join(bk.where("_carry IS NOT NULL"), ["cellid", "_b"]).where(
-        "_carry >= enter_time")
-    cols = ["phone", "cellid", "enter_time", "exit_time"]
-    return decided.select(*cols).unionByName(carried.select(*cols))
+    u = u.selectExpr("*", "max(_val) OVER (PARTITION BY cellid, _b ORDER BY _key, _kind "
+                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _m")
+    hits = (u.where("_kind = 1").join(bk, ["cellid", "_b"], "left")
+            .where("_m >= enter_time OR _carry >= enter_time"))
+    return hits.select("phone", "cellid", "enter_time", "exit_time")
 
 
 def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: DataFrame,
@@ -179,28 +177,29 @@ def overlap_counts(subject_stays: DataFrame, all_stays: DataFrame,
     the first, so both are running counts over one stream per (tower,
     bucket) with per-bucket carries: no pair is formed."""
     nul = "CAST(NULL AS BIGINT)"
-    starts = subject_stays.selectExpr("cellid", "enter_time AS _key", "0 AS _kind",
-                                      f"{nul} AS phone", f"{nul} AS enter_time", f"{nul} AS exit_time")
-    ends = subject_stays.selectExpr("cellid", "exit_time AS _key", "1 AS _kind",
-                                    f"{nul} AS phone", f"{nul} AS enter_time", f"{nul} AS exit_time")
-    # probes: the stay's exit counts starts <= x; the stay's enter counts
-    # ends < e.  At equal keys: end-probe(-1) < start(0) < end(1) < exit-probe(2)
-    probe_x = all_stays.selectExpr("cellid", "exit_time AS _key", "2 AS _kind",
-                                   "phone", "enter_time", "exit_time")
-    probe_e = all_stays.selectExpr("cellid", "enter_time AS _key", "-1 AS _kind",
-                                   "phone", "enter_time", "exit_time")
-    u = starts.unionByName(ends).unionByName(probe_x).unionByName(probe_e)
-    u = u.selectExpr("*", f"{bucket_sql('_key', bucket_span)} AS _b")
-    w = ("PARTITION BY cellid, _b ORDER BY _key, _kind "
-         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
-    u = u.selectExpr("*", f"sum(CASE WHEN _kind = 0 THEN 1 ELSE 0 END) OVER ({w}) AS _ns",
-                     f"sum(CASE WHEN _kind = 1 THEN 1 ELSE 0 END) OVER ({w}) AS _ne")
+    # subject starts (kind 0) and ends (kind 1); stay probes: the exit counts
+    # starts <= x (kind 2), the enter counts ends < e (kind -1).  At equal
+    # keys: end-probe(-1) < start(0) < end(1) < exit-probe(2).  Each side is
+    # read once; a generator emits both rows of a stay.
+    subj = subject_stays.selectExpr(
+        "cellid", f"{nul} AS phone", f"{nul} AS enter_time", f"{nul} AS exit_time",
+        "inline(array(named_struct('_key', enter_time, '_kind', 0), "
+        "named_struct('_key', exit_time, '_kind', 1)))")
+    probes = all_stays.selectExpr(
+        "cellid", "phone", "enter_time", "exit_time",
+        "inline(array(named_struct('_key', exit_time, '_kind', 2), "
+        "named_struct('_key', enter_time, '_kind', -1)))")
+    u = subj.unionByName(probes).selectExpr("*", f"{bucket_sql('_key', bucket_span)} AS _b")
     bk = u.groupBy("cellid", "_b").agg(
         F.expr("sum(CASE WHEN _kind = 0 THEN 1 ELSE 0 END) AS _bs"),
         F.expr("sum(CASE WHEN _kind = 1 THEN 1 ELSE 0 END) AS _be"))
     wb = "PARTITION BY cellid ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     bk = bk.selectExpr("cellid", "_b", f"coalesce(sum(_bs) OVER ({wb}), 0) AS _cs",
                        f"coalesce(sum(_be) OVER ({wb}), 0) AS _ce")
+    w = ("PARTITION BY cellid, _b ORDER BY _key, _kind "
+         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    u = u.selectExpr("*", f"sum(CASE WHEN _kind = 0 THEN 1 ELSE 0 END) OVER ({w}) AS _ns",
+                     f"sum(CASE WHEN _kind = 1 THEN 1 ELSE 0 END) OVER ({w}) AS _ne")
     p = u.where("_kind IN (-1, 2)").join(bk, ["cellid", "_b"])
     # the two probes of one stay meet again on the stay itself
     res = p.groupBy("phone", "cellid", "enter_time", "exit_time").agg(
