@@ -191,10 +191,11 @@ def adjacent(events: DataFrame, include_phone: bool = True,
 def with_ordinal(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Enter and exit rows with `idx`, their 0-based rank among the key's
     rows of the same code, ordered by time."""
-    x = _events(events, bucket_span).where(f"register IN ({ENTER}, {EXIT})")
-    x = x.selectExpr("*", "row_number() OVER (PARTITION BY phone, cellid, register, _b "
-                          "ORDER BY times) - 1 AS _r")
-    bk = _agg(x, [*KEY, "register", "_b"], _n="count(1)")
+    ev = _events(events, bucket_span).where(f"register IN ({ENTER}, {EXIT})")
+    # bucket sizes straight from the shuffled rows (no second sort)
+    bk = _agg(ev, [*KEY, "register", "_b"], _n="count(1)")
+    x = ev.selectExpr("*", "row_number() OVER (PARTITION BY phone, cellid, register, _b "
+                           "ORDER BY times) - 1 AS _r")
     bk = bk.selectExpr("phone", "cellid", "register", "_b",
                        "coalesce(sum(_n) OVER (PARTITION BY phone, cellid, register ORDER BY _b "
                        f"{BEFORE}), 0) AS _base")
