@@ -141,3 +141,20 @@ def test_same_result_any_partitioning(spark):
             sub_st, st, subj, include=True, strategy="sweep", spark=spark).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert res[0] == res[1]
+
+
+def test_broadcast_only_within_bound(spark):
+    from towertrace.operators import bounded_broadcast
+    small = spark.range(5).withColumnRenamed("id", "phone")
+    _, hinted = bounded_broadcast(small, 5)
+    assert hinted
+    _, hinted = bounded_broadcast(small, 4)
+    assert not hinted
+    st = _stays(spark, [(1, 1, 10, 20), (2, 1, 30, 40), (3, 1, 15, 35)])
+    subj = _subjects(spark, [1, 2])
+    with pytest.raises(ValueError):
+        find_contacts(st.where("phone in (1, 2)"), st, subj, include=True,
+                      strategy="broadcast", max_island_rows=1, spark=spark)
+    got = find_contacts(st.where("phone in (1, 2)"), st, subj, include=True,
+                        strategy="broadcast", max_island_rows=2, spark=spark)
+    assert sorted(r.phone for r in got.collect()) == [1, 2, 3]
