@@ -96,8 +96,14 @@ def test_strategies_agree_with_brute_force(spark, neg, span):
 
 def test_islands_merge_touching(spark):
     st = _stays(spark, [(1, 1, 1, 2), (1, 1, 2, 3), (1, 1, 5, 6), (1, 1, 5, 9), (1, 2, 1, 1)])
-    got = sorted(tuple(r) for r in islands(st).select("cellid", "enter_time", "exit_time").collect())
+    got = sorted(tuple(r) for r in islands(st, None).select("cellid", "enter_time", "exit_time").collect())
     assert got == [(1, 1, 3), (1, 5, 9), (2, 1, 1)]
+    # cut at bucket edges (width 4): [1,3] stays, [5,9] starts in bucket 1
+    got = sorted(tuple(r) for r in islands(st, 4).select("cellid", "enter_time", "exit_time").collect())
+    assert got == [(1, 1, 3), (1, 5, 9), (2, 1, 1)]
+    st2 = _stays(spark, [(1, 1, 1, 6), (1, 1, 5, 9)])   # one island over buckets 0 and 1
+    got = sorted(tuple(r) for r in islands(st2, 4).select("cellid", "enter_time", "exit_time").collect())
+    assert got == [(1, 1, 6), (1, 5, 9)]
 
 
 @pytest.mark.parametrize("span", [None, 3])

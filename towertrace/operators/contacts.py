@@ -56,19 +56,25 @@ def subject_events(events: DataFrame, subjects: DataFrame,
     return events.join(subj, "phone", "left_semi")
 
 
-def islands(stays: DataFrame) -> DataFrame:
+def islands(stays: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Merge overlapping or touching closed stays per tower (gaps and
-    islands).  Meant for the subject side only, whose size is checked by
-    the caller before it is used in a broadcast."""
-    w = "PARTITION BY cellid ORDER BY enter_time, exit_time"
-    s = stays.selectExpr("cellid", "enter_time", "exit_time",
-                         f"max(exit_time) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _pm")
-    s = s.selectExpr("cellid", "enter_time", "exit_time",
+    islands), separately inside each time bucket of the stays' enter time.
+
+    An island cut at a bucket edge becomes several pieces; each piece is a
+    contiguous union of its own members, so the pieces cover exactly the
+    points the stays cover and overlap tests give the same answer.  No carry
+    between buckets is needed, and a hot tower is spread over its buckets."""
+    b = bucket_sql("enter_time", bucket_span)
+    w = "PARTITION BY cellid, _b ORDER BY enter_time, exit_time"
+    s = stays.selectExpr("cellid", "enter_time", "exit_time", f"{b} AS _b")
+    s = s.selectExpr("cellid", "enter_time", "exit_time", "_b",
+                     f"max(exit_time) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _pm")
+    s = s.selectExpr("cellid", "enter_time", "exit_time", "_b",
                      f"sum(CASE WHEN _pm IS NULL OR enter_time > _pm THEN 1 ELSE 0 END) OVER ({w} "
                      "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _isl")
-    return s.groupBy("cellid", "_isl").agg(
+    return s.groupBy("cellid", "_b", "_isl").agg(
         F.expr("min(enter_time) AS enter_time"), F.expr("max(exit_time) AS exit_time")
-    ).drop("_isl")
+    ).drop("_b", "_isl")
 
 
 def overlapping_stays_broadcast(all_stays: DataFrame, subject_islands: DataFrame) -> DataFrame:
@@ -145,9 +151,9 @@ def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: Data
         raise ValueError(f"unknown strategy {strategy!r}")
     hits = None
     if strategy == "auto":
-        hits = overlapping_stays_runtime(all_stays, islands(subject_stays))
+        hits = overlapping_stays_runtime(all_stays, islands(subject_stays, bucket_span))
     elif strategy == "broadcast":
-        isl = islands(subject_stays)
+        isl = islands(subject_stays, bucket_span)
         if spark is not None:
             from ..session import materialize
             isl, n = materialize(isl, spark, "subject-islands")
