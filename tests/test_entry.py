@@ -33,3 +33,20 @@ def test_oracle_sf0001(spark, key):
     con = duck(SF)
     r = compare(spark, con, key, E.queries()[key], E.oracle_sql()[key], SF)
     assert r["ok"], r
+
+
+@pytest.mark.skipif(not HAVE_DATA, reason="test data not present")
+def test_same_answer_for_1_and_64_partitions(spark):
+    from towertrace.operators import intervals
+    from towertrace.plans import trace
+    from towertrace.sources import cdr_from_events, load, subjects_from_events
+    ev = load(spark, SF, "events")
+    cdr, subj = cdr_from_events(ev), subjects_from_events(ev)
+    res = []
+    for parts in ("1", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        stays = sorted(tuple(r) for r in intervals(cdr, "robust").collect())
+        contacts = sorted(r.phone for r in trace(cdr, subj, include=True, spark=spark).collect())
+        res.append((stays, contacts))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert res[0] == res[1] and res[0][0]
