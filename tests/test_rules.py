@@ -129,3 +129,19 @@ def test_hot_key_is_split_by_time(spark, rule):
     from pyspark.sql import functions as F
     n_buckets = ev.where("phone = 0").select(F.expr("times div 50")).distinct().count()
     assert n_buckets > 50
+
+
+from hypothesis import HealthCheck, given, settings, strategies as hs  # noqa: E402
+
+_SEQ = hs.lists(hs.tuples(hs.integers(0, 9), hs.sampled_from([0, 1, 1, 2, 2])), max_size=10)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batch=hs.lists(_SEQ, min_size=1, max_size=40))
+def test_property_rules_match_python(spark, batch):
+    keyed = dict(enumerate(batch))
+    ev = _events(spark, keyed)
+    for rule in RULES:
+        got = _collect(intervals(ev, rule, bucket_span=2))
+        for k, evs in keyed.items():
+            assert got.get(k, []) == sorted(pyrules.RULES[rule](evs)), (rule, sorted(evs))
