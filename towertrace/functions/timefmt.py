@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import LAST_SECOND_OF_DAY, TIME_PATTERN
+from ..schema import LAST_SECOND_OF_DAY
 
 
 def _c(x) -> Column:
