@@ -208,9 +208,12 @@ def ordinal(events: DataFrame, include_phone: bool = True,
     """Pair the k-th enter with the k-th exit of each key; a stay may end
     before it starts, and unmatched rows are dropped."""
     x = with_ordinal(events, bucket_span)
-    enters = x.where(f"register = {ENTER}").selectExpr("phone", "cellid", "idx", "times AS enter_time")
-    exits = x.where(f"register = {EXIT}").selectExpr("phone", "cellid", "idx", "times AS exit_time")
-    return _project(enters.join(exits, [*KEY, "idx"]), include_phone)
+    # each (key, idx) holds at most one enter and one exit: a hash aggregate
+    # pairs them (one shuffle, no sort-merge join)
+    out = _agg(x, [*KEY, "idx"],
+               enter_time=f"max(CASE WHEN register = {ENTER} THEN times END)",
+               exit_time=f"max(CASE WHEN register = {EXIT} THEN times END)")
+    return _project(out.where("enter_time IS NOT NULL AND exit_time IS NOT NULL"), include_phone)
 
 
 # --- first exit: each run-starting enter with the earliest exit at or after it
