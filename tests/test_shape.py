@@ -44,3 +44,16 @@ def test_planted_visits_are_found(spark):
     contacts = {r.phone for r in trace(ev, subj, include=False, spark=spark).collect()}
     assert {r.phone for r in planted.collect()} <= contacts
     assert 2 not in contacts
+
+
+def test_integer_time_key_equals_formatted(spark):
+    import os
+    from towertrace.functions import ts_to_times
+    path = "/root/testdata/sf0.01/events.parquet"
+    if not os.path.exists(path):
+        return
+    ev = spark.read.parquet(path)
+    diff = ev.where(ts_to_times("ts") != F.date_format("ts", "yyyyMMddHHmmss").cast("long"))
+    assert diff.count() == 0
+    col = ev.select(ts_to_times(F.col("ts")).alias("a"), ts_to_times("ts").alias("b"))
+    assert col.where("a <> b").count() == 0
