@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact
+from . import bpe, exact, simhash
 from .shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +30,15 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(bpe.bpe_decode(bpe.bpe_encode(read_table(spark, sf_dir, "documents"), path), path))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.simhash_groups(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
+    "op6_simhash": op6_simhash,
 }
 
 SQL: dict[str, str] = {
