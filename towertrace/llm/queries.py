@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, simhash
+from . import bpe, decontaminate, exact, simhash
 from .shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,10 +35,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and benchmark item found in it."""
+    return decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,
+    "op8_decontamination": op8_decontamination,
 }
 
 SQL: dict[str, str] = {
