@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, simhash
+from . import bpe, decontaminate, exact, simhash, urls
 from .shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: (host, path, verdict)
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(read_table(spark, sf_dir, "pages"), rules)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact.decisions(read_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept",
@@ -41,6 +56,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_url_filters": op2_url_filters,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,
@@ -48,6 +64,7 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_url_filters": urls.oracle(URL_RULES),
     "op3_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
