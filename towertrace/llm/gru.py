@@ -13,7 +13,7 @@ import zlib
 
 import numpy as np
 
-WORD_ROWS, CHAR_ROWS = 1 << 14, 1 << 13
+WORD_ROWS, CHAR_ROWS = 1 << 16, 1 << 13
 
 
 def word_rows(words: list[str]) -> np.ndarray:
@@ -44,6 +44,34 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """out[rows] += values, with repeated rows."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+    out[rows[starts]] += np.add.reduceat(values[order], starts, axis=0)
+
+
+class Words:
+    """Hashed rows of distinct words, computed once."""
+
+    def __init__(self, words: list[str]):
+        self.word = word_rows(words)
+        self.char, self.starts = char_rows(words)
+        self.counts = np.diff(np.concatenate((self.starts, [len(self.char)])))
+
+    def __len__(self) -> int:
+        return len(self.word)
+
+    def part(self, which: np.ndarray) -> "Words":
+        out = object.__new__(Words)
+        out.word, out.counts = self.word[which], self.counts[which]
+        ends = np.cumsum(out.counts)
+        out.starts = ends - out.counts
+        out.char = self.char[np.repeat(self.starts[which] - out.starts, out.counts) + np.arange(ends[-1])]
+        return out
+
+
 class Network:
     """Parameters by name in `p`; D inputs, H states per direction."""
 
@@ -52,20 +80,18 @@ class Network:
         d, h = size, states
         self.size, self.states = d, h
         draw = lambda *shape, scale: (rnd.standard_normal(shape) * scale).astype(np.float32)
-        self.p = {"word": draw(WORD_ROWS, d, scale=0.1), "char": draw(CHAR_ROWS, d, scale=0.3),
+        self.p = {"word": draw(WORD_ROWS, d, scale=0.02), "char": draw(CHAR_ROWS, d, scale=0.3),
                   "attend": draw(2 * h, scale=0.3), "out": draw(2 * h, scale=0.3), "bias": np.zeros(1, np.float32)}
         for way in "fb":
             self.p |= {f"in_{way}": draw(d, 3 * h, scale=d ** -0.5), f"b_{way}": np.zeros(3 * h, np.float32),
                        f"gate_{way}": draw(h, 2 * h, scale=h ** -0.5), f"new_{way}": draw(h, h, scale=h ** -0.5)}
 
-    def inputs(self, words: list[str]) -> np.ndarray:
+    def inputs(self, words: Words) -> np.ndarray:
         """Input vector of each distinct word."""
-        rows, starts = char_rows(words)
-        sums = np.add.reduceat(self.p["char"][rows], starts, axis=0)
-        counts = np.diff(np.concatenate((starts, [len(rows)])))[:, None]
-        return self.p["word"][word_rows(words)] + sums / counts
+        sums = np.add.reduceat(self.p["char"][words.char], words.starts, axis=0)
+        return self.p["word"][words.word] + sums / words.counts[:, None].astype(np.float32)
 
-    def projected(self, words: list[str]) -> np.ndarray:
+    def projected(self, words: Words) -> np.ndarray:
         """Gate inputs of each distinct word, forward then backward."""
         x = self.inputs(words)
         return np.concatenate([x @ self.p[f"in_{w}"] + self.p[f"b_{w}"] for w in "fb"], 1)
@@ -105,7 +131,7 @@ class Network:
             keep |= {"mask": mask, "x": x, "kept": kept, "both": both, "weight": weight, "pooled": pooled}
         return pooled @ self.p["out"] + self.p["bias"][0]
 
-    def gradients(self, words: list[str], index: np.ndarray, target: np.ndarray, importance: np.ndarray) -> dict:
+    def gradients(self, words: Words, index: np.ndarray, target: np.ndarray, importance: np.ndarray) -> dict:
         """Gradients of the weighted mean log loss over one set of windows."""
         x = self.inputs(words)
         gates = np.concatenate([x @ self.p[f"in_{w}"] + self.p[f"b_{w}"] for w in "fb"], 1)
@@ -140,15 +166,13 @@ class Network:
                 d_in[t] = np.concatenate([d_zr, d_cand], 1)
                 d_state = d_state * (1 - step) + d_zr @ gate.T + d_rs * r
             g[f"gate_{way}"], g[f"new_{way}"] = g_gate, g_new
-            np.add.at(d_gates[:, number * 3 * h : (number + 1) * 3 * h], flat.ravel(), d_in.reshape(-1, 3 * h))
+            add_rows(d_gates[:, number * 3 * h : (number + 1) * 3 * h], flat.ravel(), d_in.reshape(-1, 3 * h))
             own = d_gates[:, number * 3 * h : (number + 1) * 3 * h]
             g[f"in_{way}"], g[f"b_{way}"] = x.T @ own, own.sum(0)
-        d_x = np.concatenate([g0 for g0 in (d_gates[:, : 3 * h] @ self.p["in_f"].T, )], 1) + d_gates[:, 3 * h :] @ self.p["in_b"].T
+        d_x = d_gates[:, : 3 * h] @ self.p["in_f"].T + d_gates[:, 3 * h :] @ self.p["in_b"].T
         g["word"], g["char"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["char"])
-        np.add.at(g["word"], word_rows(words), d_x)
-        rows, starts = char_rows(words)
-        counts = np.diff(np.concatenate((starts, [len(rows)])))
-        np.add.at(g["char"], rows, np.repeat(d_x / counts[:, None], counts, axis=0))
+        add_rows(g["word"], words.word, d_x)
+        add_rows(g["char"], words.char, np.repeat(d_x / words.counts[:, None].astype(np.float32), words.counts, axis=0))
         return g
 
 

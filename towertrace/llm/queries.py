@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, simhash, urls
+from . import bpe, decontaminate, exact, quality, simhash, toxicity, urls
+from .labelled import held_out
 from .shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,12 +56,31 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def _scores(frame: DataFrame, threshold: float) -> DataFrame:
+    return frame.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+                        (F.col("__score") >= threshold).cast("int").alias("predicted"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return _scores(toxicity.scored(docs.select("doc_id", "text"), model), toxicity.THRESHOLD)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return _scores(quality.scored(docs.select("doc_id", "text"), model), quality.THRESHOLD)
+
+
 QUERIES: dict[str, Query] = {
     "op2_url_filters": op2_url_filters,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,
     "op8_decontamination": op8_decontamination,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {

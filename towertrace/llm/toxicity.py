@@ -28,12 +28,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .gru import Adam, Network
+from .gru import Adam, Network, Words
 from .labelled import held_out, training_rows
 
 WINDOW, STRIDE = 48, 32
 #: Bounds of the training sample, in labelled rows.
-MOST_TOXIC, MOST_CLEAN = 1500, 2500
+MOST_TOXIC, MOST_CLEAN = 1000, 1500
 THRESHOLD = 0.7
 
 words_of = re.compile(r"[^\W\d_]+").findall
@@ -59,7 +59,7 @@ class WordTable:
         fresh = list(dict.fromkeys(w for words in texts for w in words if w not in number))
         if fresh:
             number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
-            self.gates = np.concatenate([self.gates, self.network.projected(fresh)])
+            self.gates = np.concatenate([self.gates, self.network.projected(Words(fresh))])
         return [np.fromiter(map(number.__getitem__, words), np.int64, len(words)) for words in texts]
 
 
@@ -123,8 +123,15 @@ class Model:
         return {**self.__dict__, "table": None}
 
 
-def train(toxic: list[str], clean: list[str], rounds: int = 8, batch: int = 256, seed: int = 11) -> Model | None:
-    """Fit network and map; None when a kind has no text with words."""
+def train(toxic: list[str], clean: list[str], share: float | None = None, rounds: int = 6, batch: int = 128,
+          least_steps: int = 250, seed: int = 11) -> Model | None:
+    """Fit network and map; None when a kind has no text with words.
+
+    `share` is the part of all labelled rows that is toxic (by default that
+    of the sample).  Every fifth text is kept from the network and calibrates
+    its scores, weighted to that share; with under 20 toxic ones among them
+    all texts do.
+    """
     rnd = np.random.default_rng(seed)
     texts = [words_of(t.lower()) for t in (*toxic, *clean)]
     label = np.array([1] * len(toxic) + [0] * len(clean))
@@ -141,44 +148,81 @@ def train(toxic: list[str], clean: list[str], rounds: int = 8, batch: int = 256,
     owner = np.repeat(np.arange(len(per)), [len(p) for p in per])
     index = np.concatenate(per)
     first = np.concatenate(([0], np.cumsum([len(p) for p in per])))
+    features = Words(vocabulary)
     logits = np.zeros(len(index), np.float32)
+    apart = np.concatenate([np.arange(n) % 5 == 4 for n in np.bincount(label)[::-1]])
+    if (apart & (label == 1)).sum() < 20:
+        apart[:] = False
     spread = np.where(label == 1, len(label) / (2 * (label == 1).sum()), len(label) / (2 * (label == 0).sum()))
-    for turn in range(rounds):
+    # Words that no toxic text has, for windows of one repeated word, of runs
+    # of words, and of a few words: none of them is toxic.
+    only_clean = np.setdiff1d(np.arange(len(vocabulary)), np.concatenate([rows[k] for k in np.flatnonzero((label == 1) | apart)]))
+    turn, steps = 0, 0
+    while turn < rounds or steps < least_steps:
         chosen = []
-        for k in range(len(per)):
+        for k in np.flatnonzero(~apart):
             span = np.arange(first[k], first[k + 1])
             if turn == 0:
                 chosen.append(rnd.choice(span, min(2, len(span)), replace=False))
             else:
                 top = span[np.argsort(-logits[span], kind="stable")]
-                chosen.append(top[:1] if label[k] else np.concatenate([top[:1], rnd.choice(span, 1)]))
+                chosen.append(top[:2] if label[k] else np.concatenate([top[:1], rnd.choice(span, 1)]))
         chosen = rnd.permutation(np.unique(np.concatenate(chosen)))
-        adam.rate = 0.02 if turn < rounds - 3 else 0.006
-        for at in range(0, len(chosen), batch):
-            part = chosen[at : at + batch]
-            used, local = np.unique(index[part], return_inverse=True)
-            local = local.reshape(index[part].shape) - (used[0] == -1)
-            words = [vocabulary[i] for i in used if i >= 0]
-            adam.step(network.gradients(words, local, label[owner[part]], spread[owner[part]]))
-        logits = window_logits(network, network.projected(vocabulary), index)
+        size = int(np.clip(len(chosen) // 16, 16, batch))
+        left = max(rounds - 1 - turn, (least_steps - steps) * size // len(chosen))
+        adam.rate = 0.02 if left > 1 else 0.006
+        for at in range(0, len(chosen), size):
+            part = chosen[at : at + size]
+            target, weight, window = label[owner[part]], spread[owner[part]], index[part]
+            if len(only_clean):
+                runs = np.repeat(rnd.choice(only_clean, (size // 4, WINDOW // 8)), 8, axis=1)
+                runs[::4] = runs[::4, :1]
+                few = runs[1::2]
+                few[:] = rnd.choice(only_clean, few.shape)
+                few[np.arange(WINDOW) >= rnd.integers(1, 9, (len(few), 1))] = -1
+                window = np.concatenate([window, runs])
+                target = np.concatenate([target, np.zeros(len(runs), int)])
+                weight = np.concatenate([weight, np.ones(len(runs))])
+            used, local = np.unique(window, return_inverse=True)
+            local = local.reshape(window.shape) - (used[0] == -1)
+            adam.step(network.gradients(features.part(used[used >= 0]), local, target, weight))
+            steps += 1
+        turn += 1
+        logits = window_logits(network, network.projected(features), index)
     best = np.maximum.reduceat(logits, first[:-1])
-    slope, offset = logistic(best, label)
+    use = apart if apart.any() else ~apart
+    share = label.mean() if share is None else share
+    weight = np.where(label == 1, share / label[use].mean(), (1 - share) / (1 - label[use].mean()))
+    slope, offset = logistic(best[use], label[use], weight[use])
     return Model(network, slope, offset, float(np.quantile(logits, 0.01)))
 
 
-def logistic(x: np.ndarray, label: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset of a logistic fit by Newton steps with a small ridge."""
+def logistic(x: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Slope and offset of a weighted logistic fit: Newton steps with a small
+    ridge, halved until the loss falls."""
     a = np.stack([x.astype(float), np.ones(len(x))], 1)
-    w = np.array([1.0, 0.0])
+    prior = np.array([1.0, 0.0])
+
+    def loss(w):
+        return (weight * np.logaddexp(0, np.where(label == 1, -1, 1) * (a @ w))).sum() + 0.05 * ((w - prior) ** 2).sum()
+
+    w = prior
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        hessian = (a * (p * (1 - p) + 1e-4)[:, None]).T @ a + 1e-2 * np.eye(2)
-        w = w + np.linalg.solve(hessian, a.T @ (label - p) - 1e-2 * (w - [1, 0]))
+        hessian = (a * (weight * p * (1 - p))[:, None]).T @ a + 0.1 * np.eye(2)
+        step = np.linalg.solve(hessian, a.T @ (weight * (label - p)) - 0.1 * (w - prior))
+        while loss(w + step) > loss(w) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w + step
     return float(w[0]), float(w[1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Model | None:
-    return train(training_rows(docs, labels, "toxic", 1, most_toxic), training_rows(docs, labels, "toxic", 0, most_clean))
+    """A model from the training folds of `labels (doc_id, toxic)`."""
+    folds = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    share = folds.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    return train(training_rows(docs, labels, "toxic", 1, most_toxic),
+                 training_rows(docs, labels, "toxic", 0, most_clean), share)
 
 
 def scored(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
