@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, quality, simhash, toxicity, urls
+from . import bpe, decontaminate, exact, extraction, quality, simhash, toxicity, urls
 from .labelled import held_out
 from .shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(read_table(spark, sf_dir, "pages"))
+
+
 #: (host, path, verdict)
 URL_RULES = [
     ("org", "/", "allow"),
@@ -74,6 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_url_filters": op2_url_filters,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
