@@ -1,0 +1,94 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from towertrace.llm import lines as L
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, None, "s", None) for i, t in rows], SCHEMA)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def edited(rnd, text, n, alphabet):
+    out = list(text)
+    for _ in range(n):
+        i = rnd.randrange(len(out) + 1)
+        kind = rnd.randint(0, 2)
+        if kind == 0 or i == len(out):
+            out.insert(i, rnd.choice(alphabet))
+        elif kind == 1:
+            del out[i]
+        else:
+            out[i] = rnd.choice(alphabet)
+    return "".join(out)
+
+
+def brute(rows, edits, min_chars):
+    look = [(d, n, x.strip(" \t\x0b\x0c\r")) for d, t in rows for n, x in enumerate((t or "").split("\n"))]
+    look = [x for x in look if len(x[2]) >= min_chars]
+    place = {}
+    for d, n, x in look:
+        place[x] = min(place.get(x, (2, 0, 0)), (d is None, d or 0, n))
+    near = {x: [y for y in place if x != y and distance(x, y) <= edits] for x in place}
+    out = {d: [set(), set(), 0] for d, _ in rows}
+    for d, n, x in look:
+        out[d][0].add(n)
+        out[d][2] += len(near[x])
+        if place[x] != (d is None, d or 0, n) or any(place[y] < place[x] for y in near[x]):
+            out[d][1].add(n)
+    return {d: (len(a), sorted(b), c) for d, (a, b, c) in out.items()}
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_banded_distance_equals_the_table(spark, edits):
+    rnd = random.Random(edits)
+    rows = []
+    for _ in range(300):
+        a = "".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 40)))
+        b = edited(rnd, a, rnd.randint(0, 4), "abcé")
+        rows.append(tuple(sorted((a, b), key=len)))
+    df = spark.createDataFrame([r for r in rows if len(r[1]) - len(r[0]) <= edits and r[0]], "a string, b string")
+    for r in df.select("a", "b", L.edit_distance(F.col("a"), F.col("b"), edits).alias("d")).collect():
+        assert min(r.d, edits + 1) == min(distance(r.a, r.b), edits + 1), r
+
+
+@pytest.mark.parametrize("edits,few", [(1, 10**6), (2, 10**6), (3, 0)])
+def test_decisions_equal_all_pairs(spark, edits, few, monkeypatch):
+    rnd = random.Random(edits)
+    pool = ["".join(rnd.choice("abcd eé") for _ in range(rnd.randint(6, 60))).strip() for _ in range(25)]
+    rows = []
+    for d in range(40):
+        text = []
+        for _ in range(rnd.randint(0, 6)):
+            x = rnd.choice(pool)
+            text.append(rnd.choice(["", " ", "\t"]) + edited(rnd, x, rnd.choice([0, 0, 1, 2, 3, 4]), "abcxé") + rnd.choice(["", "\r"]))
+        rows.append((rnd.choice([d, d, None]) if d % 9 == 0 else d, "\n".join(text)))
+    rows = list({d: (d, t) for d, t in rows}.values()) + [(900, None), (901, ""), (902, "\n\n")]
+    link = L.link_lines
+    monkeypatch.setattr(L, "link_lines", lambda d, e, m: link(d, e, m, few))
+    got = {r.doc_id: (r.n_lines, r.dropped_lines, r.n_links) for r in L.decisions(frame(spark, rows), edits, 8).collect()}
+    assert got == brute(rows, edits, 8)
+    assert any(b for _, b, _ in got.values()) and any(c for _, _, c in got.values())
+
+
+def test_drop_lines_and_edge_cases(spark):
+    a, b = "a first line that is long enough", "a first lime that is long enough"
+    rows = [(2, f"{a}\nkeep me\nshort"), (1, f"x\n{b} \n{'word ' * 30000}"), (3, a), (4, None), (4, None), (5, f"{a}\n{a}")]
+    df = frame(spark, rows).withColumnRenamed("lang", "line").withColumnRenamed("source", "place")
+    out = L.drop_lines(df)
+    assert out.columns == df.columns
+    got = sorted((r.doc_id, r.text) for r in out.collect() if r.text is not None)
+    assert got == [(1, rows[1][1]), (2, "keep me\nshort"), (3, ""), (5, "")]
+    assert L.decisions(frame(spark, [])).count() == 0 and L.drop_lines(frame(spark, [])).count() == 0

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from .shared import cut
 
+TRIMMED = " \t\x0b\x0c\r"
 #: Counted by the filter; any letters would do, frequent ones tell most.
 LETTERS = "eanrtiso"
 
@@ -48,7 +49,7 @@ def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
     """`doc_id, line_no, line` of the lines that are looked at."""
     pieces = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
     return (docs.select("doc_id", F.posexplode(pieces).alias("line_no", "piece"))
-            .select("doc_id", "line_no", F.regexp_replace("piece", r"^\s+|\s+$", "").alias("line"))
+            .select("doc_id", "line_no", F.btrim("piece", F.lit(TRIMMED)).alias("line"))
             .where(F.char_length("line") >= min_chars))
 
 
@@ -111,9 +112,9 @@ def edit_distance(shorter: Column, longer: Column, edits: int) -> Column:
     """Edit distance of two strings whose lengths differ by at most `edits`;
     exact up to `edits`, above that some larger number.
 
-    Bit b of the vectors stands for row j - edits + b of column j.  `up` and
-    `down` mark rows whose value is one more or less than the row above;
-    `low` is the value in the last row of the band.
+    Column j of the band has the rows j - edits to j + edits.  Bit b of `up`
+    and `down` says that row j + 1 - edits + b is one more or one less than
+    the row above it; `low` is the value in row j + edits.
     """
     width = 2 * edits + 1
     full = F.lit((1 << width) - 1).cast("bigint")
@@ -143,9 +144,10 @@ def edit_distance(shorter: Column, longer: Column, edits: int) -> Column:
                      F.lit(0).cast("bigint").alias("down"), F.lit(edits).alias("low"))
     items = F.transform(F.split(longer, ""), lambda c, j: F.struct(j.alias("j"), c.alias("c")))
     end = F.aggregate(items, start, lambda s, item: moved(column(s, item)))
-    # Rows of the last column below the end of the shorter string.
+    # Go up from the last row of the band to the end of the shorter string.
     row = F.char_length(shorter) - F.char_length(longer) + edits
-    below = flip((F.shiftleft(F.lit(2).cast("bigint"), row) - 1))
+    masks = F.array(*(F.lit(((1 << (width - 1)) - 1) & ~((1 << r) - 1)).cast("bigint") for r in range(width)))
+    below = F.get(masks, F.greatest(F.lit(0), F.least(row, F.lit(width - 1))))
     return (end["low"] - F.bit_count(end["up"].bitwiseAND(below)) + F.bit_count(end["down"].bitwiseAND(below))).cast("int")
 
 

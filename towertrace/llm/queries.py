@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, extraction, quality, simhash, toxicity, urls
+from . import bpe, decontaminate, exact, extraction, lines, quality, simhash, toxicity, urls
 from .labelled import held_out
 from .shared import read_table
 
@@ -50,6 +50,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(bpe.bpe_decode(bpe.bpe_encode(read_table(spark, sf_dir, "documents"), path), path))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.decisions(read_table(spark, sf_dir, "documents"), edits=2, min_chars=20)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.simhash_groups(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_filters": op2_url_filters,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
