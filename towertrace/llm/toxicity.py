@@ -23,8 +23,10 @@ Defined results
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -231,9 +233,7 @@ def scored(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -
         return docs.withColumn("__score", F.lit(0.0))
 
     @F.pandas_udf("double")
-    def score(parts):
-        import pandas as pd
-
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             out = np.empty(len(part))
             for at in range(0, len(part), 128):
