@@ -10,7 +10,8 @@ each line looks up the substrings that can be a segment of a line of its own
 length or up to k shorter (multi-match-aware selection: 12 substrings for
 k = 2).  A key hashes the shorter line's length, the segment's number and the
 substring; index and probe rows meet in a sort-merge join that Spark splits
-where a key is hot.  Pairs leave the join only if the counts of eight letters
+where a key is hot.  A first pass of semi joins finds the lines that share a
+key with another line at all.  Pairs leave the join only if the counts of eight letters
 differ by at most 2k in sum, which an edit changes by at most two.
 
 Verification: the banded bit-parallel edit distance.  The 2k + 1 rows of the
@@ -46,11 +47,11 @@ LETTERS = "eanrtiso"
 
 
 def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
-    """`doc_id, line_no, line` of the lines that are looked at."""
+    """`doc_id, line_no, line, n` of the lines that are looked at."""
     pieces = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
-    return (docs.select("doc_id", F.posexplode(pieces).alias("line_no", "piece"))
+    return (docs.select("doc_id", F.posexplode_outer(pieces).alias("line_no", "piece"))
             .select("doc_id", "line_no", F.btrim("piece", F.lit(TRIMMED)).alias("line"))
-            .where(F.char_length("line") >= min_chars))
+            .withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars))
 
 
 def segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
@@ -65,8 +66,8 @@ def _key(length: Column, number: int, piece: Column) -> Column:
     return F.xxhash64(length.cast("int"), F.lit(number), piece)
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    length, parts = F.char_length(line), edits + 1
+def index_keys(line: Column, length: Column, edits: int) -> Column:
+    parts = edits + 1
     keys = []
     for number in range(1, parts + 1):
         start, size = segment(length, number, parts)
@@ -74,10 +75,10 @@ def index_keys(line: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def probe_keys(line: Column, edits: int) -> Column:
+def probe_keys(line: Column, length: Column, edits: int) -> Column:
     """Keys of the substrings that may be a segment of a line 0 to `edits`
     characters shorter, as `(shorter, key)`."""
-    length, parts = F.char_length(line), edits + 1
+    parts = edits + 1
     keys = []
     for shorter in range(edits + 1):
         for number in range(1, parts + 1):
@@ -92,12 +93,11 @@ def probe_keys(line: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def letter_counts(line: Column) -> Column:
+def letter_counts(line: Column, length: Column) -> Column:
     """Counts of LETTERS, eight bits each."""
-    whole = F.char_length(line)
     out = F.lit(0).cast("bigint")
     for k, letter in enumerate(LETTERS):
-        n = (whole - F.char_length(F.replace(line, F.lit(letter), F.lit("")))).cast("bigint")
+        n = (length - F.char_length(F.replace(line, F.lit(letter), F.lit("")))).cast("bigint")
         out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(255)), 8 * k))
     return out
 
@@ -118,70 +118,103 @@ def edit_distance(shorter: Column, longer: Column, edits: int) -> Column:
     """
     width = 2 * edits + 1
     full = F.lit((1 << width) - 1).cast("bigint")
-    chars = F.split(shorter, "")
     flip = lambda x: F.bitwise_not(x).bitwiseAND(full)
 
-    def column(state, item):
-        j, c = item["j"], item["c"]
+    def bound(value, then):
+        """`then(value)`, the value computed once."""
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def column(chars, state, j, c):
         same = F.lit(0).cast("bigint")
         for b in range(width):
             at = j + (b - edits)
             hit = F.when((at >= 0) & (F.get(chars, at) == c), F.lit(1 << b)).otherwise(F.lit(0))
             same = same.bitwiseOR(hit.cast("bigint"))
         up, down = state["up"], state["down"]
-        carried = ((same.bitwiseAND(up) + up).bitwiseXOR(up)).bitwiseOR(same).bitwiseOR(down).bitwiseAND(full)
-        return F.struct(carried.alias("diagonal"), up.alias("up"), down.alias("down"), state["low"].alias("low"))
+        return bound(same, lambda x: bound(
+            ((x.bitwiseAND(up) + up).bitwiseXOR(up)).bitwiseOR(x).bitwiseOR(down).bitwiseAND(full),
+            lambda d: moved(state, d)))
 
-    def moved(s):
-        d, up, down = s["diagonal"], s["up"], s["down"]
-        right, left = down.bitwiseOR(flip(d.bitwiseOR(up))), d.bitwiseAND(up)
-        half = F.shiftright(d, 1)
-        return F.struct(
-            left.bitwiseOR(flip(half.bitwiseOR(right))).alias("up"), half.bitwiseAND(right).alias("down"),
-            (s["low"] + F.when(d.bitwiseAND(F.lit(1 << (width - 1))) == 0, 1).otherwise(0)).cast("int").alias("low"))
+    def moved(state, d):
+        up, down = state["up"], state["down"]
+        low = (state["low"] + F.when(d.bitwiseAND(F.lit(1 << (width - 1))) == 0, 1).otherwise(0)).cast("int")
+        right, half = down.bitwiseOR(flip(d.bitwiseOR(up))), F.shiftright(d, 1)
+        return bound(right, lambda x: F.struct(
+            d.bitwiseAND(up).bitwiseOR(flip(half.bitwiseOR(x))).alias("up"), half.bitwiseAND(x).alias("down"), low.alias("low")))
 
     start = F.struct(F.lit(((1 << width) - 1) & ~((1 << edits) - 1)).cast("bigint").alias("up"),
                      F.lit(0).cast("bigint").alias("down"), F.lit(edits).alias("low"))
     items = F.transform(F.split(longer, ""), lambda c, j: F.struct(j.alias("j"), c.alias("c")))
-    end = F.aggregate(items, start, lambda s, item: moved(column(s, item)))
+    end = bound(F.split(shorter, ""), lambda chars: F.aggregate(
+        items, start, lambda s, item: column(chars, s, item["j"], item["c"])))
     # Go up from the last row of the band to the end of the shorter string.
     row = F.char_length(shorter) - F.char_length(longer) + edits
     masks = F.array(*(F.lit(((1 << (width - 1)) - 1) & ~((1 << r) - 1)).cast("bigint") for r in range(width)))
     below = F.get(masks, F.greatest(F.lit(0), F.least(row, F.lit(width - 1))))
-    return (end["low"] - F.bit_count(end["up"].bitwiseAND(below)) + F.bit_count(end["down"].bitwiseAND(below))).cast("int")
+    return bound(end, lambda e: (
+        e["low"] - F.bit_count(e["up"].bitwiseAND(below)) + F.bit_count(e["down"].bitwiseAND(below))).cast("int"))
+
+
+def _exploded(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Index rows `(key, a)` and probe rows `(key, shorter, b)` of lines with
+    their arrays `own` and `probes`; other columns go along on either side."""
+    rest = [c for c in lines.columns if c not in ("own", "probes", "line_id", "place")]
+    index = lines.select(F.explode("own").alias("key"), F.col("line_id").alias("a"), *(F.col(c).alias(f"a_{c}") for c in rest))
+    probes = lines.select("line_id", *rest, F.explode("probes").alias("p")).where("p.key IS NOT NULL").select(
+        F.col("p.key").alias("key"), F.col("p.shorter").alias("shorter"), F.col("line_id").alias("b"),
+        *(F.col(c).alias(f"b_{c}") for c in rest))
+    return index, probes
 
 
 def classes(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """One row per different line: `line_id`, its place, counts and keys."""
-    line = F.col("line")
+    """One row per different line: `line_id`, its place and its keys."""
+    line, n = F.col("line"), F.col("n")
     rows = line_rows(docs, min_chars).select(
         F.xxhash64("line").alias("line_id"), F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no").alias("place"),
-        letter_counts(line).alias("counts"), index_keys(line, edits).alias("own"), probe_keys(line, edits).alias("probes"))
-    return rows.groupBy("line_id").agg(F.min("place").alias("place"), F.first("counts").alias("counts"),
-                                       F.first("own").alias("own"), F.first("probes").alias("probes"))
+        index_keys(line, n, edits).alias("own"), probe_keys(line, n, edits).alias("probes"))
+    return rows.groupBy("line_id").agg(F.min("place").alias("place"), F.first("own").alias("own"), F.first("probes").alias("probes"))
+
+
+def sharing(lines: DataFrame) -> DataFrame:
+    """Ids of the lines that share a key with a different line: semi joins,
+    which stop at the first partner however many a hot key has."""
+    index, probes = _exploded(lines.select("line_id", "own", "probes"))
+    other = F.col("a") != F.col("b")
+    hit = index.hint("merge").join(probes, (index["key"] == probes["key"]) & other, "left_semi").select(F.col("a").alias("line_id"))
+    hit_by = probes.hint("merge").join(index, (index["key"] == probes["key"]) & other, "left_semi").select(F.col("b").alias("line_id"))
+    return hit.union(hit_by).distinct()
+
+
+def edit_join(texts: DataFrame, edits: int) -> DataFrame:
+    """`texts (line_id, line)`, distinct -> `(a, b, distance)`, each pair of
+    lines within `edits` edits once, `a` not longer than `b`."""
+    line, n = F.col("line"), F.char_length("line")
+    keyed = cut(texts.select("line_id", letter_counts(line, n).alias("counts"), index_keys(line, n, edits).alias("own"),
+                             probe_keys(line, n, edits).alias("probes")), "line-keys")
+    index, probes = _exploded(keyed)
+    meet = F.expr(f"a <> b AND (shorter > 0 OR a < b) AND {count_distance('a_counts', 'b_counts')} <= {2 * edits}")
+    pairs = cut(index.hint("merge").join(probes, "key").where(meet).select("a", "b").distinct(), "line-pairs")
+    side = lambda name, to: texts.select(F.col("line_id").alias(name), F.col("line").alias(to))
+    distance = edit_distance(F.col("shorter"), F.col("longer"), edits)
+    return (pairs.join(side("a", "shorter"), "a").join(side("b", "longer"), "b")
+            .select("a", "b", distance.alias("distance")).where(F.col("distance") <= edits))
 
 
 def link_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, broadcast_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """`lines (line_id, place)`, one row per different line, and `links
-    (a, b, distance)`, each linked pair once."""
+    (a, b, distance)`, each linked pair once.
+
+    Lines that share no key with another line are left out before texts
+    travel; the ids of the others are broadcast up to `broadcast_rows` rows
+    and shuffled beyond that.
+    """
     lines = cut(classes(docs, edits, min_chars), "line-classes")
-    own = lines.select(F.explode("own").alias("key"), F.col("line_id").alias("a"), F.col("counts").alias("a_counts"))
-    probes = (lines.select("line_id", "counts", F.explode("probes").alias("p"))
-              .select(F.col("p.key").alias("key"), F.col("p.shorter").alias("shorter"), F.col("line_id").alias("b"),
-                      F.col("counts").alias("b_counts")).where("key IS NOT NULL"))
-    meet = F.expr(f"a <> b AND (shorter > 0 OR a < b) AND {count_distance('a_counts', 'b_counts')} <= {2 * edits}")
-    pairs = cut(own.hint("merge").join(probes, "key").where(meet).select("a", "b").distinct(), "line-pairs")
-    # Texts of the lines that are in a pair; `a` is the shorter one.
-    wanted = cut(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "line_id"), "lines-wanted")
+    wanted = cut(sharing(lines), "lines-wanted")
     few = wanted.count() <= broadcast_rows
     texts = (line_rows(docs, min_chars).select(F.xxhash64("line").alias("line_id"), "line")
              .join(F.broadcast(wanted) if few else wanted, "line_id", "left_semi"))
     texts = cut(texts.groupBy("line_id").agg(F.first("line").alias("line")), "line-texts")
-    side = lambda name, to: texts.select(F.col("line_id").alias(name), F.col("line").alias(to))
-    distance = edit_distance(F.col("shorter"), F.col("longer"), edits)
-    links = (pairs.join(side("a", "shorter"), "a").join(side("b", "longer"), "b")
-             .select("a", "b", distance.alias("distance")).where(F.col("distance") <= edits))
-    return lines.select("line_id", "place"), cut(links, "line-links")
+    return lines.select("line_id", "place"), cut(edit_join(texts, edits), "line-links")
 
 
 def decisions(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
