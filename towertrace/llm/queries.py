@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, extraction, lines, quality, simhash, toxicity, urls
+from . import bpe, decontaminate, exact, extraction, lines, quality, simhash, suffix, toxicity, urls
 from .labelled import held_out
 from .shared import read_table
 
@@ -59,6 +59,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.with_digests(suffix.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per contaminated document and benchmark item found in it."""
     return decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
