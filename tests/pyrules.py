@@ -1,14 +1,21 @@
 """Plain-Python pairing rules: an independent test oracle (tests only).
 
 Each takes one key's events as (times, register) pairs and returns the
-list of (enter, exit) stays.  Events are ordered by (times, register).
+list of (enter, exit) stays.  Events are ordered by (times, register), a
+null code first.
 """
 
 ENTER, EXIT = 1, 2
 
 
 def _sorted(events):
-    return sorted(events)
+    return sorted(events, key=order)
+
+
+def order(event):
+    """By time, then code; a null code comes first."""
+    t, r = event
+    return t, r is not None, r or 0
 
 
 def robust(events):

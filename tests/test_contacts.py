@@ -1,14 +1,16 @@
 """Overlap and contacts: boundary fixtures and strategy agreement."""
 
+import os
 import random
 
 import pytest
 
 import pyrules
 from pyspark.sql import functions as F
-from towertrace.operators import find_contacts, islands, overlap_counts
-from towertrace.plans import trace
+from towertrace.operators import find_contacts, overlap_counts, overlapping_stays, tag_subjects
+from towertrace.plans import trace, trace_to
 
+SF = "/root/testdata/sf0.001"
 STAY = "phone long, cellid long, enter_time long, exit_time long"
 
 
@@ -31,38 +33,35 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "sweep"])
 @pytest.mark.parametrize("span", [None, 1, 7])
-def test_overlap_boundaries(spark, strategy, span):
+def test_overlap_boundaries(spark, span):
     subject = (1, 1, 10, 20)
     st = _stays(spark, [subject] + [c for c, _ in CASES])
     subj = _subjects(spark, [1])
-    inc = find_contacts(st.where("phone = 1"), st, subj, include=True, strategy=strategy,
-                        bucket_span=span, spark=spark)
-    exc = find_contacts(st.where("phone = 1"), st, subj, include=False, strategy=strategy,
-                        bucket_span=span, spark=spark)
+    inc = find_contacts(st, subj, include=True, bucket_span=span)
+    exc = find_contacts(st, subj, include=False, bucket_span=span)
     want = sorted([1] + [c[0] for c, hit in CASES if hit])
     assert sorted(r.phone for r in inc.collect()) == want
     assert sorted(r.phone for r in exc.collect()) == [p for p in want if p != 1]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "sweep"])
-def test_second_subject_excluded(spark, strategy):
+def test_second_subject_excluded(spark):
     st = _stays(spark, [(1, 1, 10, 20), (2, 1, 15, 25), (3, 1, 24, 30)])
-    subj = _subjects(spark, [1, 2])
-    sub_st = st.where("phone in (1, 2)")
-    inc = find_contacts(sub_st, st, subj, include=True, strategy=strategy, spark=spark)
-    exc = find_contacts(sub_st, st, subj, include=False, strategy=strategy, spark=spark)
-    assert sorted(r.phone for r in inc.collect()) == [1, 2, 3]
-    assert sorted(r.phone for r in exc.collect()) == [3]
+    subj = _subjects(spark, [1, 2, 2])
+    assert sorted(r.phone for r in find_contacts(st, subj, include=True).collect()) == [1, 2, 3]
+    assert sorted(r.phone for r in find_contacts(st, subj, include=False).collect()) == [3]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "sweep"])
-def test_empty_subjects(spark, strategy):
-    st = _stays(spark, [(1, 1, 10, 20)])
-    subj = _subjects(spark, [])
-    out = find_contacts(st.where("false"), st, subj, include=True, strategy=strategy, spark=spark)
-    assert out.count() == 0
+def test_empty_subjects(spark):
+    assert find_contacts(_stays(spark, [(1, 1, 10, 20)]), _subjects(spark, []), include=True).count() == 0
+
+
+@pytest.mark.parametrize("span", [None, 4])
+def test_reversed_stay_between_two_subject_stays_is_no_contact(spark, span):
+    # no single subject stay holds 15 and 5, though their union does
+    st = _stays(spark, [(1, 1, 1, 10), (1, 1, 9, 20), (2, 1, 15, 5)])
+    got = find_contacts(st, _subjects(spark, [1]), include=True, bucket_span=span)
+    assert [r.phone for r in got.collect()] == [1]
 
 
 def _random_stays(seed, n=600, towers=4, span=60, neg=False):
@@ -78,32 +77,17 @@ def _random_stays(seed, n=600, towers=4, span=60, neg=False):
 
 
 @pytest.mark.parametrize("neg", [False, True])
-@pytest.mark.parametrize("span", [None, 5])
-def test_strategies_agree_with_brute_force(spark, neg, span):
+@pytest.mark.parametrize("span", [None, 1, 5])
+def test_sweep_agrees_with_brute_force(spark, neg, span):
     rows = _random_stays(11 + neg, neg=neg)
-    subjects = list(range(1, 81, 9))
-    st = _stays(spark, rows)
-    subj = _subjects(spark, subjects)
-    sub_st = st.join(subj, "phone", "left_semi")
+    subjects = set(range(1, 81, 9))
+    st, subj = _stays(spark, rows), _subjects(spark, sorted(subjects))
     for include in (True, False):
-        want = pyrules.contacts(rows, set(subjects), include)
-        for strategy in ("broadcast", "sweep"):
-            got = sorted(r.phone for r in find_contacts(
-                sub_st, st, subj, include=include, strategy=strategy, bucket_span=span,
-                spark=spark).collect())
-            assert got == want, (strategy, include)
-
-
-def test_islands_merge_touching(spark):
-    st = _stays(spark, [(1, 1, 1, 2), (1, 1, 2, 3), (1, 1, 5, 6), (1, 1, 5, 9), (1, 2, 1, 1)])
-    got = sorted(tuple(r) for r in islands(st, None).select("cellid", "enter_time", "exit_time").collect())
-    assert got == [(1, 1, 3), (1, 5, 9), (2, 1, 1)]
-    # cut at bucket edges (width 4): [1,3] stays, [5,9] starts in bucket 1
-    got = sorted(tuple(r) for r in islands(st, 4).select("cellid", "enter_time", "exit_time").collect())
-    assert got == [(1, 1, 3), (1, 5, 9), (2, 1, 1)]
-    st2 = _stays(spark, [(1, 1, 1, 6), (1, 1, 5, 9)])   # one island over buckets 0 and 1
-    got = sorted(tuple(r) for r in islands(st2, 4).select("cellid", "enter_time", "exit_time").collect())
-    assert got == [(1, 1, 6), (1, 5, 9)]
+        got = sorted(r.phone for r in find_contacts(st, subj, include, span).collect())
+        assert got == pyrules.contacts(rows, subjects, include), include
+    hit = [a for a in rows if any(s[0] in subjects and s[1] == a[1] and a[2] <= s[3] and a[3] >= s[2] for s in rows)]
+    got = [tuple(r)[:4] for r in overlapping_stays(tag_subjects(st, subj), span).collect()]
+    assert sorted(got) == sorted(hit)
 
 
 @pytest.mark.parametrize("span", [None, 3])
@@ -113,7 +97,7 @@ def test_overlap_counts_brute_force(spark, span):
     st = _stays(spark, rows)
     sub_rows = [r for r in rows if r[0] in subjects]
     got = {(r.phone, r.cellid, r.enter_time, r.exit_time): r.overlaps
-           for r in overlap_counts(_stays(spark, sub_rows), st, bucket_span=span).collect()}
+           for r in overlap_counts(st, _subjects(spark, sorted(subjects)), bucket_span=span).collect()}
     want = {}
     for a in set(rows):
         n = sum(1 for s in sub_rows if s[1] == a[1] and a[2] <= s[3] and a[3] >= s[2])
@@ -129,38 +113,47 @@ def test_trace_on_events(spark):
         "cellid long, times long, register int, phone long")
     subj = _subjects(spark, [1])
     for rule in ("robust", "adjacent", "ordinal", "first_exit"):
-        got = sorted(r.phone for r in trace(ev, subj, rule=rule, include=True, spark=spark).collect())
+        got = sorted(r.phone for r in trace(ev, subj, rule=rule, include=True).collect())
         assert got == [1, 2], rule
-        got = sorted(r.phone for r in trace(ev, subj, rule=rule, include=False, spark=spark).collect())
+        got = sorted(r.phone for r in trace(ev, subj, rule=rule, include=False).collect())
         assert got == [2], rule
 
 
 def test_same_result_any_partitioning(spark):
-    rows = _random_stays(21)
-    st = _stays(spark, rows)
+    st = _stays(spark, _random_stays(21))
     subj = _subjects(spark, list(range(1, 81, 5)))
-    sub_st = st.join(subj, "phone", "left_semi")
     res = []
     for parts in ("1", "16"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        res.append(sorted(r.phone for r in find_contacts(
-            sub_st, st, subj, include=True, strategy="sweep", spark=spark).collect()))
+        res.append(sorted(r.phone for r in find_contacts(st, subj, include=True).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert res[0] == res[1]
 
 
-def test_broadcast_only_within_bound(spark):
-    from towertrace.operators import bounded_broadcast
-    small = spark.range(5).withColumnRenamed("id", "phone")
-    _, hinted = bounded_broadcast(small, 5)
-    assert hinted
-    _, hinted = bounded_broadcast(small, 4)
-    assert not hinted
-    st = _stays(spark, [(1, 1, 10, 20), (2, 1, 30, 40), (3, 1, 15, 35)])
-    subj = _subjects(spark, [1, 2])
-    with pytest.raises(ValueError):
-        find_contacts(st.where("phone in (1, 2)"), st, subj, include=True,
-                      strategy="broadcast", max_island_rows=1, spark=spark)
-    got = find_contacts(st.where("phone in (1, 2)"), st, subj, include=True,
-                        strategy="broadcast", max_island_rows=2, spark=spark)
-    assert sorted(r.phone for r in got.collect()) == [1, 2, 3]
+@pytest.mark.skipif(not os.path.exists(f"{SF}/events.parquet"), reason="test data not present")
+@pytest.mark.parametrize("key,scans,reused", [
+    ("contacts_include", 2, 1),   # events and subject list; the stays are shuffled once
+    ("reconcile_report", 2, 4),   # both rules read one shuffle of the events
+    ("stays_contacts_include", 3, 1),
+    ("event_ordinal", 1, 1),
+])
+def test_plans_share_their_shuffles(spark, key, scans, reused):
+    from towertrace.plans.registry import QUERIES
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan") == scans
+    assert plan.count("ReusedExchange") >= reused
+    # the sweep never joins on the tower alone
+    assert not [x for x in plan.split("\n") if "Join [cellid" in x and ", _b" not in x.split("]")[0]]
+
+
+def test_job_writes_table_and_sorted_text(spark, tmp_path):
+    ev = spark.createDataFrame(
+        [(5, 3, 1, 1), (5, 6, 2, 1), (5, 5, 1, 2), (5, 9, 2, 2), (6, 5, 1, 3), (6, 9, 2, 3)],
+        "cellid long, times long, register int, phone long")
+    table = trace_to(ev, _subjects(spark, [1]), "job_contacts", str(tmp_path / "out"), include=True)
+    assert sorted(r.phone for r in table.collect()) == [1, 2]
+    assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["1", "2"]

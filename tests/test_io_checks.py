@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from towertrace.operators import checks
@@ -57,7 +58,7 @@ def test_lint_fixtures(spark):
     nl = numbered_lines(spark, tmp)
     bad = sorted((r.line_no, r.line) for r in checks.bad_lines(nl).collect())
     assert bad == [(2, "1a0"), (3, "200 300"), (4, "")]
-    # a malformed neighbour is reported by bad_lines, not compared
+    # bad lines are passed over: 100, 150, 150, 400 ascend
     assert checks.order_violations(nl).count() == 0
     dup = [(r.line, r.n) for r in checks.duplicate_values(nl.select("line"), ["line"]).collect()]
     assert dup == [("150", 2)]
@@ -71,6 +72,15 @@ def test_descending_pair(spark):
     assert viol == [(3, "3", "2"), (6, "10", "9")]
 
 
+def test_descending_pair_across_bad_lines_and_files(spark):
+    tmp = tempfile.mkdtemp(prefix="tt-desc-")
+    _write(tmp, "a.txt", "5\nx\n3\n")
+    _write(tmp, "b.txt", "bad\n")
+    _write(tmp, "c.txt", "y\n1\n2\n")
+    viol = sorted((r.line_no, r.prev_line, r.line) for r in checks.order_violations(numbered_lines(spark, tmp)).collect())
+    assert viol == [(3, "5", "3"), (6, "3", "1")]
+
+
 def test_order_check_on_clean_list(spark):
     tmp = tempfile.mkdtemp(prefix="tt-clean-")
     _write(tmp, "a.txt", "1\n2\n2\n3\n")
@@ -105,10 +115,19 @@ def test_catalog_tables(spark):
     )
     tmp = tempfile.mkdtemp(prefix="tt-ext-")
     _write(tmp, "part-00000", "55000000001,20220507000001,1,13000000001\n"
+                              "55000000001,x,7,13000000001\n"
                               "55000000001,20220507000101,2,13000000001\n")
     ensure_database(spark, "tracing")
     ensure_database(spark, "tracing")  # idempotent, drops nothing
     ext = register_external_text_table(spark, "tracing.cdinfo", tmp)
+    _, bad = register_external_text_table(spark, "tracing.cdinfo", tmp, with_quarantine=True)
+    assert bad.count() == 1
+    other = tempfile.mkdtemp(prefix="tt-ext-")
+    _write(other, "part-00000", "1,2,1,3\n")
+    with pytest.raises(ValueError):
+        register_external_text_table(spark, "tracing.cdinfo", other)
+    assert register_external_text_table(spark, "tracing.cdinfo", other, replace=True).count() == 1
+    ext = register_external_text_table(spark, "tracing.cdinfo", tmp, replace=True)
     assert ext.count() == 2 and ext.columns == ["cellid", "times", "register", "phone"]
     subj = spark.createDataFrame([(13000000001,)], "phone long")
     load_managed_table(spark, "tracing.infected", subj)

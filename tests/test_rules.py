@@ -60,24 +60,35 @@ def test_truth_table(truth_events, rule_i, span):
         assert got.get(k, []) == _parse(row[rule_i + 1]), (RULES[rule_i], row[0])
 
 
-def _random_keys(seed, n_keys=400, max_len=14, t_max=12):
+def _random_keys(seed, n_keys=400, max_len=14, t_max=12, codes=(1, 1, 2, 2, 0)):
     rnd = random.Random(seed)
     keyed = {}
     for k in range(n_keys):
         n = rnd.randint(0, max_len)
-        keyed[k] = [(rnd.randint(0, t_max), rnd.choice([1, 1, 2, 2, 0])) for _ in range(n)]
+        keyed[k] = [(rnd.randint(0, t_max), rnd.choice(codes)) for _ in range(n)]
     return keyed
 
 
 @pytest.mark.parametrize("rule", RULES)
 @pytest.mark.parametrize("span", [None, 1, 3])
 def test_random_sequences_match_python(spark, rule, span):
-    keyed = _random_keys(seed=hash((rule, span)) % 1000)
+    keyed = _random_keys(seed=100 * RULES.index(rule) + (span or 0))
     got = _collect(intervals(_events(spark, keyed), rule, bucket_span=span))
     for k, evs in keyed.items():
         assert got.get(k, []) == sorted(pyrules.RULES[rule](evs)), (rule, span, sorted(evs))
 
 
+@pytest.mark.parametrize("rule", RULES)
+@pytest.mark.parametrize("span", [None, 1, 3, 10])
+def test_null_and_high_codes_match_python(spark, rule, span):
+    keyed = _random_keys(seed=31, codes=(1, 1, 2, 2, None, None, 3))
+    keyed[1000] = [(1, 1), (2, None), (3, 2)]
+    keyed[1001] = [(1, 1), (12, None), (13, 1), (14, 2)]
+    got = _collect(intervals(_events(spark, keyed), rule, bucket_span=span))
+    for k, evs in keyed.items():
+        assert got.get(k, []) == sorted(pyrules.RULES[rule](evs)), (rule, span, evs)
+
+
 def test_without_phone_drops_column(spark, truth_events):
     df = intervals(truth_events, "robust", include_phone=False)
     assert df.columns == ["cellid", "enter_time", "exit_time"]
@@ -92,7 +103,7 @@ def test_rule_names(spark, truth_events):
 
 
 def test_with_previous_crosses_buckets(spark):
-    keyed = _random_keys(seed=5, n_keys=80)
+    keyed = _random_keys(seed=5, n_keys=80, codes=(1, 2, 0, None, 3))
     ev = _events(spark, keyed)
     from towertrace.operators import with_previous
 
@@ -104,7 +115,7 @@ def test_with_previous_crosses_buckets(spark):
         for r in with_previous(ev, bucket_span=span).collect():
             got.setdefault(r.phone, []).append((r.times, r.register, r.prev_register, r.prev_time))
         for k, evs in keyed.items():
-            rows = sorted(evs)
+            rows = sorted(evs, key=pyrules.order)
             exp = [(t, r, rows[i - 1][1] if i else None, rows[i - 1][0] if i else None)
                    for i, (t, r) in enumerate(rows)]
             assert norm(got.get(k, [])) == norm(exp), (span, rows)
@@ -133,7 +144,7 @@ def test_hot_key_is_split_by_time(spark, rule):
 
 from hypothesis import HealthCheck, given, settings, strategies as hs  # noqa: E402
 
-_SEQ = hs.lists(hs.tuples(hs.integers(0, 9), hs.sampled_from([0, 1, 1, 2, 2])), max_size=10)
+_SEQ = hs.lists(hs.tuples(hs.integers(0, 9), hs.sampled_from([0, 1, 1, 2, 2, None, 7])), max_size=10)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -144,4 +155,4 @@ def test_property_rules_match_python(spark, batch):
     for rule in RULES:
         got = _collect(intervals(ev, rule, bucket_span=2))
         for k, evs in keyed.items():
-            assert got.get(k, []) == sorted(pyrules.RULES[rule](evs)), (rule, sorted(evs))
+            assert got.get(k, []) == sorted(pyrules.RULES[rule](evs)), (rule, evs)

@@ -6,6 +6,6 @@ the contacts.  Everything is DataFrame/SQL operators.
 """
 
 from .operators import intervals, find_contacts
-from .plans import trace, trace_stays
+from .plans import trace, trace_stays, trace_to
 
-__all__ = ["intervals", "find_contacts", "trace", "trace_stays"]
+__all__ = ["intervals", "find_contacts", "trace", "trace_stays", "trace_to"]

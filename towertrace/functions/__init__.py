@@ -1,11 +1,9 @@
 """Column-level helpers; all built-in Spark expressions (codegen-friendly)."""
 
 from .timefmt import ts_to_times, seconds_of_day, format_time_of_day, clamp
-from .predicates import overlaps, not_equal_or_null
 from .lines import csv_line, rowkey, rowkey_tsv_line, subject_tsv_line, as_text
 
 __all__ = [
     "ts_to_times", "seconds_of_day", "format_time_of_day", "clamp",
-    "overlaps", "not_equal_or_null",
     "csv_line", "rowkey", "rowkey_tsv_line", "subject_tsv_line", "as_text",
 ]

@@ -4,13 +4,11 @@ from .intervals import (
     intervals, robust, adjacent, ordinal, first_exit, with_previous, with_ordinal, RULES,
 )
 from .contacts import (
-    bounded_broadcast, subject_events, islands, overlapping_stays_broadcast,
-    overlapping_stays_sweep, find_contacts, overlap_counts,
+    subject_events, tag_subjects, overlapping_stays, find_contacts, overlap_counts,
 )
 
 __all__ = [
     "intervals", "robust", "adjacent", "ordinal", "first_exit", "with_previous",
-    "with_ordinal", "RULES", "bounded_broadcast", "subject_events", "islands",
-    "overlapping_stays_broadcast", "overlapping_stays_sweep", "find_contacts",
-    "overlap_counts",
+    "with_ordinal", "RULES", "subject_events", "tag_subjects", "overlapping_stays",
+    "find_contacts", "overlap_counts",
 ]

@@ -2,8 +2,7 @@
 
 Line checks work on numbered lines (see `sources.text.numbered_lines`);
 they never put all lines in one task: each check is a filter, a grouped
-count, or a lag over the global line order expressed through the line
-number (a join on `line_no - 1`, which partitions by number range).
+count, or a lag inside a split plus one edge row per split.
 """
 
 from __future__ import annotations
@@ -23,15 +22,24 @@ def bad_lines(numbered: DataFrame) -> DataFrame:
 
 
 def order_violations(numbered: DataFrame) -> DataFrame:
-    """Lines whose number is smaller than the previous line's (ties allowed):
-    (line_no, prev_line, line).  Both lines must be numeric; a malformed
-    neighbour is reported by `bad_lines` instead."""
-    cur = numbered.select("line_no", "line",
-                          F.trim(F.col("line")).try_cast("decimal(38,0)").alias("_v"))
-    prev = cur.select((F.col("line_no") + 1).alias("line_no"),
-                      F.col("line").alias("prev_line"), F.col("_v").alias("_pv"))
-    return cur.join(prev, "line_no").where(F.col("_v") < F.col("_pv")).select(
-        "line_no", "prev_line", "line")
+    """Numeric lines that are smaller than the numeric line before them, with
+    bad lines in between passed over (ties allowed): (line_no, prev_line,
+    line).  Bad lines are reported by `bad_lines`.
+
+    `numbered` comes from `numbered_lines`: inside a split a window finds the
+    numeric line before; a split's first numeric line finds it among the
+    splits' last ones, of which there is one row per split.  No line is
+    shuffled but to its own split."""
+    value = F.trim(F.col("line")).try_cast("decimal(38,0)")
+    rows = numbered.select("split", "line_no", "line", value.alias("_v")).where("_v IS NOT NULL")
+    w = "PARTITION BY split ORDER BY line_no"
+    rows = rows.selectExpr("*", f"lag(line) OVER ({w}) AS _pl", f"lag(_v) OVER ({w}) AS _pv",
+                           f"lead(line_no) OVER ({w}) IS NULL AS _last")
+    inner = rows.where("_v < _pv").select("line_no", F.col("_pl").alias("prev_line"), "line")
+    edges = rows.where("_pv IS NULL OR _last").selectExpr("split", "line_no", "line", "_v", "_pv IS NULL AS _first")
+    edges = edges.selectExpr("*", "lag(line) OVER (ORDER BY split, line_no) AS _el", "lag(_v) OVER (ORDER BY split, line_no) AS _ev")
+    across = edges.where("_first AND _v < _ev").select("line_no", F.col("_el").alias("prev_line"), "line")
+    return inner.unionByName(across)
 
 
 def duplicate_values(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,177 +1,88 @@
 """Subjects, overlap and contacts.
 
 A contact is a phone with a stay that overlaps (closed intervals) a
-subject's stay on the same tower.  Only *whether* a stay overlaps matters,
-so no pair of stays is ever emitted:
-
-* `auto` strategy: subject stays are merged per tower into disjoint
-  islands, and every stay is tested with a left-semi join whose strategy
-  adaptive execution picks from the islands' measured size (broadcast, or
-  a skew-split sort-merge join).
-* `broadcast` strategy: the islands are written once to the shared
-  checkpoint folder, their row count is checked against a bound, and they
-  are broadcast (the probe side is never shuffled).
-* `sweep` strategy (any size, hot towers): subject stays and all stays are
-  put in one stream per (tower, time bucket); a running maximum of subject
-  exits, carried over from earlier buckets through a per-bucket summary,
-  tells each stay whether a subject stay that started before its exit is
-  still open at its enter.
+subject's stay on the same tower.  Only *whether* a stay overlaps matters, so
+no pair of stays is ever emitted and the two sides are never joined: every
+stay carries a flag that says whether its phone is a subject, and one sweep
+per (tower, time bucket) keeps the largest subject exit among the stays that
+started so far.  A summary row per bucket carries the maximum to later ones.
+
+The test is exact for stays that end before they start as well: stay [e, x]
+overlaps a subject stay [se, sx] iff se <= x and sx >= e.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DAY_BUCKET
 from .intervals import bucket_sql
 
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
-# Default size limits (rows) below which a side is broadcast.
-SUBJECT_BROADCAST_ROWS = 1_000_000
-ISLAND_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast `df` only when it has at most `max_rows` rows.
-
-    The check reads at most `max_rows + 1` rows; beyond the bound the frame
-    is returned unhinted and Spark uses a shuffle join (AQE may still switch
-    to a broadcast from runtime sizes)."""
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def subject_events(events: DataFrame, subjects: DataFrame,
-                   max_broadcast_rows: int = SUBJECT_BROADCAST_ROWS,
-                   subjects_checked: bool = False) -> DataFrame:
-    """Events of the subject phones (left-semi join; no distinct needed)."""
-    subj = subjects.select("phone")
-    if not subjects_checked:
-        subj, _ = bounded_broadcast(subj, max_broadcast_rows)
-    return events.join(subj, "phone", "left_semi")
-
-
-def islands(stays: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
-    """Merge overlapping or touching closed stays per tower (gaps and
-    islands), separately inside each time bucket of the stays' enter time.
-
-    An island cut at a bucket edge becomes several pieces; each piece is a
-    contiguous union of its own members, so the pieces cover exactly the
-    points the stays cover and overlap tests give the same answer.  No carry
-    between buckets is needed, and a hot tower is spread over its buckets."""
-    b = bucket_sql("enter_time", bucket_span)
-    w = "PARTITION BY cellid, _b ORDER BY enter_time, exit_time"
-    s = stays.selectExpr("cellid", "enter_time", "exit_time", f"{b} AS _b")
-    s = s.selectExpr("cellid", "enter_time", "exit_time", "_b",
-                     f"max(exit_time) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _pm")
-    s = s.selectExpr("cellid", "enter_time", "exit_time", "_b",
-                     f"sum(CASE WHEN _pm IS NULL OR enter_time > _pm THEN 1 ELSE 0 END) OVER ({w} "
-                     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _isl")
-    return s.groupBy("cellid", "_b", "_isl").agg(
-        F.expr("min(enter_time) AS enter_time"), F.expr("max(exit_time) AS exit_time")
-    ).drop("_b", "_isl")
-
-
-def overlapping_stays_broadcast(all_stays: DataFrame, subject_islands: DataFrame) -> DataFrame:
-    """Stays that overlap an island; islands must already be size-checked."""
-    a = all_stays.alias("a")
-    i = F.broadcast(subject_islands.select("cellid", "enter_time", "exit_time")).alias("i")
-    cond = F.expr("a.cellid = i.cellid AND a.enter_time <= i.exit_time AND a.exit_time >= i.enter_time")
-    return a.join(i, cond, "left_semi")
-
-
-def overlapping_stays_runtime(all_stays: DataFrame, subject_islands: DataFrame) -> DataFrame:
-    """Stays that overlap an island, with the join strategy picked at run
-    time from measured sizes.
-
-    The islands get their own shuffle stage (`repartition` by tower), so
-    adaptive execution sees their real size when that stage finishes: under
-    `spark.sql.adaptive.autoBroadcastJoinThreshold` they are broadcast and
-    the stays are probed where they are; above it the plan stays a
-    sort-merge semi join on the tower, whose oversized tower partitions
-    adaptive execution splits (skew join).  Both sides are computed in the
-    same job, so the subject side and the all-stays side run concurrently.
+
+def subject_events(events: DataFrame, subjects: DataFrame) -> DataFrame:
+    """Events of the subject phones; adaptive execution picks the join from
+    the measured size of the list."""
+    return events.join(subjects.select("phone"), "phone", "left_semi")
+
+
+def tag_subjects(stays: DataFrame, subjects: DataFrame) -> DataFrame:
+    """Stays with `is_subject`: whether the phone is in `subjects`."""
+    listed = subjects.select(F.col("phone").alias("_sp")).distinct()
+    return (stays.join(listed, F.col("phone") == F.col("_sp"), "left")
+            .select(*stays.columns, F.col("_sp").isNotNull().alias("is_subject")))
+
+
+def _swept(rows: DataFrame, bucket_span: int | None) -> DataFrame:
+    """Sweep rows `_key, _kind, ...` shuffled by (tower, bucket of `_key`).
+
+    The shuffle is written out: the bucket summaries are aggregated from the
+    same one.  They read every column, or Spark would prune one of the two
+    and shuffle the stays twice.
     """
-    a = all_stays.alias("a")
-    i = subject_islands.select("cellid", "enter_time", "exit_time").repartition("cellid").alias("i")
-    cond = F.expr("a.cellid = i.cellid AND a.enter_time <= i.exit_time AND a.exit_time >= i.enter_time")
-    return a.join(i, cond, "left_semi")
-
-
-def overlapping_stays_sweep(all_stays: DataFrame, subject_stays: DataFrame,
-                            bucket_span: int | None = DAY_BUCKET) -> DataFrame:
-    """Stays that overlap a subject stay, without a join between the two.
-
-    Stay [e, x] overlaps some subject [se, sx] on its tower iff
-    max{sx : se <= x} >= e.  Subject rows are keyed by se, stays by x; at
-    equal keys subjects sort first (closed intervals).  The running maximum
-    is taken per (tower, time bucket); the maximum over earlier buckets
-    comes from one summary row per bucket, joined only to the stays that
-    their own bucket did not already decide."""
-    b = bucket_sql("_key", bucket_span)
-    subj = subject_stays.selectExpr(
-        "cellid", "enter_time AS _key", "exit_time AS _val", "0 AS _kind",
-        "CAST(NULL AS BIGINT) AS phone", "CAST(NULL AS BIGINT) AS enter_time",
-        "CAST(NULL AS BIGINT) AS exit_time")
-    alls = all_stays.selectExpr(
-        "cellid", "exit_time AS _key", "CAST(NULL AS BIGINT) AS _val", "1 AS _kind",
-        "phone", "enter_time", "exit_time")
-    u = subj.unionByName(alls).selectExpr("*", f"{b} AS _b")
-    # per-bucket maximum, aggregated straight from the shuffled rows (no
-    # second sort), then carried over earlier buckets
-    bk = u.groupBy("cellid", "_b").agg(F.expr("max(_val) AS _bm"))
-    bk = bk.selectExpr("cellid", "_b", "max(_bm) OVER (PARTITION BY cellid ORDER BY _b "
-                                       "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _carry")
-    u = u.selectExpr("*", "max(_val) OVER (PARTITION BY cellid, _b ORDER BY _key, _kind "
-                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _m")
-    hits = (u.where("_kind = 1").join(bk, ["cellid", "_b"], "left")
-            .where("_m >= enter_time OR _carry >= enter_time"))
-    return hits.select("phone", "cellid", "enter_time", "exit_time")
-
-
-def find_contacts(subject_stays: DataFrame, all_stays: DataFrame, subjects: DataFrame,
-                  include: bool = False, strategy: str = "auto",
-                  bucket_span: int | None = DAY_BUCKET,
-                  max_island_rows: int = ISLAND_BROADCAST_ROWS,
-                  max_subject_rows: int = SUBJECT_BROADCAST_ROWS,
-                  spark: SparkSession | None = None,
-                  subjects_checked: bool = False) -> DataFrame:
+    return rows.selectExpr("*", f"{bucket_sql('_key', bucket_span)} AS _b").repartition("cellid", "_b")
+
+
+def _summaries(swept: DataFrame, **aggs: str) -> DataFrame:
+    """Per (tower, bucket) the aggregates over the earlier buckets."""
+    every = " + ".join(f"count({c})" for c in swept.columns)
+    per = swept.groupBy("cellid", "_b").agg(
+        *(F.expr(sql).alias(name) for name, sql in aggs.items()), F.expr(every).alias("_all")).where("_all >= 0")
+    w = f"PARTITION BY cellid ORDER BY _b {BEFORE}"
+    how = {name: sql[:3] for name, sql in aggs.items()}  # max or sum
+    return per.selectExpr("cellid", "_b", *(f"{how[n]}({n}) OVER ({w}) AS {n}" for n in aggs))
+
+
+def overlapping_stays(tagged: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
+    """Tagged stays that overlap a subject stay on their tower.
+
+    Each stay is a probe at its exit; a subject's stay is also a start at its
+    enter, holding its exit.  At equal times starts come first."""
+    rows = tagged.selectExpr(
+        "cellid", "phone", "enter_time", "exit_time", "is_subject",
+        "inline(CASE WHEN is_subject THEN array(named_struct('_key', exit_time, '_kind', 1), "
+        "named_struct('_key', enter_time, '_kind', 0)) ELSE array(named_struct('_key', exit_time, '_kind', 1)) END)")
+    u = _swept(rows, bucket_span)
+    value = "CASE WHEN _kind = 0 THEN exit_time END"
+    carry = _summaries(u, _carry=f"max({value})")
+    u = u.selectExpr("*", f"max({value}) OVER (PARTITION BY cellid, _b ORDER BY _key, _kind {SO_FAR}) AS _m")
+    return (u.where("_kind = 1").join(carry, ["cellid", "_b"])
+            .where("_m >= enter_time OR _carry >= enter_time")
+            .select("phone", "cellid", "enter_time", "exit_time", "is_subject"))
+
+
+def find_contacts(stays: DataFrame, subjects: DataFrame, include: bool = False,
+                  bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Distinct phones with a stay overlapping a subject stay on the same
-    tower; with `include=False` the phones of `subjects` are removed.
-
-    `subjects_checked=True` says `subjects` already went through
-    `bounded_broadcast` (its hint, if any, is kept)."""
-    strategy = strategy.lower()
-    if strategy not in ("auto", "broadcast", "sweep"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    hits = None
-    if strategy == "auto":
-        hits = overlapping_stays_runtime(all_stays, islands(subject_stays, bucket_span))
-    elif strategy == "broadcast":
-        isl = islands(subject_stays, bucket_span)
-        if spark is not None:
-            from ..session import materialize
-            isl, n = materialize(isl, spark, "subject-islands")
-        else:
-            n = isl.limit(max_island_rows + 1).count()
-        if n > max_island_rows:
-            raise ValueError(f"subject islands exceed {max_island_rows} rows; use sweep")
-        hits = overlapping_stays_broadcast(all_stays, isl)
-    else:
-        hits = overlapping_stays_sweep(all_stays, subject_stays, bucket_span)
-    phones = hits.select("phone").distinct()
-    if not include:
-        subj = subjects.select("phone")
-        if not subjects_checked:
-            subj, _ = bounded_broadcast(subj, max_subject_rows)
-        phones = phones.join(subj, "phone", "left_anti")
-    return phones
-
-
-def overlap_counts(subject_stays: DataFrame, all_stays: DataFrame,
+    tower; with `include=False` without the subjects themselves."""
+    hits = overlapping_stays(tag_subjects(stays, subjects), bucket_span)
+    return (hits if include else hits.where("NOT is_subject")).select("phone").distinct()
+
+
+def overlap_counts(stays: DataFrame, subjects: DataFrame,
                    bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """For each distinct stay, the number of subject stays on its tower that
     overlap it (closed intervals), for stays with at least one.  Subject
@@ -180,33 +91,23 @@ def overlap_counts(subject_stays: DataFrame, all_stays: DataFrame,
     #overlapping = #{se <= x} - #{sx < e}; the second set is contained in
     the first, so both are running counts over one stream per (tower,
     bucket) with per-bucket carries: no pair is formed."""
-    nul = "CAST(NULL AS BIGINT)"
-    # subject starts (kind 0) and ends (kind 1); stay probes: the exit counts
+    # Subject starts (kind 0) and ends (kind 1); probes: the exit counts
     # starts <= x (kind 2), the enter counts ends < e (kind -1).  At equal
-    # keys: end-probe(-1) < start(0) < end(1) < exit-probe(2).  Each side is
-    # read once; a generator emits both rows of a stay.
-    subj = subject_stays.selectExpr(
-        "cellid", f"{nul} AS phone", f"{nul} AS enter_time", f"{nul} AS exit_time",
-        "inline(array(named_struct('_key', enter_time, '_kind', 0), "
-        "named_struct('_key', exit_time, '_kind', 1)))")
-    probes = all_stays.selectExpr(
+    # keys: end-probe(-1) < start(0) < end(1) < exit-probe(2).
+    point = "named_struct('_key', {}, '_kind', {})".format
+    probes = f"{point('exit_time', 2)}, {point('enter_time', -1)}"
+    rows = tag_subjects(stays, subjects).selectExpr(
         "cellid", "phone", "enter_time", "exit_time",
-        "inline(array(named_struct('_key', exit_time, '_kind', 2), "
-        "named_struct('_key', enter_time, '_kind', -1)))")
-    u = subj.unionByName(probes).selectExpr("*", f"{bucket_sql('_key', bucket_span)} AS _b")
-    bk = u.groupBy("cellid", "_b").agg(
-        F.expr("sum(CASE WHEN _kind = 0 THEN 1 ELSE 0 END) AS _bs"),
-        F.expr("sum(CASE WHEN _kind = 1 THEN 1 ELSE 0 END) AS _be"))
-    wb = "PARTITION BY cellid ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    bk = bk.selectExpr("cellid", "_b", f"coalesce(sum(_bs) OVER ({wb}), 0) AS _cs",
-                       f"coalesce(sum(_be) OVER ({wb}), 0) AS _ce")
-    w = ("PARTITION BY cellid, _b ORDER BY _key, _kind "
-         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
-    u = u.selectExpr("*", f"sum(CASE WHEN _kind = 0 THEN 1 ELSE 0 END) OVER ({w}) AS _ns",
-                     f"sum(CASE WHEN _kind = 1 THEN 1 ELSE 0 END) OVER ({w}) AS _ne")
-    p = u.where("_kind IN (-1, 2)").join(bk, ["cellid", "_b"])
+        f"inline(CASE WHEN is_subject THEN array({probes}, {point('enter_time', 0)}, {point('exit_time', 1)}) "
+        f"ELSE array({probes}) END)")
+    u = _swept(rows, bucket_span)
+    starts, ends = ("sum(CASE WHEN _kind = {} THEN 1 ELSE 0 END)".format(k) for k in (0, 1))
+    carry = _summaries(u, _cs=starts, _ce=ends)
+    w = f"PARTITION BY cellid, _b ORDER BY _key, _kind {SO_FAR}"
+    u = u.selectExpr("*", f"{starts} OVER ({w}) AS _ns", f"{ends} OVER ({w}) AS _ne")
+    p = u.where("_kind IN (-1, 2)").join(carry, ["cellid", "_b"])
     # the two probes of one stay meet again on the stay itself
     res = p.groupBy("phone", "cellid", "enter_time", "exit_time").agg(
-        F.expr("max(CASE WHEN _kind = 2 THEN _ns + _cs END)"
-               " - max(CASE WHEN _kind = -1 THEN _ne + _ce END) AS overlaps"))
+        F.expr("max(CASE WHEN _kind = 2 THEN _ns + coalesce(_cs, 0) END)"
+               " - max(CASE WHEN _kind = -1 THEN _ne + coalesce(_ce, 0) END) AS overlaps"))
     return res.where("overlaps > 0")

@@ -1,8 +1,8 @@
 """Events -> stays under the four pairing rules.
 
 Per key (phone, cellid) the events are ordered by (times, register): at
-equal times other codes come first, then enters, then exits, so a
-zero-length stay [t, t] survives.
+equal times a null code comes first, then the codes by value, so an enter
+comes before an exit and a zero-length stay [t, t] survives.
 
 Scale design
 ------------
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from ..schema import DAY_BUCKET, ENTER, EXIT, STAY_COLUMNS
 
 KEY = ["phone", "cellid"]
+#: Stands for a null code where nulls are skipped.
+NO_CODE = -(1 << 31)
 RULES = ("robust", "adjacent", "ordinal", "first_exit")
 
 # window clauses: inside a bucket, and over a key's buckets / pieces
@@ -53,27 +55,33 @@ def bucket_of(col: str, bucket_span: int | None) -> F.Column:
 
 
 def _events(df: DataFrame, bucket_span: int | None) -> DataFrame:
+    """The events, shuffled by key and bucket.  The shuffle is written out so
+    that it stands below the rules' own expressions: every rule over the same
+    events has the same one, and a plan with two rules reads it twice."""
     return df.selectExpr(
         "CAST(phone AS BIGINT) AS phone", "CAST(cellid AS BIGINT) AS cellid",
         "CAST(times AS BIGINT) AS times", "CAST(register AS INT) AS register",
-    ).withColumn("_b", bucket_of("times", bucket_span))
+    ).withColumn("_b", bucket_of("times", bucket_span)).repartition(*KEY, "_b")
 
 
 def _edges(x: DataFrame, *more: str) -> DataFrame:
-    """`_prv` / `_nxt`: the neighbouring codes inside the bucket (null on
-    the bucket's first / last row), plus any further window columns."""
+    """`_prv` / `_nxt`: the neighbouring codes inside the bucket; `_fst` /
+    `_lst`: whether the row is the bucket's first / last one (a neighbour's
+    code may be null, so it cannot tell); plus any further window columns."""
     return x.selectExpr("*", f"lag(register) OVER ({W_LOCAL}) AS _prv",
-                        f"lead(register) OVER ({W_LOCAL}) AS _nxt", *more)
+                        f"lead(register) OVER ({W_LOCAL}) AS _nxt",
+                        f"row_number() OVER ({W_LOCAL}) = 1 AS _fst",
+                        f"lead(1) OVER ({W_LOCAL}) IS NULL AS _lst", *more)
 
 
 def _at_last(c: str) -> str:
     """Aggregate: value of `c` on the bucket's last row."""
-    return f"max(CASE WHEN _nxt IS NULL THEN {c} END)"
+    return f"max(CASE WHEN _lst THEN {c} END)"
 
 
 def _at_first(c: str) -> str:
     """Aggregate: value of `c` on the bucket's first row."""
-    return f"max(CASE WHEN _prv IS NULL THEN {c} END)"
+    return f"max(CASE WHEN _fst THEN {c} END)"
 
 
 def _agg(df: DataFrame, keys: list[str], **aggs: str) -> DataFrame:
@@ -153,7 +161,7 @@ def with_previous(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> Da
     """Every event with `prev_register` / `prev_time` of the row before it
     in its key (null for the key's first row)."""
     x = _edges(_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
-    inner = x.where("_prv IS NOT NULL").selectExpr(
+    inner = x.where("NOT _fst").selectExpr(
         "phone", "cellid", "times", "register", "_prv AS prev_register", "_pt AS prev_time")
     heads = _bucket_edges(x).selectExpr(
         "phone", "cellid", "_ft AS times", "_fr AS register",
@@ -172,15 +180,15 @@ def adjacent(events: DataFrame, include_phone: bool = True,
     of the same bucket).  One shuffle of pairs and edge rows; the events
     are sorted once."""
     x = _edges(_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
-    x = x.where(f"(_prv = {ENTER} AND register = {EXIT}) OR _prv IS NULL OR _nxt IS NULL")
-    x = x.selectExpr("*", "CASE WHEN _prv IS NULL OR _nxt IS NULL THEN -1 ELSE _b END AS _gk",
-                     "CASE WHEN _prv IS NULL THEN 0 ELSE 1 END AS _ek")
+    x = x.where(f"(_prv = {ENTER} AND register = {EXIT}) OR _fst OR _lst")
+    x = x.selectExpr("*", "CASE WHEN _fst OR _lst THEN -1 ELSE _b END AS _gk",
+                     "CASE WHEN _fst THEN 0 ELSE 1 END AS _ek")
     we = "PARTITION BY phone, cellid, _gk ORDER BY _b, _ek, times, register"
     x = x.selectExpr("*", f"lag(register) OVER ({we}) AS _er", f"lag(times) OVER ({we}) AS _et")
     out = x.selectExpr(
         "phone", "cellid",
         f"CASE WHEN _prv = {ENTER} AND register = {EXIT} THEN _pt "
-        f"WHEN _prv IS NULL AND register = {EXIT} AND _gk = -1 AND _er = {ENTER} THEN _et "
+        f"WHEN _fst AND register = {EXIT} AND _gk = -1 AND _er = {ENTER} THEN _et "
         "END AS enter_time",
         "times AS exit_time").where("enter_time IS NOT NULL")
     return _project(out, include_phone)
@@ -191,14 +199,13 @@ def adjacent(events: DataFrame, include_phone: bool = True,
 def with_ordinal(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Enter and exit rows with `idx`, their 0-based rank among the key's
     rows of the same code, ordered by time."""
-    ev = _events(events, bucket_span).where(f"register IN ({ENTER}, {EXIT})")
-    # bucket sizes straight from the shuffled rows (no second sort)
-    bk = _agg(ev, [*KEY, "register", "_b"], _n="count(1)")
-    x = ev.selectExpr("*", "row_number() OVER (PARTITION BY phone, cellid, register, _b "
-                           "ORDER BY times) - 1 AS _r")
-    bk = bk.selectExpr("phone", "cellid", "register", "_b",
-                       "coalesce(sum(_n) OVER (PARTITION BY phone, cellid, register ORDER BY _b "
-                       f"{BEFORE}), 0) AS _base")
+    w = "PARTITION BY phone, cellid, register, _b ORDER BY times"
+    x = _events(events, bucket_span).where(f"register IN ({ENTER}, {EXIT})").selectExpr(
+        "*", f"row_number() OVER ({w}) - 1 AS _r", "count(1) OVER (PARTITION BY phone, cellid, register, _b) AS _n")
+    # one row per bucket, from the same shuffle, gives the rank it starts at
+    bk = x.where("_r = 0").selectExpr(
+        "phone", "cellid", "register", "_b",
+        f"coalesce(sum(_n) OVER (PARTITION BY phone, cellid, register ORDER BY _b {BEFORE}), 0) AS _base")
     return x.join(bk, [*KEY, "register", "_b"]).selectExpr(
         "phone", "cellid", "times", "register", "_base + _r AS idx")
 
@@ -236,20 +243,19 @@ def first_exit(events: DataFrame, include_phone: bool = True,
                "RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _nx")
     x = x.selectExpr("*", f"register = {ENTER} AND NOT (_prv <=> {ENTER}) AS _st")
     # the bucket's earliest exit, known on its last row
-    x = x.selectExpr("*", f"CASE WHEN _nxt IS NULL THEN min(CASE WHEN register = {EXIT} "
+    x = x.selectExpr("*", f"CASE WHEN _lst THEN min(CASE WHEN register = {EXIT} "
                           "THEN times END) OVER (PARTITION BY phone, cellid, _b) END AS _bx")
-    x = x.where("_st OR _nxt IS NULL")
+    x = x.where("_st OR _lst")
     # a bucket's last row always joins the key's group: it carries the carry
     x = x.selectExpr(
-        "*", "CASE WHEN _nxt IS NULL THEN -1 "
-             "WHEN _prv IS NOT NULL AND _nx IS NOT NULL THEN _b ELSE -1 END AS _gk")
+        "*", "CASE WHEN _lst THEN -1 WHEN NOT _fst AND _nx IS NOT NULL THEN _b ELSE -1 END AS _gk")
     wk = "PARTITION BY phone, cellid, _gk ORDER BY _b"
     x = x.selectExpr(
         "*",
-        f"last(CASE WHEN _nxt IS NULL THEN register END, true) OVER ({wk} "
+        f"last(CASE WHEN _lst THEN coalesce(register, {NO_CODE}) END, true) OVER ({wk} "
         "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _prev_reg",
         f"min(_bx) OVER ({wk} RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS _later_exit")
-    out = x.where(f"_st AND (_prv IS NOT NULL OR NOT (_prev_reg <=> {ENTER}))").selectExpr(
+    out = x.where(f"_st AND (NOT _fst OR NOT (_prev_reg <=> {ENTER}))").selectExpr(
         "phone", "cellid", "times AS enter_time",
         "CASE WHEN _gk = -1 THEN coalesce(_nx, _later_exit) ELSE _nx END AS exit_time",
     ).where("exit_time IS NOT NULL")

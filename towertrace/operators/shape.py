@@ -10,19 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import format_time_of_day
-from ..schema import ENTER, EXIT, LAST_SECOND_OF_DAY, PHONE_BASE
-
-# Constants of the planted-visit arithmetic (a prime modulus
-# and multipliers), and the offsets the planted visit draws from.
-PLANT_MOD = 1_000_003
-PLANT_MULT_PHONE = 7919
-PLANT_MULT_CELL = 13
-PLANT_MULT_ENTER = 31
-PLANT_MULT_COPY = 104_729
-PLANT_LEAD_MAX = 900      # planted enter up to this many seconds before the point
-PLANT_MIN_STAY = 300      # planted exit at least this long after the point
-PLANT_EXTRA_MAX = 1800    # plus up to this many seconds
-
+from ..schema import ENTER, EXIT
 
 def split_visits_to_events(visits: DataFrame) -> DataFrame:
     """Each visit (phone, cellid, day, enterSec, exitSec) -> an enter and an
@@ -52,32 +40,6 @@ def replicate_events(events: DataFrame, copies: int, phone_stride: int, cell_str
     )
 
 
-def plant_overlaps(subject_visits: DataFrame, per_visit: int) -> DataFrame:
-    """For each subject visit, `per_visit` visits of new phones on the same
-    tower and day that overlap it: a point inside the subject visit, an
-    enter up to 15 minutes before it and an exit 5 to 35 minutes after it,
-    clamped to the day; empty ones dropped.  The new phone of copy j of a
-    subject is PHONE_BASE + phone * per_visit + j."""
-    j = F.explode(F.sequence(F.lit(0), F.lit(per_visit - 1))).alias("j")
-    x = subject_visits.select("phone", "cellid", "day", "enterSec", "exitSec", j)
-    r = F.pmod(
-        F.pmod(F.col("phone"), F.lit(PLANT_MOD)) * PLANT_MULT_PHONE
-        + F.pmod(F.col("cellid"), F.lit(PLANT_MOD)) * PLANT_MULT_CELL
-        + F.col("enterSec").cast("long") * PLANT_MULT_ENTER
-        + F.col("j").cast("long") * PLANT_MULT_COPY,
-        F.lit(PLANT_MOD))
-    x = x.withColumn("_r", r)
-    point = F.col("enterSec") + F.pmod(F.col("_r"), F.col("exitSec") - F.col("enterSec") + 1)
-    x = x.withColumn("_p", point)
-    return x.select(
-        (F.lit(PHONE_BASE) + F.col("phone") * per_visit + F.col("j")).alias("phone"),
-        "cellid", "day",
-        F.greatest(F.lit(0), F.col("_p") - F.pmod(F.col("_r"), F.lit(PLANT_LEAD_MAX))).cast("int").alias("enterSec"),
-        F.least(F.lit(LAST_SECOND_OF_DAY),
-                F.col("_p") + PLANT_MIN_STAY + F.pmod(F.col("_r"), F.lit(PLANT_EXTRA_MAX))).cast("int").alias("exitSec"),
-    ).where(F.col("enterSec") < F.col("exitSec"))
-
-
 def union_visits(*frames: DataFrame) -> DataFrame:
     """Bag union by column name."""
     out = frames[0]
@@ -87,7 +49,7 @@ def union_visits(*frames: DataFrame) -> DataFrame:
 
 
 def event_summary(visits: DataFrame, planted: DataFrame) -> DataFrame:
-    """One row of generator tallies, from one aggregate over both inputs."""
+    """One row of tallies of two visit tables, from one aggregate over both."""
     u = (visits.select("phone", F.lit(0).alias("_k"))
          .unionByName(planted.select("phone", F.lit(1).alias("_k"))))
     n_v = F.count(F.when(F.col("_k") == 0, F.lit(1)))

@@ -1,5 +1,5 @@
 """Job-level compositions of the operators."""
 
-from .trace import trace, trace_stays
+from .trace import trace, trace_stays, trace_to
 
-__all__ = ["trace", "trace_stays"]
+__all__ = ["trace", "trace_stays", "trace_to"]

@@ -1,8 +1,8 @@
 """DuckDB SQL twins of the registered queries.
 
-They are written independently of the Spark code, in the plainest form of
-each rule (single window per key, self-joins, inner join + distinct for
-contacts), over the same parquet tables.  Ties inside a key are ordered by
+They take the plainest form of each rule (single window per key, self-joins,
+inner join + distinct for contacts; the robust rule keeps the close-and-segment
+form of the Spark code), over the same parquet tables.  Ties inside a key are ordered by
 (times, register), as in the Spark code.
 """
 
@@ -27,6 +27,19 @@ SUBJECTS = f"""subjects AS (
   SELECT DISTINCT CAST(user_id AS BIGINT) AS phone FROM events
   WHERE value >= {SUBJECT_MIN_VALUE} AND user_id IS NOT NULL)"""
 
+NULL_CODED = "ncdr AS (SELECT * REPLACE (nullif(register, 0) AS register) FROM cdr)"
+
+MIXED = """l AS (
+  SELECT row_number() OVER (ORDER BY times, cellid, phone, register) AS line_no, register <> 0 AS good,
+         CASE WHEN register = 0 THEN 'bad ' || CAST(phone AS VARCHAR) ELSE CAST(phone AS VARCHAR) END AS line
+  FROM cdr)"""
+
+ORDER_VISITS = """ovisits AS (
+  SELECT CAST(o_custkey AS BIGINT) AS phone, CAST(o_orderkey AS BIGINT) AS cellid,
+         strftime(o_orderdate, '%Y%m%d') AS day, CAST(o_orderkey % 40000 AS INTEGER) AS enterSec,
+         CAST(o_orderkey % 40000 + 1 + o_custkey % 3600 AS INTEGER) AS exitSec
+  FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL)"""
+
 VISITS = """visits AS (
   SELECT * FROM (
     SELECT CAST(user_id AS BIGINT) AS phone,
@@ -49,7 +62,7 @@ osubjects AS (
   SELECT DISTINCT CAST(c_custkey AS BIGINT) AS phone FROM customer
   WHERE c_acctbal >= """ + str(CUSTOMER_MIN_BALANCE) + ")"
 
-KEY_ORDER = "PARTITION BY phone, cellid ORDER BY times, register"
+KEY_ORDER = "PARTITION BY phone, cellid ORDER BY times, register NULLS FIRST"
 
 
 def robust(name: str, src: str = "cdr") -> str:
@@ -156,20 +169,10 @@ def time_of_day(day: str, sec: str) -> str:
             f" || lpad(CAST({s} % 60 AS VARCHAR), 2, '0') AS BIGINT)")
 
 
-def planted(per_visit: int = 2) -> str:
-    r = ("((phone % 1000003) * 7919 + (cellid % 1000003) * 13"
-         " + CAST(enterSec AS BIGINT) * 31 + CAST(j AS BIGINT) * 104729) % 1000003")
-    return f"""svisits AS (
-  SELECT * FROM visits WHERE phone IN (SELECT phone FROM subjects)),
-pj AS (
-  SELECT phone, cellid, day, enterSec, exitSec, j, {r} AS r
-  FROM svisits, range({per_visit}) t(j)),
-pp AS (
-  SELECT *, enterSec + r % (exitSec - enterSec + 1) AS p FROM pj),
-planted AS (
-  SELECT * FROM (
-    SELECT 13000000000 + phone * {per_visit} + j AS phone, cellid, day,
-           CAST(greatest(0, p - r % 900) AS INTEGER) AS enterSec,
-           CAST(least(86399, p + 300 + r % 1800) AS INTEGER) AS exitSec
-    FROM pp) t
-  WHERE enterSec < exitSec)"""
+def overlapping_sql(rule: str) -> str:
+    return with_(CDR, SUBJECTS, RULE_CTE[rule]("st")) + """
+SELECT a.phone, a.cellid, a.enter_time, a.exit_time,
+       a.phone IN (SELECT phone FROM subjects) AS is_subject
+FROM st a WHERE EXISTS (
+  SELECT 1 FROM st i WHERE i.phone IN (SELECT phone FROM subjects) AND a.cellid = i.cellid
+    AND a.enter_time <= i.exit_time AND a.exit_time >= i.enter_time)"""

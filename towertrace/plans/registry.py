@@ -16,19 +16,18 @@ from . import oracle_sql as S
 from ..functions.lines import csv_line, rowkey_tsv_line, subject_tsv_line
 from ..functions.timefmt import format_time_of_day, seconds_of_day
 from ..operators import checks
-from ..operators.contacts import overlap_counts, subject_events
+from ..operators.contacts import overlap_counts, overlapping_stays, subject_events, tag_subjects
 from ..operators.intervals import intervals, with_ordinal, with_previous
-from ..operators.shape import (
-    event_summary, plant_overlaps, replicate_events, split_visits_to_events, union_visits,
-)
-from ..session import scratch_path
-from ..sinks.text import write_lines, write_sorted_phones
+from ..operators.shape import event_summary, replicate_events, split_visits_to_events, union_visits
+from ..session import scratch_path, scratch_table
+from ..sinks.text import write_lines, write_sorted_phones, write_table
+from ..sources.tables import ensure_database, list_tables, load_managed_table, read_table, register_external_text_table
 from ..sources.testdata import (
     cdr_from_events, load, stays_from_orders, subjects_from_customers, subjects_from_events,
-    visits_from_events,
+    subject_ids, visits_from_events, visits_from_orders,
 )
 from ..sources.text import numbered_lines, read_events_text, read_subjects_text
-from .trace import trace, trace_stays
+from .trace import trace, trace_stays, trace_to
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +35,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPLICA_COPIES = 3
 REPLICA_PHONE_STRIDE = 1_000_000_000
 REPLICA_CELL_STRIDE = 1_000_000
-PLANT_PER_VISIT = 2
 
 
 def _events(spark, d):
@@ -57,13 +55,26 @@ def _inputs(spark, d):
     return cdr_from_events(ev), subjects_from_events(ev)
 
 
-def _contacts(rule: str, include: bool, strategy: str = "auto") -> Query:
+def _contacts(rule: str, include: bool) -> Query:
     def q(spark, d):
         cdr, subj = _inputs(spark, d)
-        return trace(cdr, subj, rule=rule, include=include, strategy=strategy, spark=spark)
+        return trace(cdr, subj, rule=rule, include=include)
     return q
 
 
+def q_overlapping_stays(rule: str) -> Query:
+    """The stays that overlap a subject's, not only their phones."""
+    def q(spark, d):
+        cdr, subj = _inputs(spark, d)
+        return overlapping_stays(tag_subjects(intervals(cdr, rule), subj))
+    return q
+
+
+def _null_coded(spark, d):
+    """The events with a null code in place of the other code."""
+    return _cdr(spark, d).withColumn("register", F.expr("nullif(register, 0)"))
+
+
 def _stays(rule: str, include_phone: bool = True) -> Query:
     def q(spark, d):
         return intervals(_cdr(spark, d), rule, include_phone=include_phone)
@@ -79,13 +90,21 @@ def _stay_lines(spark, d):
     return numbered_lines(spark, path)
 
 
+def _mixed_lines(spark, d):
+    """One line per event in time order, good for codes 1 and 2, malformed for
+    the other code."""
+    cdr = _cdr(spark, d).orderBy("times", "cellid", "phone", "register")
+    line = F.expr("CASE WHEN register = 0 THEN concat('bad ', phone) ELSE CAST(phone AS STRING) END")
+    return numbered_lines(spark, write_lines(cdr.select(line.alias("line")), scratch_path(spark, "mixed-lines")))
+
+
 def q_events_sorted_lines(spark, d):
     """Event export sorted by (cellid, times, register, phone): range-
     partitioned sort, CSV lines, read back with line numbers."""
     cdr = _cdr(spark, d)
     path = write_lines(cdr.orderBy("cellid", "times", "register", "phone").select(csv_line()),
                        scratch_path(spark, "events-sorted"))
-    return numbered_lines(spark, path)
+    return numbered_lines(spark, path).drop("split")
 
 
 def q_cdr_text_scan(spark, d):
@@ -100,21 +119,63 @@ def q_subjects_text_scan(spark, d):
 
 def q_contacts_text_lines(spark, d):
     cdr, subj = _inputs(spark, d)
-    c = trace(cdr, subj, include=True, spark=spark)
-    path = write_sorted_phones(c, scratch_path(spark, "contacts"))
-    return numbered_lines(spark, path)
+    path = write_sorted_phones(trace(cdr, subj, include=True), scratch_path(spark, "contacts"))
+    return numbered_lines(spark, path).drop("split")
+
+
+def q_trace_job(spark, d):
+    """The job's table and its text export, read back side by side."""
+    cdr, subj = _inputs(spark, d)
+    path = scratch_path(spark, "trace-text")
+    table = trace_to(cdr, subj, scratch_table(spark, "contacts"), path, include=True)
+    lines = read_subjects_text(spark, path).withColumnRenamed("phone", "line_phone")
+    return table.join(lines, table["phone"] == lines["line_phone"], "full_outer")
+
+
+def q_external_table_scan(spark, d):
+    """The event lines as an external table, every eighth of them malformed."""
+    line = F.when(F.col("phone") % 8 == 0, F.concat(F.lit("x"), csv_line())).otherwise(csv_line())
+    path = write_lines(_cdr(spark, d).select(line.alias("line")), scratch_path(spark, "cdr-external"))
+    return register_external_text_table(spark, scratch_table(spark, "cdr_external"), path)
+
+
+def q_managed_table_overwrite(spark, d):
+    """A managed table loaded twice: the second load replaces the first."""
+    name = scratch_table(spark, "subjects")
+    load_managed_table(spark, name, _cdr(spark, d).select("phone").distinct())
+    load_managed_table(spark, name, _subjects(spark, d))
+    return read_table(spark, name)
+
+
+def q_table_as_select(spark, d):
+    """Stays written as a table by the overwrite sink and scanned by name."""
+    name = scratch_table(spark, "stays")
+    write_table(intervals(_cdr(spark, d), "adjacent"), name)
+    return spark.sql(f"SELECT phone, cellid, enter_time, exit_time FROM {name}")
+
+
+def q_table_list(spark, d):
+    """Tables of a fresh database, with their row counts."""
+    base = scratch_table(spark, "db")
+    ensure_database(spark, base)
+    cdr, subj = _inputs(spark, d)
+    write_table(cdr, f"{base}.cdinfo")
+    write_table(subj, f"{base}.infected")
+    names = list_tables(spark, base)
+    return checks.table_counts(**{n: spark.table(f"{base}.{n}") for n in names})
+
+
 
 
 def q_overlap_counts(spark, d):
     cdr, subj = _inputs(spark, d)
-    return overlap_counts(intervals(subject_events(cdr, subj), "robust"), intervals(cdr, "robust"))
+    return overlap_counts(intervals(cdr, "robust"), subj)
 
 
-def q_reconcile(kind: str) -> Query:
+def q_reconcile(kind: str, rules: tuple[str, str] = ("first_exit", "robust")) -> Query:
     def q(spark, d):
         cdr, subj = _inputs(spark, d)
-        expected = trace(cdr, subj, rule="first_exit", include=True, spark=spark)
-        actual = trace(cdr, subj, rule="robust", include=True, spark=spark)
+        expected, actual = (trace(cdr, subj, rule=r, include=True) for r in rules)
         if kind == "missing":
             return checks.missing(expected, actual)
         if kind == "extra":
@@ -130,26 +191,23 @@ def q_time_of_day(spark, d):
     return x.select("event_id", "sec", format_time_of_day("day", "sec").alias("times"))
 
 
-def _planted(spark, d):
-    ev = _events(spark, d)
-    v = visits_from_events(ev)
-    sv = v.join(subjects_from_events(ev), "phone", "left_semi")
-    return plant_overlaps(sv, PLANT_PER_VISIT)
+def _order_visits(spark, d):
+    return visits_from_orders(load(spark, d, "orders"))
 
 
 def q_union_visits(spark, d):
-    return union_visits(visits_from_events(_events(spark, d)), _planted(spark, d))
+    return union_visits(visits_from_events(_events(spark, d)), _order_visits(spark, d))
 
 
 def q_event_summary(spark, d):
-    return event_summary(visits_from_events(_events(spark, d)), _planted(spark, d))
+    return event_summary(visits_from_events(_events(spark, d)), _order_visits(spark, d))
 
 
 def q_stays_contacts(include: bool) -> Query:
     def q(spark, d):
         st = stays_from_orders(load(spark, d, "lineitem"), load(spark, d, "orders"))
         subj = subjects_from_customers(load(spark, d, "customer"))
-        return trace_stays(st, subj, include=include, spark=spark)
+        return trace_stays(st, subj, include=include)
     return q
 
 
@@ -163,36 +221,50 @@ QUERIES: dict[str, Query] = {
     "subject_events": lambda s, d: subject_events(*_inputs(s, d)),
     "cdr_sample": lambda s, d: _cdr(s, d).orderBy("cellid", "times", "register", "phone").limit(5),
     "table_counts": lambda s, d: checks.table_counts(**dict(zip(("cdr", "subjects"), _inputs(s, d)))),
+    # catalog tables and the job with its sinks
+    "external_table_scan": q_external_table_scan,
+    "managed_table_overwrite": q_managed_table_overwrite,
+    "table_as_select": q_table_as_select,
+    "table_list": q_table_list,
+    "trace_job": q_trace_job,
     # windows
     "lag_register": lambda s, d: with_previous(_cdr(s, d)),
+    "lag_register_nulls": lambda s, d: with_previous(_null_coded(s, d)),
     "event_ordinal": lambda s, d: with_ordinal(_cdr(s, d)),
     # the four rules
     "intervals_robust": _stays("robust"),
     "intervals_adjacent": _stays("adjacent"),
     "intervals_ordinal": _stays("ordinal"),
     "intervals_first_exit": _stays("first_exit"),
+    "intervals_adjacent_nulls": lambda s, d: intervals(_null_coded(s, d), "adjacent"),
+    "intervals_first_exit_nulls": lambda s, d: intervals(_null_coded(s, d), "first_exit"),
+    "intervals_robust_nulls": lambda s, d: intervals(_null_coded(s, d), "robust"),
     "intervals_without_phone": _stays("robust", include_phone=False),
     # contacts
     "contacts_include": _contacts("robust", True),
     "contacts_exclude": _contacts("robust", False),
-    "contacts_sweep_include": _contacts("robust", True, "sweep"),
-    "contacts_sweep_exclude": _contacts("robust", False, "sweep"),
+    "contacts_sweep_include": _contacts("robust", True),
+    "contacts_sweep_exclude": _contacts("robust", False),
     "contacts_adjacent": _contacts("adjacent", True),
     "contacts_adjacent_exclude": _contacts("adjacent", False),
     "contacts_ordinal": _contacts("ordinal", True),
     "contacts_ordinal_exclude": _contacts("ordinal", False),
     "contacts_first_exit": _contacts("first_exit", True),
     "contacts_first_exit_exclude": _contacts("first_exit", False),
-    "contacts_first_exit_sweep": _contacts("first_exit", True, "sweep"),
+    "contacts_first_exit_sweep": _contacts("first_exit", True),
+    "overlapping_stays": q_overlapping_stays("robust"),
+    "overlapping_stays_ordinal": q_overlapping_stays("ordinal"),
     "overlap_counts": q_overlap_counts,
     "stays_contacts_include": q_stays_contacts(True),
     "stays_contacts_exclude": q_stays_contacts(False),
     # checks and reconciliation
     "reconcile_missing": q_reconcile("missing"),
-    "reconcile_extra": q_reconcile("extra"),
+    "reconcile_extra": q_reconcile("extra", ("adjacent", "robust")),
     "reconcile_report": q_reconcile("report"),
     "duplicate_groups": lambda s, d: checks.duplicate_groups(intervals(_cdr(s, d), "robust"), ["phone"]),
     "contacts_text_lines": q_contacts_text_lines,
+    "mixed_lines_bad": lambda s, d: checks.bad_lines(_mixed_lines(s, d)),
+    "mixed_lines_order_violations": lambda s, d: checks.order_violations(_mixed_lines(s, d)),
     "stay_lines_bad": lambda s, d: checks.bad_lines(_stay_lines(s, d)),
     "stay_lines_order_violations": lambda s, d: checks.order_violations(_stay_lines(s, d)),
     "stay_lines_duplicates": lambda s, d: checks.duplicate_values(_stay_lines(s, d).select("line"), ["line"]),
@@ -206,7 +278,7 @@ QUERIES: dict[str, Query] = {
     "split_visits_to_events": lambda s, d: split_visits_to_events(visits_from_events(_events(s, d))),
     "replicate_events": lambda s, d: replicate_events(
         _cdr(s, d), REPLICA_COPIES, REPLICA_PHONE_STRIDE, REPLICA_CELL_STRIDE),
-    "plant_overlaps": _planted,
+    "subject_id_events": lambda s, d: subject_events(_cdr(s, d), subject_ids(s, _cdr(s, d))),
     "union_visits": q_union_visits,
     "event_summary": q_event_summary,
 }
@@ -228,6 +300,26 @@ SQL: dict[str, str] = {
         "UNION ALL SELECT 'subjects', count(*) FROM subjects",
     "lag_register": _W(S.CDR, S.previous("p")) +
         "SELECT phone, cellid, times, register, prev_register, prev_time FROM p",
+    "lag_register_nulls": _W(S.CDR, S.NULL_CODED, S.previous("p", "ncdr")) +
+        "SELECT phone, cellid, times, register, prev_register, prev_time FROM p",
+    "intervals_adjacent_nulls": _W(S.CDR, S.NULL_CODED, S.adjacent("st", "ncdr")) + "SELECT * FROM st",
+    "intervals_first_exit_nulls": _W(S.CDR, S.NULL_CODED, S.first_exit("st", "ncdr")) + "SELECT * FROM st",
+    "intervals_robust_nulls": _W(S.CDR, S.NULL_CODED, S.robust("st", "ncdr")) + "SELECT * FROM st",
+    "external_table_scan": _W(S.CDR) + "SELECT cellid, times, register, phone FROM cdr WHERE phone % 8 <> 0",
+    "managed_table_overwrite": _W(S.SUBJECTS) + "SELECT phone FROM subjects",
+    "table_as_select": _W(S.CDR, S.adjacent("st")) + "SELECT * FROM st",
+    "table_list": _W(S.CDR, S.SUBJECTS) +
+        "SELECT 'cdinfo' AS \"table\", count(*) AS \"rows\" FROM cdr UNION ALL SELECT 'infected', count(*) FROM subjects",
+    "trace_job": _W(S.CDR, S.SUBJECTS, S.robust("st"), S.contacts("c", "st", True)) +
+        "SELECT phone, phone AS line_phone FROM c",
+    "overlapping_stays": S.overlapping_sql("robust"),
+    "overlapping_stays_ordinal": S.overlapping_sql("ordinal"),
+    "subject_id_events": _W(S.CDR) + "SELECT phone, cellid, times, register FROM cdr WHERE phone % 10 = 0",
+    "mixed_lines_bad": _W(S.CDR, S.MIXED) + "SELECT line_no, line FROM l WHERE NOT good",
+    "mixed_lines_order_violations": _W(S.CDR, S.MIXED) + """
+SELECT line_no, prev_line, line FROM (
+  SELECT line_no, line, lag(line) OVER (ORDER BY line_no) AS prev_line FROM l WHERE good) x
+WHERE CAST(line AS BIGINT) < CAST(prev_line AS BIGINT)""",
     "event_ordinal": _W(S.CDR, S.ordinal_rank("o")) +
         "SELECT phone, cellid, times, register, idx FROM o",
     "intervals_robust": _W(S.CDR, S.robust("st")) + "SELECT * FROM st",
@@ -260,8 +352,8 @@ GROUP BY a.phone, a.cellid, a.enter_time, a.exit_time""",
     "reconcile_missing": _W(S.CDR, S.SUBJECTS, S.first_exit("fe"), S.robust("rb"),
                             S.contacts("e", "fe", True), S.contacts("a", "rb", True)) +
         "SELECT phone FROM e WHERE phone NOT IN (SELECT phone FROM a)",
-    "reconcile_extra": _W(S.CDR, S.SUBJECTS, S.first_exit("fe"), S.robust("rb"),
-                          S.contacts("e", "fe", True), S.contacts("a", "rb", True)) +
+    "reconcile_extra": _W(S.CDR, S.SUBJECTS, S.adjacent("ad"), S.robust("rb"),
+                          S.contacts("e", "ad", True), S.contacts("a", "rb", True)) +
         "SELECT phone FROM a WHERE phone NOT IN (SELECT phone FROM e)",
     "reconcile_report": _W(S.CDR, S.SUBJECTS, S.first_exit("fe"), S.robust("rb"),
                            S.contacts("e", "fe", True), S.contacts("a", "rb", True)) + """
@@ -309,16 +401,14 @@ SELECT cellid, {S.time_of_day("day", "exitSec")} AS times, 2 AS register, phone
 SELECT cellid + CAST(c AS BIGINT) * {REPLICA_CELL_STRIDE} AS cellid, times, register,
        phone + CAST(c AS BIGINT) * {REPLICA_PHONE_STRIDE} AS phone, CAST(c AS INTEGER) AS copy
 FROM cdr, range({REPLICA_COPIES}) t(c)""",
-    "plant_overlaps": _W(S.VISITS, S.SUBJECTS, S.planted(PLANT_PER_VISIT)) +
-        "SELECT phone, cellid, day, enterSec, exitSec FROM planted",
-    "union_visits": _W(S.VISITS, S.SUBJECTS, S.planted(PLANT_PER_VISIT)) +
+    "union_visits": _W(S.VISITS, S.ORDER_VISITS) +
         "SELECT phone, cellid, day, enterSec, exitSec FROM visits "
-        "UNION ALL SELECT phone, cellid, day, enterSec, exitSec FROM planted",
-    "event_summary": _W(S.VISITS, S.SUBJECTS, S.planted(PLANT_PER_VISIT)) + """
+        "UNION ALL SELECT phone, cellid, day, enterSec, exitSec FROM ovisits",
+    "event_summary": _W(S.VISITS, S.ORDER_VISITS) + """
 SELECT (SELECT count(*) FROM visits) AS normal_visits,
-       (SELECT count(*) FROM planted) AS planted_visits,
-       (SELECT count(DISTINCT phone) FROM planted) AS planted_phones,
-       ((SELECT count(*) FROM visits) + (SELECT count(*) FROM planted)) * 2 AS event_rows""",
+       (SELECT count(*) FROM ovisits) AS planted_visits,
+       (SELECT count(DISTINCT phone) FROM ovisits) AS planted_phones,
+       ((SELECT count(*) FROM visits) + (SELECT count(*) FROM ovisits)) * 2 AS event_rows""",
 }
 
 assert set(SQL) <= set(QUERIES), set(SQL) - set(QUERIES)

@@ -1,45 +1,39 @@
 """The tracing job: events + subjects -> contacts, as one lazy plan.
 
-Intervals depend only on one phone's rows, so subject stays are computed
-from the subjects' events alone (a semi-join pushed below the window
-shuffle) instead of running the pairing rule twice over all events; the
-all-stays side is computed once and streamed through the overlap test.
+The pairing rule runs once over all events; the stays are tagged with
+whether their phone is a subject and swept once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from ..operators.contacts import (
-    SUBJECT_BROADCAST_ROWS, bounded_broadcast, find_contacts, subject_events,
-)
+from ..operators.contacts import find_contacts
 from ..operators.intervals import intervals
 from ..schema import DAY_BUCKET
+from ..sinks.text import write_sorted_phones, write_table
 
 
 def trace(events: DataFrame, subjects: DataFrame, rule: str = "robust",
-          include: bool = False, strategy: str = "auto",
-          bucket_span: int | None = DAY_BUCKET, spark: SparkSession | None = None,
-          **limits) -> DataFrame:
-    """Distinct contact phones (column `phone`).
-
-    The subject list is size-checked once: broadcast when it has at most
-    `max_subject_rows` rows, shuffled otherwise."""
-    subj, _ = bounded_broadcast(subjects.select("phone"),
-                                limits.get("max_subject_rows", SUBJECT_BROADCAST_ROWS))
-    all_stays = intervals(events, rule, include_phone=True, bucket_span=bucket_span)
-    subj_stays = intervals(subject_events(events, subj, subjects_checked=True), rule,
-                           include_phone=True, bucket_span=bucket_span)
-    return find_contacts(subj_stays, all_stays, subj, include=include, strategy=strategy,
-                         bucket_span=bucket_span, spark=spark, subjects_checked=True, **limits)
+          include: bool = False, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
+    """Distinct contact phones (column `phone`)."""
+    return trace_stays(intervals(events, rule, include_phone=True, bucket_span=bucket_span),
+                       subjects, include, bucket_span)
 
 
 def trace_stays(stays: DataFrame, subjects: DataFrame, include: bool = False,
-                strategy: str = "auto", bucket_span: int | None = DAY_BUCKET,
-                spark: SparkSession | None = None, **limits) -> DataFrame:
+                bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Contacts from stays that are already intervals."""
-    subj, _ = bounded_broadcast(subjects.select("phone"),
-                                limits.get("max_subject_rows", SUBJECT_BROADCAST_ROWS))
-    subj_stays = stays.join(subj, "phone", "left_semi")
-    return find_contacts(subj_stays, stays, subj, include=include, strategy=strategy,
-                         bucket_span=bucket_span, spark=spark, subjects_checked=True, **limits)
+    return find_contacts(stays, subjects, include, bucket_span)
+
+
+def trace_to(events: DataFrame, subjects: DataFrame, table: str, text_path: str,
+             rule: str = "robust", include: bool = False,
+             bucket_span: int | None = DAY_BUCKET) -> DataFrame:
+    """The job with its sinks: the contacts replace `table`, and the sorted
+    phone list under `text_path` is exported from the written table, so the
+    contacts are computed once.  Returns the table."""
+    write_table(trace(events, subjects, rule, include, bucket_span), table)
+    contacts = events.sparkSession.table(table)
+    write_sorted_phones(contacts, text_path)
+    return contacts

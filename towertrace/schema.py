@@ -7,13 +7,8 @@ from pyspark.sql import types as T
 ENTER = 1
 EXIT = 2
 
-# Id bases of generated phones and towers.
-PHONE_BASE = 13000000000
-CELL_BASE = 55000000000
-
-# Last second of a day and the `yyyyMMddHHmmss` pattern.
+# Fixed value: last second of a day.
 LAST_SECOND_OF_DAY = 86399
-TIME_PATTERN = "yyyyMMddHHmmss"
 
 # Event table, in file column order.
 EVENT_SCHEMA = T.StructType([
@@ -25,21 +20,6 @@ EVENT_SCHEMA = T.StructType([
 
 SUBJECT_SCHEMA = T.StructType([T.StructField("phone", T.LongType())])
 
-STAY_SCHEMA = T.StructType([
-    T.StructField("phone", T.LongType()),
-    T.StructField("cellid", T.LongType()),
-    T.StructField("enter_time", T.LongType()),
-    T.StructField("exit_time", T.LongType()),
-])
-
-VISIT_SCHEMA = T.StructType([
-    T.StructField("phone", T.LongType()),
-    T.StructField("cellid", T.LongType()),
-    T.StructField("enterSec", T.IntegerType()),
-    T.StructField("exitSec", T.IntegerType()),
-])
-
-EVENT_COLUMNS = ["cellid", "times", "register", "phone"]
 STAY_COLUMNS = ["phone", "cellid", "enter_time", "exit_time"]
 
 # Default time-bucket width for splitting one (phone, tower) key or one

@@ -75,30 +75,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, spark: SparkSession, name: str = "stage"):
-    """Cut the lineage of a small, reused intermediate; returns
-    (frame, row count).
-
-    The frame is written once as a parquet table into the shared checkpoint
-    folder and read back, so a lost executor does not force the upstream
-    scan to be redone; the row count is observed during that write (no
-    second job).  A `checkpoint()` would compute an unpersisted plan twice:
-    once for the action and once to write the checkpoint files.  Without a
-    shared folder the frame is returned unchanged with its counted size.
-    """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    if ensure_checkpoint_dir(spark) is None:
-        return df, df.count()
-    path = scratch_path(spark, name)
-    obs = Observation(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh catalog name."""
+    return f"{name}_{uuid.uuid4().hex}"

@@ -28,13 +28,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_code(event_type) -> F.Column:
-    t = F.col(event_type) if isinstance(event_type, str) else event_type
-    return (F.when(t.isin(*ENTER_TYPES), F.lit(ENTER))
-             .when(t.isin(*EXIT_TYPES), F.lit(EXIT))
-             .otherwise(F.lit(OTHER_CODE))).cast("int")
-
-
 def tower_of(props) -> F.Column:
     p = F.col(props) if isinstance(props, str) else props
     return F.get_json_object(p, "$.k").try_cast("long")
@@ -48,13 +41,16 @@ def _register_sql(event_type: str) -> str:
 
 
 def cdr_from_events(events: DataFrame) -> DataFrame:
-    """(cellid, times, register, phone); rows with a missing field dropped."""
-    return events.selectExpr(
+    """(cellid, times, register, phone); rows with a missing field dropped.
+    The source columns are tested in the scan, the tower after it is read
+    from the JSON field once."""
+    rows = events.where("ts IS NOT NULL AND user_id IS NOT NULL").selectExpr(
         "try_cast(get_json_object(props, '$.k') AS BIGINT) AS cellid",
         f"{times_sql('ts')} AS times",
         f"{_register_sql('event_type')} AS register",
         "CAST(user_id AS BIGINT) AS phone",
-    ).where("cellid IS NOT NULL AND times IS NOT NULL AND phone IS NOT NULL")
+    )
+    return rows.where("cellid IS NOT NULL")
 
 
 def subjects_from_events(events: DataFrame, min_value: float = SUBJECT_MIN_VALUE) -> DataFrame:
@@ -83,6 +79,22 @@ def visits_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def visits_from_orders(orders: DataFrame) -> DataFrame:
+    """A second visit table: each order is a visit of its customer (phone) to
+    a tower of its own, at a second of the day given by the order key."""
+    enter = F.col("o_orderkey") % 40000
+    return orders.where("o_custkey IS NOT NULL AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL").select(
+        F.col("o_custkey").cast("long").alias("phone"), F.col("o_orderkey").cast("long").alias("cellid"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("day"), enter.cast("int").alias("enterSec"),
+        (enter + 1 + F.col("o_custkey") % 3600).cast("int").alias("exitSec"))
+
+
+def subject_ids(spark: SparkSession, events: DataFrame, step: int = 10) -> DataFrame:
+    """Every `step`-th phone number up to the largest one: a distributed range."""
+    top = events.agg(F.max("phone")).first()[0]
+    return spark.range(0, (top or 0) + 1, step).withColumnRenamed("id", "phone")
+
+
 def stays_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Stays at interval level: customer = phone, supplier = tower, the
     order and ship dates bound the stay (either may come first)."""

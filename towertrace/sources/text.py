@@ -51,7 +51,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their 1-based number in the concatenation of all files of
+    """Lines with their split (numbered in order) and their 1-based number in the concatenation of all files of
     `path` in file-name order (what `cat part-*` produces).
 
     No window spans all lines: lines are numbered inside their split
@@ -61,12 +61,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = read_lines(spark, path)
     blocks = lines.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first_mid"))
-    w = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    w = Window.orderBy("_file", "_block")
+    blocks = blocks.select(
+        "*", F.row_number().over(w).alias("split"),
+        F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     return (
-        lines.join(blocks.select("_file", "_block", "_offset", "_first_mid"), ["_file", "_block"])
+        lines.join(blocks.select("_file", "_block", "split", "_offset", "_first_mid"), ["_file", "_block"])
         .select(
-            (F.col("_offset") + F.col("_mid") - F.col("_first_mid") + 1).alias("line_no"),
+            "split", (F.col("_offset") + F.col("_mid") - F.col("_first_mid") + 1).alias("line_no"),
             F.col("value").alias("line"),
         )
     )
