@@ -11,8 +11,8 @@ length or up to k shorter (multi-match-aware selection: 12 substrings for
 k = 2).  A key hashes the shorter line's length, the segment's number and the
 substring; index and probe rows meet in a sort-merge join that Spark splits
 where a key is hot.  A first pass of semi joins finds the lines that share a
-key with another line at all.  Pairs leave the join only if the counts of eight letters
-differ by at most 2k in sum, which an edit changes by at most two.
+key with another line at all.  Pairs leave the join only if the counts of
+sixteen letters differ by at most 2k in sum, which an edit changes by at most two.
 
 Verification: the banded bit-parallel edit distance.  The 2k + 1 rows of the
 band are bits of one integer; each character of the longer line updates the
@@ -43,7 +43,7 @@ from .shared import cut
 
 TRIMMED = " \t\x0b\x0c\r"
 #: Counted by the filter; any letters would do, frequent ones tell most.
-LETTERS = "eanrtiso"
+LETTERS = ("eanrtiso", "dlhucmg ")
 
 
 def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -93,10 +93,10 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def letter_counts(line: Column, length: Column) -> Column:
-    """Counts of LETTERS, eight bits each."""
+def letter_counts(line: Column, length: Column, letters: str) -> Column:
+    """Counts of eight letters, eight bits each."""
     out = F.lit(0).cast("bigint")
-    for k, letter in enumerate(LETTERS):
+    for k, letter in enumerate(letters):
         n = (length - F.char_length(F.replace(line, F.lit(letter), F.lit("")))).cast("bigint")
         out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(255)), 8 * k))
     return out
@@ -104,7 +104,7 @@ def letter_counts(line: Column, length: Column) -> Column:
 
 def count_distance(a: str, b: str) -> str:
     """SQL for the sum of the differences of two packed counts (mod 256)."""
-    d = [f"abs((shiftright({a}, {8 * k}) & 255) - (shiftright({b}, {8 * k}) & 255))" for k in range(len(LETTERS))]
+    d = [f"abs((shiftright({a}, {8 * k}) & 255) - (shiftright({b}, {8 * k}) & 255))" for k in range(8)]
     return " + ".join(f"least({x}, 256 - {x})" for x in d)
 
 
@@ -189,10 +189,11 @@ def edit_join(texts: DataFrame, edits: int) -> DataFrame:
     """`texts (line_id, line)`, distinct -> `(a, b, distance)`, each pair of
     lines within `edits` edits once, `a` not longer than `b`."""
     line, n = F.col("line"), F.char_length("line")
-    keyed = cut(texts.select("line_id", letter_counts(line, n).alias("counts"), index_keys(line, n, edits).alias("own"),
+    keyed = cut(texts.select("line_id", letter_counts(line, n, LETTERS[0]).alias("counts"), letter_counts(line, n, LETTERS[1]).alias("more"), index_keys(line, n, edits).alias("own"),
                              probe_keys(line, n, edits).alias("probes")), "line-keys")
     index, probes = _exploded(keyed)
-    meet = F.expr(f"a <> b AND (shorter > 0 OR a < b) AND {count_distance('a_counts', 'b_counts')} <= {2 * edits}")
+    meet = F.expr(f"a <> b AND (shorter > 0 OR a < b) AND {count_distance('a_counts', 'b_counts')} <= {2 * edits} "
+                  f"AND {count_distance('a_counts', 'b_counts')} + {count_distance('a_more', 'b_more')} <= {2 * edits}")
     pairs = cut(index.hint("merge").join(probes, "key").where(meet).select("a", "b").distinct(), "line-pairs")
     side = lambda name, to: texts.select(F.col("line_id").alias(name), F.col("line").alias(to))
     distance = edit_distance(F.col("shorter"), F.col("longer"), edits)
