@@ -53,7 +53,7 @@ VISITS = """visits AS (
 
 ORDER_STAYS = """ostays AS (
   SELECT * FROM (
-    SELECT CAST(o_custkey AS BIGINT) AS phone, CAST(l_suppkey AS BIGINT) AS cellid,
+    SELECT CAST(o_custkey AS BIGINT) AS phone, CAST(l_partkey AS BIGINT) AS cellid,
            CAST(strftime(least(o_orderdate, l_shipdate), '%Y%m%d%H%M%S') AS BIGINT) AS enter_time,
            CAST(strftime(greatest(o_orderdate, l_shipdate), '%Y%m%d%H%M%S') AS BIGINT) AS exit_time
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey) t

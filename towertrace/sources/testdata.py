@@ -96,14 +96,14 @@ def subject_ids(spark: SparkSession, events: DataFrame, step: int = 10) -> DataF
 
 
 def stays_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Stays at interval level: customer = phone, supplier = tower, the
+    """Stays at interval level: customer = phone, part = tower, the
     order and ship dates bound the stay (either may come first)."""
-    li = lineitem.select("l_orderkey", "l_suppkey", "l_shipdate")
+    li = lineitem.select("l_orderkey", "l_partkey", "l_shipdate")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.col("o_custkey").cast("long").alias("phone"),
-        F.col("l_suppkey").cast("long").alias("cellid"),
+        F.col("l_partkey").cast("long").alias("cellid"),
         ts_to_times(F.least("o_orderdate", "l_shipdate")).alias("enter_time"),
         ts_to_times(F.greatest("o_orderdate", "l_shipdate")).alias("exit_time"),
     ).where(F.col("enter_time").isNotNull() & F.col("exit_time").isNotNull())
