@@ -17,7 +17,8 @@ removed.  Three steps:
    compare the `length`-byte prefixes of neighbours.
 
 No task needs units of two anchors together, so Spark deals them out, and a
-suffix array covers blocks of bounded size.  An anchor with more than
+suffix array covers blocks of bounded size: at most 2 ** 18 bytes and one more
+anchor's units, 1.7 MB, for which the arrays take about 300 MB.  An anchor with more than
 `most_units` different units (a passage that a third of all documents frame
 differently) is not held in one task: its windows are grouped by their bytes
 with a partial count before the shuffle.
@@ -236,7 +237,7 @@ def _solved(contexts: DataFrame, length: int) -> DataFrame:
             .mapInArrow(run, "name bigint, start int, end int"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_units: int = 2000,
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_units: int = 4096,
                    broadcast_rows: int = 1_000_000) -> DataFrame:
     """`(name, spans)`: the covered runs `(start, end)` of each text that has
     any, in order; `name` is the xxhash64 of the text."""
@@ -293,7 +294,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
             .mapInArrow(merge, "name bigint, spans array<struct<start:int,end:int>>"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_units: int = 2000,
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_units: int = 4096,
                    broadcast_rows: int = 1_000_000) -> DataFrame:
     """`doc_id, n_bytes, spans, kept`: the removed runs of each document and
     its remaining bytes."""
