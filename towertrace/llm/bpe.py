@@ -114,7 +114,6 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
-        byte_of = {c: b for b, c in enumerate(letters)}
         vocab = spec["model"]["vocab"]
         self.byte_ids = [vocab[c] for c in letters]
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
@@ -124,9 +123,7 @@ class Vocabulary:
         self.pair_keys, self.pair_ranks, _ = (np.array(x, np.int64) for x in zip(*pairs))
         self.made = np.zeros(len(pairs), np.int64)
         self.made[self.pair_ranks] = [new for _, _, new in pairs]
-        self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of |= {i: content.encode() for content, i in self.special.items()}
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -230,9 +227,9 @@ class Vocabulary:
 
 
 class Codec:
-    """Encoder and decoder of one task with a memo of at most `most` pre-tokens."""
+    """Encoder of one task with a memo of at most `most` pre-tokens."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 250_000):
         import re
 
         import regex
@@ -275,11 +272,21 @@ class Codec:
         return [b"".join(self.special[p] if isinstance(p, str) else b"".join(map(memo.__getitem__, p)) for p in part)
                 for part in parts]
 
-    def decode(self, packed: bytes | None) -> str:
-        if not packed:
-            return ""
-        ids = np.frombuffer(packed, "<u4").tolist()
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    byte_of = {c: b for b, c in enumerate(byte_letters())}
+    held = {i: bytes(byte_of[c] for c in token) for token, i in spec["model"]["vocab"].items()}
+    held |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+    return [held.get(i, b"") for i in range(max(held) + 1)]
+
+
+def decode(packed: bytes | None, bytes_of: list[bytes]) -> str:
+    """Text of packed ids."""
+    ids = np.frombuffer(packed or b"", "<u4").tolist()
+    return b"".join(map(bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
 def _slices(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 4 << 20):
@@ -317,10 +324,10 @@ def bpe_decode(encoded: DataFrame, vocabulary_path: str, key: str = "doc_id") ->
     become U+FFFD, and special tokens are written out."""
 
     def run(batches):
-        codec = Codec(vocabulary_path)
+        bytes_of = token_bytes(vocabulary_path)
         for batch in batches:
             for part in _slices(batch, 2):
-                texts = [codec.decode(x) for x in part.column(2).to_pylist()]
+                texts = [decode(x, bytes_of) for x in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(texts, pa.string())], names=[key, "n_tokens", "ids", "decoded"])
 
