@@ -86,10 +86,16 @@ class Network:
             self.p |= {f"in_{way}": draw(d, 3 * h, scale=d ** -0.5), f"b_{way}": np.zeros(3 * h, np.float32),
                        f"gate_{way}": draw(h, 2 * h, scale=h ** -0.5), f"new_{way}": draw(h, h, scale=h ** -0.5)}
 
-    def inputs(self, words: Words) -> np.ndarray:
-        """Input vector of each distinct word."""
-        sums = np.add.reduceat(self.p["char"][words.char], words.starts, axis=0)
-        return self.p["word"][words.word] + sums / words.counts[:, None].astype(np.float32)
+    def inputs(self, words: Words, block: int = 16384) -> np.ndarray:
+        """Input vector of each distinct word, a block of words at a time."""
+        out = np.empty((len(words), self.size), self.p["word"].dtype)
+        ends = words.starts + words.counts
+        for a in range(0, len(words), block):
+            b = min(a + block, len(words))
+            first = words.starts[a]
+            sums = np.add.reduceat(self.p["char"][words.char[first : ends[b - 1]]], words.starts[a:b] - first, axis=0)
+            out[a:b] = self.p["word"][words.word[a:b]] + sums / words.counts[a:b, None].astype(np.float32)
+        return out
 
     def projected(self, words: Words) -> np.ndarray:
         """Gate inputs of each distinct word, forward then backward."""
