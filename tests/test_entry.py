@@ -46,7 +46,7 @@ def test_same_answer_for_1_and_64_partitions(spark):
     for parts in ("1", "64"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         stays = sorted(tuple(r) for r in intervals(cdr, "robust").collect())
-        contacts = sorted(r.phone for r in trace(cdr, subj, include=True, spark=spark).collect())
+        contacts = sorted(r.phone for r in trace(cdr, subj, include=True).collect())
         res.append((stays, contacts))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert res[0] == res[1] and res[0][0]
