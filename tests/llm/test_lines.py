@@ -92,3 +92,39 @@ def test_drop_lines_and_edge_cases(spark):
     got = sorted((r.doc_id, r.text) for r in out.collect() if r.text is not None)
     assert got == [(1, rows[1][1]), (2, "keep me\nshort"), (3, ""), (5, "")]
     assert L.decisions(frame(spark, [])).count() == 0 and L.drop_lines(frame(spark, [])).count() == 0
+
+
+def brute_short(rows, starts):
+    """As `brute`, with the allowed edits by the shorter line's length."""
+    look = [(d, n, x.strip(" \t\x0b\x0c\r")) for d, t in rows for n, x in enumerate((t or "").split("\n"))]
+    look = [x for x in look if x[2]]
+    place = {}
+    for d, n, x in look:
+        place[x] = min(place.get(x, (2, 0, 0)), (d is None, d or 0, n))
+    near = {x: [y for y in place if x != y and distance(x, y) <= sum(min(len(x), len(y)) >= s for s in starts)] for x in place}
+    out = {d: [set(), set(), 0] for d, _ in rows}
+    for d, n, x in look:
+        out[d][0].add(n)
+        out[d][2] += len(near[x])
+        if place[x] != (d is None, d or 0, n) or any(place[y] < place[x] for y in near[x]):
+            out[d][1].add(n)
+    return {d: (len(a), sorted(b), c) for d, (a, b, c) in out.items()}
+
+
+@pytest.mark.parametrize("edits,starts", [(L.EDITS, (10, 20)), (2, (3, 3)), (1, (2,)), ((4, 7, 9), (4, 7, 9))])
+def test_short_lines_equal_all_pairs(spark, edits, starts):
+    rnd = random.Random(str(edits))
+    pool = ["".join(rnd.choice("abcd eé") for _ in range(rnd.randint(1, 26))).strip() for _ in range(30)]
+    rows = []
+    for d in range(50):
+        text = [edited(rnd, rnd.choice(pool), rnd.choice([0, 0, 1, 2, 3]), "abcxé") for _ in range(rnd.randint(0, 6))]
+        rows.append((d, "\n".join(text)))
+    got = {r.doc_id: (r.n_lines, r.dropped_lines, r.n_links) for r in L.decisions(frame(spark, rows), edits, 1).collect()}
+    assert got == brute_short(rows, starts)
+    assert any(c for _, _, c in got.values())
+
+
+def test_exact_copies_of_short_lines_go(spark):
+    df = frame(spark, [(1, "Les.\na"), (2, "Les.\nDes."), (3, " a \n\nLes.")])
+    got = {r.doc_id: (r.n_lines, r.dropped_lines, r.n_links) for r in L.decisions(df).collect()}
+    assert got == {1: (2, [], 0), 2: (2, [0], 0), 3: (2, [0, 2], 0)}

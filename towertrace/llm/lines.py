@@ -1,14 +1,18 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-A line is a trimmed piece of a text between line feeds with at least
-`min_chars` characters; others are left alone.  Two lines are linked when
-their edit distance is at most k.
+A line is a trimmed, non-empty piece of a text between line feeds (with at
+least `min_chars` characters, 1 unless asked).  Exact copies go at any length.
+Two different lines are linked when their edit distance is at most k, where k
+follows the shorter line's length: `edits` gives the lengths from which one,
+two, ... edits are allowed, (10, 20) unless asked; a number k stands for k
+edits from k + 1 characters.
 
 Join: a line is cut into k + 1 segments of even length.  A line within k
 edits holds one of them unchanged, at a place that the other edits allow, so
 each line looks up the substrings that can be a segment of a line of its own
 length or up to k shorter (multi-match-aware selection: 12 substrings for
-k = 2).  A key hashes the shorter line's length, the segment's number and the
+k = 2).  k is that of the shorter line's length, on either side; below k + 1
+characters segments would be empty, so no k reaches there.  A key hashes the shorter line's length, the segment's number and the
 substring; index and probe rows meet in a sort-merge join that Spark splits
 where a key is hot.  A first pass of semi joins finds the lines that share a
 key with another line at all.  Pairs leave the join only if the counts of
@@ -46,6 +50,27 @@ TRIMMED = " \t\x0b\x0c\r"
 LETTERS = ("eanrtiso", "dlhucmg ")
 
 
+#: Lengths from which one and two edits are allowed: one in ten characters.
+EDITS = (10, 20)
+Edits = int | tuple[int, ...]
+
+
+def lengths(edits: Edits) -> tuple[int, ...]:
+    """The lengths from which 1, 2, ... edits are allowed."""
+    out = (edits + 1,) * edits if isinstance(edits, int) else tuple(edits)
+    if any(length <= k for k, length in enumerate(out, 1)) or list(out) != sorted(out):
+        raise ValueError("k edits need lines of more than k characters, and no fewer than k - 1 edits")
+    return out
+
+
+def allowed(length: Column, edits: Edits) -> Column:
+    """Edits that a pair is allowed whose shorter line has `length` characters."""
+    k = F.lit(0)
+    for number, start in enumerate(lengths(edits), 1):
+        k = F.when(length >= start, number).otherwise(k)
+    return k
+
+
 def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
     """`doc_id, line_no, line, n` of the lines that are looked at."""
     pieces = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
@@ -54,7 +79,7 @@ def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
             .withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars))
 
 
-def segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
+def segment(length: Column, number: int, parts: Column) -> tuple[Column, Column]:
     """1-based start and length of segment `number` (from 1) of `parts`."""
     base, rest = F.floor(length / parts), length % parts
     longer = F.greatest(F.lit(0), F.lit(number - 1) - (parts - rest))
@@ -66,30 +91,38 @@ def _key(length: Column, number: int, piece: Column) -> Column:
     return F.xxhash64(length.cast("int"), F.lit(number), piece)
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    parts = edits + 1
+def index_keys(line: Column, length: Column, edits: Edits) -> Column:
+    """Keys of the segments, null beyond their number; lines that are allowed
+    no edit have none."""
+    k, most = allowed(length, edits), len(lengths(edits))
     keys = []
-    for number in range(1, parts + 1):
-        start, size = segment(length, number, parts)
-        keys.append(_key(length, number, F.substring(line, start, size)))
+    for number in range(1, most + 2):
+        start, size = segment(length, number, k + 1)
+        keys.append(F.when(k >= max(1, number - 1), _key(length, number, F.substring(line, start, size))))
     return F.array(*keys)
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of the substrings that may be a segment of a line 0 to `edits`
+def _moves(k: int) -> set[tuple[int, int, int]]:
+    """`(shorter, number, move)`: where segment `number` of a line that is
+    `shorter` characters shorter can lie, for k edits."""
+    parts = k + 1
+    return {(shorter, number, move) for shorter in range(k + 1) for number in range(1, parts + 1)
+            for move in range(max(1 - number, shorter - (parts - number)), min(number - 1, shorter + (parts - number)) + 1)}
+
+
+def probe_keys(line: Column, length: Column, edits: Edits) -> Column:
+    """Keys of the substrings that may be a segment of a line 0 or more
     characters shorter, as `(shorter, key)`."""
-    parts = edits + 1
+    most = len(lengths(edits))
+    of = {k: _moves(k) for k in range(1, most + 1)}
     keys = []
-    for shorter in range(edits + 1):
-        for number in range(1, parts + 1):
-            start, size = segment(length - shorter, number, parts)
-            low = max(1 - number, shorter - (parts - number))
-            high = min(number - 1, shorter + (parts - number))
-            for move in range(low, high + 1):
-                at = start + move
-                fits = (at >= 1) & (at + size - 1 <= length)
-                keys.append(F.struct(F.lit(shorter).alias("shorter"), F.when(
-                    fits, _key(length - shorter, number, F.substring(line, at, size))).alias("key")))
+    for shorter, number, move in sorted(set().union(*of.values())):
+        k = allowed(length - shorter, edits)
+        start, size = segment(length - shorter, number, k + 1)
+        at = start + move
+        fits = k.isin([x for x in of if (shorter, number, move) in of[x]]) & (at >= 1) & (at + size - 1 <= length)
+        keys.append(F.struct(F.lit(shorter).alias("shorter"), F.when(
+            fits, _key(length - shorter, number, F.substring(line, at, size))).alias("key")))
     return F.array(*keys)
 
 
@@ -159,14 +192,14 @@ def _exploded(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Index rows `(key, a)` and probe rows `(key, shorter, b)` of lines with
     their arrays `own` and `probes`; other columns go along on either side."""
     rest = [c for c in lines.columns if c not in ("own", "probes", "line_id", "place")]
-    index = lines.select(F.explode("own").alias("key"), F.col("line_id").alias("a"), *(F.col(c).alias(f"a_{c}") for c in rest))
+    index = lines.select(F.explode("own").alias("key"), F.col("line_id").alias("a"), *(F.col(c).alias(f"a_{c}") for c in rest)).where("key IS NOT NULL")
     probes = lines.select("line_id", *rest, F.explode("probes").alias("p")).where("p.key IS NOT NULL").select(
         F.col("p.key").alias("key"), F.col("p.shorter").alias("shorter"), F.col("line_id").alias("b"),
         *(F.col(c).alias(f"b_{c}") for c in rest))
     return index, probes
 
 
-def classes(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def classes(docs: DataFrame, edits: Edits, min_chars: int) -> DataFrame:
     """One row per different line: `line_id`, its place and its keys."""
     line, n = F.col("line"), F.col("n")
     rows = line_rows(docs, min_chars).select(
@@ -185,23 +218,24 @@ def sharing(lines: DataFrame) -> DataFrame:
     return hit.union(hit_by).distinct()
 
 
-def edit_join(texts: DataFrame, edits: int) -> DataFrame:
+def edit_join(texts: DataFrame, edits: Edits) -> DataFrame:
     """`texts (line_id, line)`, distinct -> `(a, b, distance)`, each pair of
-    lines within `edits` edits once, `a` not longer than `b`."""
+    lines within the allowed edits once, `a` not longer than `b`."""
     line, n = F.col("line"), F.char_length("line")
-    keyed = cut(texts.select("line_id", letter_counts(line, n, LETTERS[0]).alias("counts"), letter_counts(line, n, LETTERS[1]).alias("more"), index_keys(line, n, edits).alias("own"),
+    keyed = cut(texts.select("line_id", letter_counts(line, n, LETTERS[0]).alias("counts"), letter_counts(line, n, LETTERS[1]).alias("more"), allowed(n, edits).alias("k"), index_keys(line, n, edits).alias("own"),
                              probe_keys(line, n, edits).alias("probes")), "line-keys")
     index, probes = _exploded(keyed)
-    meet = F.expr(f"a <> b AND (shorter > 0 OR a < b) AND {count_distance('a_counts', 'b_counts')} <= {2 * edits} "
-                  f"AND {count_distance('a_counts', 'b_counts')} + {count_distance('a_more', 'b_more')} <= {2 * edits}")
+    meet = F.expr(f"a <> b AND (shorter > 0 OR a < b) AND {count_distance('a_counts', 'b_counts')} <= 2 * a_k "
+                  f"AND {count_distance('a_counts', 'b_counts')} + {count_distance('a_more', 'b_more')} <= 2 * a_k")
     pairs = cut(index.hint("merge").join(probes, "key").where(meet).select("a", "b").distinct(), "line-pairs")
     side = lambda name, to: texts.select(F.col("line_id").alias(name), F.col("line").alias(to))
-    distance = edit_distance(F.col("shorter"), F.col("longer"), edits)
+    distance = edit_distance(F.col("shorter"), F.col("longer"), len(lengths(edits)))
     return (pairs.join(side("a", "shorter"), "a").join(side("b", "longer"), "b")
-            .select("a", "b", distance.alias("distance")).where(F.col("distance") <= edits))
+            .select("a", "b", "shorter", distance.alias("distance")).where(F.col("distance") <= allowed(F.char_length("shorter"), edits))
+            .select("a", "b", "distance"))
 
 
-def link_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, broadcast_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def link_lines(docs: DataFrame, edits: Edits = EDITS, min_chars: int = 1, broadcast_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """`lines (line_id, place)`, one row per different line, and `links
     (a, b, distance)`, each linked pair once.
 
@@ -218,7 +252,7 @@ def link_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, broadcast_r
     return lines.select("line_id", "place"), cut(edit_join(texts, edits), "line-links")
 
 
-def decisions(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
+def decisions(docs: DataFrame, edits: Edits = EDITS, min_chars: int = 1) -> DataFrame:
     """`doc_id, n_lines, dropped_lines, n_links` per document: lines looked at,
     numbers of the lines that go, links of its lines to different lines."""
     lines, links = link_lines(docs, edits, min_chars)
@@ -243,7 +277,7 @@ def decisions(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def drop_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
+def drop_lines(docs: DataFrame, edits: Edits = EDITS, min_chars: int = 1) -> DataFrame:
     """`docs` with the lines that go taken out of `text`."""
     gone = cut(decisions(docs, edits, min_chars).where(F.size("dropped_lines") > 0)
                .select(F.col("doc_id").alias("__id"), F.col("dropped_lines").alias("__lines")), "lines-dropped")

@@ -51,7 +51,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.decisions(read_table(spark, sf_dir, "documents"), edits=2, min_chars=20)
+    return lines.decisions(read_table(spark, sf_dir, "documents"), edits=lines.EDITS, min_chars=1)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
