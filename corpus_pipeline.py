@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), short_gaps=True)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 from towertrace.llm import decontaminate as D
 
@@ -85,3 +86,23 @@ def test_empty_tables(spark):
     assert D.find_overlaps(some, none).count() == 0
     assert D.drop_contaminated(some, none).count() == 1
     assert D.find_overlaps(docs(spark, []), items(spark, [(1, "a b c d e f g h i j")])).count() == 0
+
+
+def test_item_without_an_id_is_found(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    df = docs(spark, [(1, f"x {item} y"), (2, "nothing here")])
+    found = D.find_overlaps(df, items(spark, [(None, item), (7, item)])).collect()
+    assert sorted((r.doc_id, r.item_id or 0, r.similarity) for r in found) == [(1, 0, 1.0), (1, 7, 1.0)]
+    assert [r.doc_id for r in D.drop_contaminated(df, items(spark, [(None, item)])).collect()] == [2]
+
+
+def test_one_substitution_in_short_items_and_two_in_ten(spark):
+    rows, bench = [], []
+    for n in (5, 6, 7, 8, 10, 11, 15):
+        text = [f"i{n}w{k}" for k in range(n)]
+        bench.append((n, " ".join(text)))
+        for gone in combinations(range(n), n * 2 // 10):
+            part = [("other" if k in gone else w) for k, w in enumerate(text)]
+            rows.append((len(rows), " ".join(["a", *part, "b"]), n))
+    found = D.find_overlaps(docs(spark, [r[:2] for r in rows]), items(spark, bench), short_gaps=True).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, n) for d, _, n in rows}

@@ -15,12 +15,16 @@ the benchmark side.  That side is broadcast only while it has at most
 that many rows.  Hits leave the scan verified and reduced to one row per
 (document, item) in each task.
 
-Items shorter than every mask are hashed whole; those under `min_tokens`
-tokens say nothing about a document and are not searched.
+Items shorter than the longest mask are hashed whole or, with `short_gaps`, by
+seeds that leave out one position each, which finds one substituted token;
+those under `min_tokens` tokens say nothing about a document and are not
+searched.
 
 Defined results
 ---------------
 * Null and empty texts on either side match nothing.
+* Items are joined by a hash of their tokens, so an item with a null item_id
+  is searched like any other and reports a null item_id.
 * A repeated item reports once per item_id; a repeated document row once per
   doc_id; rows with a null id are searched as one document, and stay in
   `drop_contaminated`.
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from .shared import cut
 
 #: 1: the token counts; 0: any token.
-MASKS = ("1101011", "110010111", "111011")
+MASKS = ("1101011", "110010111", "111011", "111100101")
 
 
 SEPARATORS = r"[^\p{L}\p{N}]+"
@@ -53,32 +57,37 @@ def _seed(array: Column, at: Column, offsets: list[int], mask: int) -> Column:
     return F.xxhash64(F.lit(mask), *(F.get(array, at + o) for o in offsets))
 
 
-def _masks(items: DataFrame, min_tokens: int) -> list[tuple[int, list[int], int]]:
+def _masks(items: DataFrame, min_tokens: int, short_gaps: bool) -> list[tuple[int, list[int], int]]:
     """(number, offsets, exact item length or 0) of the masks in use: the
-    spaced ones, and a full one for each length below the longest mask."""
+    spaced ones, and for each length below the longest mask a full one or
+    those that leave out one position (the first or the last: one mask)."""
     out = [(k, [i for i, c in enumerate(m) if c == "1"], 0) for k, m in enumerate(MASKS)]
     longest = max(map(len, MASKS))
     short = items.where((F.size("t") >= min_tokens) & (F.size("t") < longest)).select(F.size("t").alias("n"))
     lengths = sorted(r.n for r in short.distinct().collect())  # at most `longest` values
-    return out + [(len(MASKS) + n, list(range(n)), n) for n in lengths]
+    if not short_gaps:
+        return out + [(len(MASKS) + n, list(range(n)), n) for n in lengths]
+    gaps = [([i for i in range(n) if i != gap], n) for n in lengths for gap in range(1, n)]
+    return out + [(len(MASKS) + k, offsets, n) for k, (offsets, n) in enumerate(gaps)]
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 20, similarity: float = 0.8,
-                  min_tokens: int = 5, broadcast_rows: int = 1_000_000) -> DataFrame:
+                  min_tokens: int = 5, broadcast_rows: int = 1_000_000, short_gaps: bool = False) -> DataFrame:
     """`(doc_id, item_id, similarity, first_token)`: the benchmark items found
     in each document, the best share of agreeing tokens of a window, and the
     first document token of the earliest such window."""
     longest = max(map(len, MASKS))
     items = cut(benchmark.select("item_id", F.array_remove(tokens(F.col("text")), "").alias("t"))
-                .where(F.size("t") >= min_tokens), "bench-items")
-    masks = _masks(items, min_tokens)
+                .where(F.size("t") >= min_tokens).distinct().withColumn("item", F.xxhash64("t")), "bench-items")
+    texts = items.select("item", "t").distinct()
+    masks = _masks(items, min_tokens, short_gaps)
     at = F.col("at")
     seeds = []
     for number, offsets, exact in masks:
-        here = items.where(F.size("t") == exact) if exact else items.where(F.size("t") >= longest)
+        here = texts.where(F.size("t") == exact) if exact else texts.where(F.size("t") >= longest)
         span = offsets[-1] + 1
-        seeds.append(here.select("item_id", "t", F.explode(F.sequence(F.lit(0), F.size("t") - span)).alias("at"))
-                     .select("item_id", at.alias("item_at"), F.lit(span).alias("span"),
+        seeds.append(here.select("item", "t", F.explode(F.sequence(F.lit(0), F.size("t") - span)).alias("at"))
+                     .select("item", at.alias("item_at"), F.lit(span).alias("span"),
                              _seed(F.col("t"), at, offsets, number).alias("seed")))
     union = seeds[0]
     for more in seeds[1:]:
@@ -96,13 +105,16 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 20, simil
 
     found = None
     for k in range(passes):
-        part = union.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k) if passes > 1 else union
-        held = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k) if passes > 1 else items
-        hits = (hashed.join(F.broadcast(part), "seed").join(F.broadcast(held), "item_id")
+        part = union.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k) if passes > 1 else union
+        held = items.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k) if passes > 1 else items
+        hits = (hashed.join(F.broadcast(part), "seed").join(F.broadcast(held), "item")
                 .select("doc_id", "item_id", *_verified(window)))
         best = (hits.where(F.col("share") >= similarity).groupBy("doc_id", "item_id")
                 .agg(F.max("share").alias("similarity"), F.min("first").alias("first_token")))
         found = best if found is None else found.union(best)
+    if passes > 1:  # texts of one item_id may be searched in different passes
+        found = found.groupBy("doc_id", "item_id").agg(
+            F.max("similarity").alias("similarity"), F.min("first_token").alias("first_token"))
     return found
 
 

@@ -65,7 +65,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per contaminated document and benchmark item found in it."""
-    return decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), short_gaps=True)
 
 
 def _scores(frame: DataFrame, threshold: float) -> DataFrame:
