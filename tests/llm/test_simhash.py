@@ -77,3 +77,10 @@ def test_star_components_of_paths_stars_and_loops(spark):
         spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_an_id_with_two_texts_is_two_rows(spark):
+    one, two = (" ".join(f"{k}{i}" for i in range(40)) for k in "xy")
+    df = frame(spark, [(1, one), (5, one), (5, two), (8, two)])
+    kept = sorted((r.doc_id, r.text[0]) for r in simhash.keep_one(df).collect())
+    assert kept == [(1, "x"), (5, "y")]

@@ -24,6 +24,8 @@ Defined results
   is linked like any other.
 * Repeated rows share fingerprint and component.
 * A row without an id gets a fingerprint, a null component and links nothing.
+* An id with different texts is several rows: each is linked, and goes or
+  stays, by its own fingerprint.
 * An empty table gives an empty result; other columns are not read.
 """
 
@@ -67,17 +69,20 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 BITS_OF = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """`(doc_id, fingerprint)`, the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = 3, **more: Column) -> DataFrame:
+    """`(doc_id, fingerprint)`, the fingerprint as a signed 64-bit integer,
+    and `more` bigint columns of the rows."""
 
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], pa.int64())],
-                names=["doc_id", "fingerprint"])
+                [batch.column(0), pa.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], pa.int64()),
+                 *batch.columns[2:]], names=["doc_id", "fingerprint", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint bigint")
+    names = list(more)
+    columns = docs.select("doc_id", "text", *(c.alias(k) for k, c in more.items()))
+    return columns.mapInArrow(run, ", ".join([f"doc_id {kind}", "fingerprint bigint", *(f"{k} bigint" for k in names)]))
 
 
 def embedding(bits: Column) -> Column:
@@ -179,18 +184,29 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
     within `max_bits` bits are linked, and a component is named by the
     smallest doc_id in it."""
     prints = cut(fingerprints(docs, shingle), "simhash-prints")
-    nodes = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "simhash-nodes")
-    edges = links(nodes.where("node IS NOT NULL"), max_bits)
+    return _named(prints, max_bits).select("doc_id", "fingerprint", "component_id")
+
+
+def _named(prints: DataFrame, max_bits: int) -> DataFrame:
+    """`prints` with `component_id`.  The fingerprint itself is the node; a
+    component gets its smallest doc_id at the end."""
+    nodes = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    edges = links(nodes.where("least IS NOT NULL").select(F.col("fingerprint").alias("node"), "fingerprint"), max_bits)
     groups = connected_components(edges)
-    named = cut(nodes.join(groups, "node", "left")
-                .select("fingerprint", F.coalesce("component", "node").alias("component_id")), "simhash-named")
+    members = cut(nodes.join(groups, nodes["fingerprint"] == groups["node"], "left")
+                  .select("fingerprint", F.coalesce("component", "fingerprint").alias("component"), "least"), "simhash-members")
+    names = cut(members.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-names")
+    named = cut(members.join(names, "component").select("fingerprint", "component_id"), "simhash-named")
     return (prints.join(named, "fingerprint")
-            .select("doc_id", "fingerprint", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+            .select(*prints.columns, F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The document with the smallest id of each component, columns unchanged;
-    rows without an id stay."""
-    gone = cut(simhash_groups(docs, shingle, max_bits).where("doc_id <> component_id").select("doc_id").distinct(),
+    rows without an id stay.  Rows go by id and fingerprint; the text's hash
+    stands for the latter, so that it is not computed twice."""
+    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    prints = cut(fingerprints(docs, shingle, text_hash=text_hash), "simhash-prints")
+    gone = cut(_named(prints, max_bits).where("doc_id <> component_id").select("doc_id", "text_hash").distinct(),
                "simhash-gone")
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    return docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (text_hash == gone["text_hash"]), "left_anti")
