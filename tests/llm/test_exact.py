@@ -54,3 +54,12 @@ def test_drop_copies_keeps_one_row_and_all_columns(spark):
 def test_empty_table(spark):
     assert exact.decisions(frame(spark, [])).count() == 0
     assert exact.drop_copies(frame(spark, [])).count() == 0
+
+
+def test_first_batch_is_decided_by_the_index(spark, monkeypatch):
+    asked = []
+    unseen = exact.DigestIndex.unseen
+    monkeypatch.setattr(exact.DigestIndex, "unseen", lambda self, b: asked.append((self.exists(), unseen(self, b))) or asked[-1][1])
+    rows = exact.decisions(frame(spark, ROWS)).collect()
+    assert len(rows) == len(ROWS) and [x for x, _ in asked] == [True]
+    assert "LeftAnti" in asked[0][1]._jdf.queryExecution().toString()

@@ -38,7 +38,7 @@ def normalised(text: Column) -> Column:
 class DigestIndex:
     """A digest table `(digest, keep_id, n_chars, group_rows)`.
 
-    `table` names a catalog table; it is created by the first `add`.
+    `table` names a catalog table; the first `add` creates it, empty.
     """
 
     def __init__(self, spark: SparkSession, table: str, buckets: int = 32):
@@ -60,8 +60,6 @@ class DigestIndex:
 
     def unseen(self, batch: DataFrame) -> DataFrame:
         """Rows of `batch`, one per digest, whose digest the index lacks."""
-        if not self.exists():
-            return batch
         held = self.rows().select("digest").hint("merge")
         return batch.hint("merge").join(held, "digest", "left_anti")
 
@@ -93,18 +91,18 @@ class DigestIndex:
                  .select("digest", F.bitwise_not("best.rank").alias("keep_id"),
                          F.col("best.n_chars").alias("n_chars"), "group_rows"))
         columns = ["digest", "keep_id", "n_chars", "group_rows"]
-        if self.exists():
-            batch = cut(batch, "digests-batch")
-            known = cut(batch.select("digest", F.col("group_rows").alias("more"))
-                        .join(self.rows(), "digest")
-                        .select("digest", "keep_id", "n_chars",
-                                (F.col("group_rows") + F.col("more")).alias("group_rows")), "digests-known")
-            new = cut(self.unseen(batch).select(*columns), "digests-new")
-            groups = new.withColumn("is_new", F.lit(True)).union(known.withColumn("is_new", F.lit(False)))
-        else:
-            new = cut(batch.select(*columns), "digests-new")
-            groups = new.withColumn("is_new", F.lit(True))
+        batch = cut(batch.select(*columns), "digests-batch")
+        if not self.exists():
+            self._append(batch.where(F.lit(False)))
+        new = cut(self.unseen(batch).select(*columns), "digests-new")
         self._append(new)
+        # The index decides; rows of this batch add to a group it held before.
+        fresh = new.select("digest", F.lit(True).alias("is_new"))
+        groups = cut(batch.select("digest", F.col("group_rows").alias("more")).join(self.rows(), "digest")
+                     .join(fresh, "digest", "left")
+                     .select("digest", "keep_id", "n_chars", F.coalesce("is_new", F.lit(False)).alias("is_new"),
+                             (F.col("group_rows") + F.when(F.col("is_new"), 0).otherwise(F.col("more"))).alias("group_rows")),
+                     "digests-groups")
         # Plain files on both sides: adaptive execution can split the copies
         # of a hot digest over several tasks.
         groups = groups.withColumnRenamed("n_chars", "keep_chars")
