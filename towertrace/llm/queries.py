@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extraction.extract(read_table(spark, sf_dir, "pages"))
+    return extraction.extract(read_table(spark, sf_dir, "pages"), min_pages=2)
 
 
 #: (host, path, verdict)
