@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, extraction, lines, neighbours, quality, simhash, spelling, suffix, toxicity, urls
+from . import alignment, bpe, decontaminate, exact, extraction, lines, neighbours, quality, simhash, spelling, suffix, toxicity, urls
 from .labelled import held_out
 from .shared import read_table
 
@@ -89,6 +89,13 @@ def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.aligned(read_table(spark, sf_dir, "documents"), vocabulary_path(),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), min_chars=6, min_count=5, ratio=5, every=199)
 
@@ -105,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
     "op11_neighbours": op11_neighbours,
+    "op12_alignment": op12_alignment,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
