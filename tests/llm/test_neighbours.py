@@ -104,16 +104,16 @@ def test_query_recall_on_the_table(spark):
     assert hits / total >= 0.95
 
 
-def test_windows_only_widen():
-    """Counts of the rings add up to those of the last window."""
+@pytest.mark.parametrize("functions", [32, 300])
+def test_collisions_are_those_of_the_window(functions):
     rng = np.random.default_rng(3)
     v = rng.normal(size=(400, 8))
-    block = neighbours.Block(v, float(np.linalg.norm(v, axis=1).max()), 32, 0.7, 0.1, 1.1)
+    block = neighbours.Block(v, float(np.linalg.norm(v, axis=1).max()), functions, 0.7, 0.1, 1.1)
     found = block.colliding(v[5], 5)
-    assert 5 in found and len(found) >= 40
+    assert 5 in found and 40 <= len(found) < 400
     centre = block.directions[:, :-1] @ (v[5] * block.longest / np.linalg.norm(v[5]))
-    radius = block.radius * block.widen ** 3
-    inside = np.zeros(400, int)
-    for o, s, c in zip(block.order, block.sorted, centre):
-        inside[o[(s >= c - radius * (1 + 1e-12)) & (s <= c + radius * (1 + 1e-12))]] += 1
+    rest = np.sqrt(np.maximum(block.longest ** 2 - (v ** 2).sum(axis=1), 0))
+    projected = np.column_stack([v, rest]) @ block.directions.T
+    radius = block.radius * block.widen ** 2 * (1 + 1e-12)
+    inside = (np.abs(projected - centre) <= radius).sum(axis=1)
     assert set(np.flatnonzero(inside >= block.threshold)) == set(found)

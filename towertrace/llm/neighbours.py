@@ -7,9 +7,9 @@ the largest inner product is the smallest Euclidean distance.
 A hash function is a projection on one direction (rows of random rotations),
 and its table is the sorted array of the projections.  A query opens a window
 around its own projection in every array; a vector inside it collides under
-that function.  Virtual rehashing widens all windows by one factor, and only
-the rings just gained are counted, until enough vectors collide under at least
-`share` of the functions.  All of these, however many, are verified with their
+that function.  Virtual rehashing widens all windows by one factor until enough
+vectors collide under at least `share` of the functions; collisions are counted
+from the vectors' places in the arrays.  All of these, however many, are verified with their
 inner products on the original vectors.
 
 Distribution.  Equal vectors are one node that keeps its k + 1 smallest ids (a
@@ -54,8 +54,19 @@ class Block:
         self.directions = directions(vectors.shape[1] + 1, functions)
         rest = np.sqrt(np.maximum(longest ** 2 - np.einsum("ij,ij->i", vectors, vectors), 0.0))
         projected = np.column_stack([vectors, rest]) @ self.directions.T
-        self.order = np.ascontiguousarray(np.argsort(projected, axis=0, kind="stable").T)
-        self.sorted = np.take_along_axis(np.ascontiguousarray(projected.T), self.order, 1)
+        size = len(vectors)
+        order = np.argsort(projected, axis=0, kind="stable").T
+        # the sorted arrays one behind the other, each moved past the last one
+        self.reach = 1.5 * max(float(np.abs(projected).max()), 1e-300)
+        self.moved = 3 * self.reach * np.arange(functions)
+        self.sorted = (np.take_along_axis(np.ascontiguousarray(projected.T), order, 1) + self.moved[:, None]).ravel()
+        self.begin = size * np.arange(functions)
+        # the place of every vector in each sorted array: it is inside a window
+        # [low, high) of places when place - low < high - low, without sign
+        self.places = np.empty(order.shape, np.uint16 if size < 1 << 16 else np.uint32)
+        np.put_along_axis(self.places, order, np.arange(size, dtype=self.places.dtype)[None, :], 1)
+        self.shifted, self.inside = np.empty_like(self.places), np.empty(order.shape, bool)
+        self.count_type = np.uint8 if functions < 1 << 8 else np.uint16
         self.threshold = int(np.ceil(share * functions))
         self.verify = verify
         self.radius = longest / 8
@@ -63,29 +74,28 @@ class Block:
     def colliding(self, query: np.ndarray, least: int) -> np.ndarray:
         """Rows over the collision threshold: eight times the `least` that are
         wanted and a share of the block, or more."""
-        size, functions = len(self.vectors), len(self.sorted)
+        size, functions = len(self.vectors), len(self.directions)
         least = min(size, max(8 * least, int(np.ceil(self.verify * size))))
         centre = self.directions[:, :-1] @ (query * (self.longest / np.linalg.norm(query)))
-        counts = np.zeros(size, np.int64)
-        low = high = None
+        low, high = (np.empty((functions, 1), self.places.dtype) for _ in range(2))
         radius = self.radius
         while True:
-            a = [int(s.searchsorted(c - radius)) for s, c in zip(self.sorted, centre)]
-            b = [int(s.searchsorted(c + radius, "right")) for s, c in zip(self.sorted, centre)]
-            if low is None:
-                rings = [o[i:j] for o, i, j in zip(self.order, a, b)]
-            else:
-                rings = [o[i:j] for o, i, j in zip(self.order, a, low)]
-                rings += [o[i:j] for o, i, j in zip(self.order, high, b)]
-            counts += np.bincount(np.concatenate(rings), minlength=size)
-            low, high = a, b
+            low[:, 0] = self._place(centre - radius, "left")
+            high[:, 0] = self._place(centre + radius, "right")
+            np.subtract(self.places, low, out=self.shifted)
+            np.less(self.shifted, high - low, out=self.inside)
+            counts = np.add.reduce(self.inside.view(np.uint8), axis=0, dtype=self.count_type)
             found = np.flatnonzero(counts >= self.threshold)
-            if len(found) >= least or sum(b) - sum(a) == size * functions:
+            if len(found) >= least or int((high - low).sum(dtype=np.int64)) == size * functions:
                 # the next query starts a little below where this one ended
-                self.radius = radius / self.widen ** 3
+                self.radius = radius / self.widen ** 2
                 return found
             radius *= self.widen
 
+    def _place(self, values: np.ndarray, side: str) -> np.ndarray:
+        """Where each value stands in its function's sorted array."""
+        return self.sorted.searchsorted(values.clip(-self.reach, self.reach) + self.moved, side) - self.begin
+
     def nearest(self, query: np.ndarray, names: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) of the best k verified rows, ties by `names`."""
         rows = self.colliding(query, k)
