@@ -140,10 +140,13 @@ def test_same_result_any_partitioning(spark):
 def test_plans_share_their_shuffles(spark, key, scans, reused):
     from towertrace.plans.registry import QUERIES
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    # joins by shuffle, as at scale: the stays are counted before they are swept
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("FileScan") == scans
     assert plan.count("ReusedExchange") >= reused
     # the sweep never joins on the tower alone
@@ -157,3 +160,78 @@ def test_job_writes_table_and_sorted_text(spark, tmp_path):
     table = trace_to(ev, _subjects(spark, [1]), "job_contacts", str(tmp_path / "out"), include=True)
     assert sorted(r.phone for r in table.collect()) == [1, 2]
     assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["1", "2"]
+
+
+def _hot_stays(seed, n=3000, instant=False):
+    """One day; one of 30 towers sees a third of the stays, and with `instant`
+    most of them enter or leave at one second."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        e = 20220507000000 + rnd.randint(0, 59) * 100 + rnd.randint(0, 59)
+        x = e + rnd.choice([0, 1, 5, 30])
+        if instant and rnd.random() < 0.7:
+            e, x = rnd.choice([(e, max(e, 20220507003000)), (20220507003000, 20220507003000),
+                               (min(e, 20220507003000), 20220507003000), (20220507003000, 20220507003010)])
+        rows.append((rnd.randint(1, 900), 1 if i % 3 == 0 else rnd.randint(2, 30), e, x))
+    return rows
+
+
+@pytest.mark.parametrize("instant", [False, True])
+def test_dense_tower_is_split_and_exact(spark, instant):
+    from towertrace.operators import contacts
+
+    rows = _hot_stays(5, instant=instant)
+    subjects = set(range(1, 901, 40))
+    st, subj = _stays(spark, rows), _subjects(spark, sorted(subjects))
+    tagged = tag_subjects(st, subj)
+    hit = [a for a in rows if any(s[0] in subjects and s[1] == a[1] and a[2] <= s[3] and a[3] >= s[2]
+                                  for s in rows)]
+    assert 0 < len(hit) < len(rows)
+    got = [tuple(r)[:4] for r in overlapping_stays(tagged, split_rows=150, pieces=16).collect()]
+    assert sorted(got) == sorted(hit)
+    counts = {tuple(r)[:4]: r.overlaps for r in
+              overlap_counts(st, subj, split_rows=150, pieces=16).collect()}
+    want = {a: sum(1 for s in rows if s[0] in subjects and s[1] == a[1] and a[2] <= s[3] and a[3] >= s[2]) for a in set(hit)}
+    assert counts == want
+    # the rows of the hot tower lie in many pieces and tasks, none of them large
+    probes = tagged.selectExpr("*", "exit_time AS _key", "1 AS _kind")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        swept = contacts._swept(probes, 1_000_000, "_kind", 2, None, 150, 16)
+        per = swept.where("cellid = 1").groupBy("_p").agg(F.count("*").alias("n"), F.min(F.spark_partition_id()).alias("task")).collect()
+        others = swept.where("cellid <> 1").agg(F.max("_p")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert others == 0
+    assert len({r.task for r in per}) >= 4 and max(r.n for r in per) < 0.35 * sum(r.n for r in per)
+
+
+def test_trace_splits_by_the_events(spark):
+    from towertrace.operators import event_cuts
+
+    rnd = random.Random(9)
+    ev = []
+    for phone in range(1, 400):
+        t = 20220507000000 + rnd.randint(0, 20) * 100
+        tower = 1 if phone % 3 == 0 else rnd.randint(2, 20)
+        for _ in range(6):
+            ev.append((tower, t, rnd.choice([1, 1, 2, 2, 0]), phone))
+            t += rnd.randint(0, 40)
+    events = spark.createDataFrame(ev, "cellid long, times long, register int, phone long")
+    subj = _subjects(spark, list(range(1, 400, 21)))
+    cuts = event_cuts(events, split_rows=200, pieces=8).collect()
+    assert [(r.cellid, len(r._cuts)) for r in cuts] == [(1, 7)]
+    assert list(cuts[0]._cuts) == sorted(cuts[0]._cuts)
+    assert event_cuts(events).count() == 0
+    for rule in ("robust", "adjacent", "ordinal", "first_exit"):
+        whole, split = (sorted(r.phone for r in trace(events, subj, rule, include=True, **kw).collect())
+                        for kw in ({}, {"split_rows": 200, "pieces": 8}))
+        assert whole == split and whole, rule
+
+
+def test_pieces_must_be_a_power_of_two(spark):
+    from towertrace.operators import event_cuts
+
+    with pytest.raises(ValueError):
+        event_cuts(spark.createDataFrame([], "cellid long, times long, register int, phone long"), pieces=12)

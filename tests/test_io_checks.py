@@ -134,3 +134,84 @@ def test_catalog_tables(spark):
     load_managed_table(spark, "tracing.infected", subj)  # overwrite, not append
     assert spark.table("tracing.infected").count() == 1
     assert list_tables(spark, "tracing") == ["cdinfo", "infected"]
+
+
+def test_failed_write_keeps_the_table(spark):
+    from pyspark.errors import PySparkException
+
+    from towertrace.sinks import write_table
+    good = spark.range(5).withColumnRenamed("id", "phone")
+    write_table(good, "tt_replace")
+    broken = spark.range(5).selectExpr("IF(id = 3, CAST(raise_error('broken') AS BIGINT), id) AS phone")
+    with pytest.raises(PySparkException):
+        write_table(broken, "tt_replace")
+    assert sorted(r.phone for r in spark.table("tt_replace").collect()) == [0, 1, 2, 3, 4]
+    # from its own rows, with another schema
+    write_table(spark.table("tt_replace").selectExpr("phone * 2 AS phone", "1 AS n"), "tt_replace")
+    assert sorted((r.phone, r.n) for r in spark.table("tt_replace").collect()) == [(2 * i, 1) for i in range(5)]
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith("tt_replace")]
+    assert names == ["tt_replace"]
+
+
+def test_job_lost_between_the_renames(spark):
+    from towertrace.sinks import recover_table, write_table
+    spark.sql("CREATE DATABASE IF NOT EXISTS tt_swap")
+    write_table(spark.range(3), "tt_swap.phones")
+    spark.sql("ALTER TABLE tt_swap.phones RENAME TO tt_swap.phones__replaced_0")
+    assert recover_table(spark, "tt_swap.phones") and not recover_table(spark, "tt_swap.phones")
+    assert spark.table("tt_swap.phones").count() == 3
+    spark.sql("ALTER TABLE tt_swap.phones RENAME TO tt_swap.phones__replaced_0")
+    write_table(spark.range(4), "tt_swap.phones")  # the next write clears up by itself
+    assert spark.table("tt_swap.phones").count() == 4
+    assert [t.name for t in spark.catalog.listTables("tt_swap")] == ["phones"]
+    assert not recover_table(spark, "no_such_database.phones")
+
+
+def test_merged_file_is_the_concatenation(spark):
+    from towertrace.sinks import merge_parts
+    tmp = tempfile.mkdtemp(prefix="tt-merge-")
+    df = spark.range(0, 3000, 1, 7).selectExpr("(id * 7919) % 3001 AS phone")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = write_sorted_phones(df, os.path.join(tmp, "parts"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    names = sorted(f for f in os.listdir(parts) if f.startswith("part-"))
+    assert len(names) > 1
+    want = b"".join(open(os.path.join(parts, f), "rb").read() for f in names)
+    one = merge_parts(spark, parts, os.path.join(tmp, "out", "all.txt"))
+    assert open(one, "rb").read() == want and not os.path.exists(parts)
+    single = write_sorted_phones(df, os.path.join(tmp, "single"), single_file=True)
+    single = write_sorted_phones(df, os.path.join(tmp, "single"), single_file=True)  # overwrites
+    held = [f for f in os.listdir(single) if f.startswith("part-")]
+    assert len(held) == 1 and open(os.path.join(single, held[0]), "rb").read() == want
+    assert sorted(os.listdir(tmp)) == ["out", "single"]
+    empty = write_lines(df.limit(0).selectExpr("CAST(phone AS STRING)"), os.path.join(tmp, "none"), single_file=True)
+    assert [os.path.getsize(os.path.join(empty, f)) for f in os.listdir(empty) if f.startswith("part-")] == [0]
+
+
+def test_bad_lines_with_text_and_place(spark):
+    from towertrace.sources import read_checked_text
+    tmp = tempfile.mkdtemp(prefix="tt-bad ")
+    lines = {"a.txt": ["1,2,1,3", "1,bad,2,3", "", "5,6", "1,2,1,3,4"], "b.txt": [" 1,2,1,3", "4,5,2,6", ",1,2,3", "1,2,1,99999999999999999999", "x"]}
+    for name, some in lines.items():
+        _write(tmp, name, "\n".join(some) + "\n")
+    good, bad = read_checked_text(spark, tmp)
+    assert sorted(tuple(r) for r in good.collect()) == [(1, 2, 1, 3), (4, 5, 2, 6)]
+    got = sorted((r.line_no, os.path.basename(r.file), r.file_line, r.line) for r in bad.collect())
+    every = [(f, i, x) for f in sorted(lines) for i, x in enumerate(lines[f], 1)]
+    assert got == [(n, *row) for n, row in enumerate(every, 1) if row[2] not in ("1,2,1,3", "4,5,2,6")]
+
+
+def test_id_range_runs_nothing_while_planned(spark):
+    from towertrace.sources.testdata import RANGE_CHUNK, id_range
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("tt-range", "range")
+    frame = id_range(spark.createDataFrame([(RANGE_CHUNK - 3,), (None,), (3 * RANGE_CHUNK + 5,)], "phone long"), "phone")
+    assert list(tracker.getJobIdsForGroup("tt-range")) == []
+    row = frame.agg(F.min("phone"), F.max("phone"), F.count("*"), F.count_distinct("phone")).first()
+    size = 2 * RANGE_CHUNK + 9
+    assert tuple(row) == (RANGE_CHUNK - 3, 3 * RANGE_CHUNK + 5, size, size)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.phone for r in id_range(spark.createDataFrame([(-2,), (1,)], "phone long"), "phone").orderBy("phone").collect()] == [-2, -1, 0, 1]
+    assert id_range(spark.createDataFrame([], "phone long"), "phone").count() == 0

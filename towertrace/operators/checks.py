@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scan import exclusive_scan
+
 # A valid list line is one field of digits (surrounding blanks
 # and tabs allowed, as in an awk field split).
 DIGITS_LINE = r"^[ \t]*[0-9]+[ \t]*$"
@@ -28,17 +30,19 @@ def order_violations(numbered: DataFrame) -> DataFrame:
 
     `numbered` comes from `numbered_lines`: inside a split a window finds the
     numeric line before; a split's first numeric line finds it among the
-    splits' last ones, of which there is one row per split.  No line is
-    shuffled but to its own split."""
+    earlier splits' last ones, carried over by `exclusive_scan`.  No line is
+    shuffled but to its own split, and no window spans all splits."""
     value = F.trim(F.col("line")).try_cast("decimal(38,0)")
     rows = numbered.select("split", "line_no", "line", value.alias("_v")).where("_v IS NOT NULL")
     w = "PARTITION BY split ORDER BY line_no"
     rows = rows.selectExpr("*", f"lag(line) OVER ({w}) AS _pl", f"lag(_v) OVER ({w}) AS _pv",
                            f"lead(line_no) OVER ({w}) IS NULL AS _last")
     inner = rows.where("_v < _pv").select("line_no", F.col("_pl").alias("prev_line"), "line")
-    edges = rows.where("_pv IS NULL OR _last").selectExpr("split", "line_no", "line", "_v", "_pv IS NULL AS _first")
-    edges = edges.selectExpr("*", "lag(line) OVER (ORDER BY split, line_no) AS _el", "lag(_v) OVER (ORDER BY split, line_no) AS _ev")
-    across = edges.where("_first AND _v < _ev").select("line_no", F.col("_el").alias("prev_line"), "line")
+    firsts = rows.where("_pv IS NULL").select("split", "line_no", "line", "_v")
+    lasts = rows.where("_last").selectExpr("split", "named_struct('s', split, 'v', _v, 'line', line) AS _x")
+    carried = exclusive_scan(lasts, "split", _x="max").where("before__x IS NOT NULL")
+    across = firsts.join(carried, "split").where("_v < before__x.v").select(
+        "line_no", F.col("before__x.line").alias("prev_line"), "line")
     return inner.unionByName(across)
 
 

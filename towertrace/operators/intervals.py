@@ -54,7 +54,7 @@ def bucket_of(col: str, bucket_span: int | None) -> F.Column:
     return F.expr(bucket_sql(col, bucket_span))
 
 
-def _events(df: DataFrame, bucket_span: int | None) -> DataFrame:
+def keyed_events(df: DataFrame, bucket_span: int | None) -> DataFrame:
     """The events, shuffled by key and bucket.  The shuffle is written out so
     that it stands below the rules' own expressions: every rule over the same
     events has the same one, and a plan with two rules reads it twice."""
@@ -116,7 +116,7 @@ def robust(events: DataFrame, include_phone: bool = True,
     own bucket, so the plan is one straight line: events shuffle, sort and
     windows once; segments shuffle once.
     """
-    x = _edges(_events(events, bucket_span))
+    x = _edges(keyed_events(events, bucket_span))
     x = x.selectExpr("*", f"CAST(register = {EXIT} AND _nxt = {ENTER} AS INT) AS _ic")
     x = x.selectExpr("*", f"coalesce(sum(_ic) OVER ({W_LOCAL} {BEFORE}), 0) AS _cc")
 
@@ -160,7 +160,7 @@ def _bucket_edges(x: DataFrame) -> DataFrame:
 def with_previous(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
     """Every event with `prev_register` / `prev_time` of the row before it
     in its key (null for the key's first row)."""
-    x = _edges(_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
+    x = _edges(keyed_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
     inner = x.where("NOT _fst").selectExpr(
         "phone", "cellid", "times", "register", "_prv AS prev_register", "_pt AS prev_time")
     heads = _bucket_edges(x).selectExpr(
@@ -179,7 +179,7 @@ def adjacent(events: DataFrame, include_phone: bool = True,
     bucket's last row as its predecessor (first rows order before last rows
     of the same bucket).  One shuffle of pairs and edge rows; the events
     are sorted once."""
-    x = _edges(_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
+    x = _edges(keyed_events(events, bucket_span), f"lag(times) OVER ({W_LOCAL}) AS _pt")
     x = x.where(f"(_prv = {ENTER} AND register = {EXIT}) OR _fst OR _lst")
     x = x.selectExpr("*", "CASE WHEN _fst OR _lst THEN -1 ELSE _b END AS _gk",
                      "CASE WHEN _fst THEN 0 ELSE 1 END AS _ek")
@@ -200,7 +200,7 @@ def with_ordinal(events: DataFrame, bucket_span: int | None = DAY_BUCKET) -> Dat
     """Enter and exit rows with `idx`, their 0-based rank among the key's
     rows of the same code, ordered by time."""
     w = "PARTITION BY phone, cellid, register, _b ORDER BY times"
-    x = _events(events, bucket_span).where(f"register IN ({ENTER}, {EXIT})").selectExpr(
+    x = keyed_events(events, bucket_span).where(f"register IN ({ENTER}, {EXIT})").selectExpr(
         "*", f"row_number() OVER ({w}) - 1 AS _r", "count(1) OVER (PARTITION BY phone, cellid, register, _b) AS _n")
     # one row per bucket, from the same shuffle, gives the rank it starts at
     bk = x.where("_r = 0").selectExpr(
@@ -237,7 +237,7 @@ def first_exit(events: DataFrame, include_phone: bool = True,
     range frames over the bucket number then give the previous bucket's
     last code and the earliest exit of later buckets.  One shuffle of
     starts and edge rows; the events are sorted once."""
-    x = _edges(_events(events, bucket_span),
+    x = _edges(keyed_events(events, bucket_span),
                f"min(CASE WHEN register = {EXIT} THEN times END) OVER ("
                "PARTITION BY phone, cellid, _b ORDER BY times "
                "RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _nx")

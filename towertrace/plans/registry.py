@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ from . import oracle_sql as S
 from ..functions.lines import csv_line, rowkey_tsv_line, subject_tsv_line
 from ..functions.timefmt import format_time_of_day, seconds_of_day
 from ..operators import checks
-from ..operators.contacts import overlap_counts, overlapping_stays, subject_events, tag_subjects
+from ..operators.asof import asof_join
+from ..operators.contacts import event_cuts, overlap_counts, overlapping_stays, subject_events, tag_subjects
+from ..operators.groups import apply_sorted, robust_rule
 from ..operators.intervals import intervals, with_ordinal, with_previous
 from ..operators.shape import event_summary, replicate_events, split_visits_to_events, union_visits
 from ..session import scratch_path, scratch_table
@@ -24,9 +28,9 @@ from ..sinks.text import write_lines, write_sorted_phones, write_table
 from ..sources.tables import ensure_database, list_tables, load_managed_table, read_table, register_external_text_table
 from ..sources.testdata import (
     cdr_from_events, load, stays_from_orders, subjects_from_customers, subjects_from_events,
-    subject_ids, visits_from_events, visits_from_orders,
+    id_range, visits_from_events, visits_from_orders,
 )
-from ..sources.text import numbered_lines, read_events_text, read_subjects_text
+from ..sources.text import numbered_lines, read_checked_text, read_events_text, read_subjects_text
 from .trace import trace, trace_stays, trace_to
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +40,12 @@ REPLICA_COPIES = 3
 REPLICA_PHONE_STRIDE = 1_000_000_000
 REPLICA_CELL_STRIDE = 1_000_000
 
+# The day and the density of the hot-tower query, and a density
+# that has the sweeps of the test tables cut into pieces.
+HOT_DAY = 20240101000000
+HOT_ROWS = 200
+PIECEWISE = {"split_rows": 2, "pieces": 4}
+
 
 def _events(spark, d):
     return load(spark, d, "events")
@@ -55,18 +65,26 @@ def _inputs(spark, d):
     return cdr_from_events(ev), subjects_from_events(ev)
 
 
-def _contacts(rule: str, include: bool) -> Query:
+def _contacts(rule: str, include: bool, **sweep: int) -> Query:
     def q(spark, d):
         cdr, subj = _inputs(spark, d)
-        return trace(cdr, subj, rule=rule, include=include)
+        return trace(cdr, subj, rule=rule, include=include, **sweep)
     return q
 
 
+def q_contacts_hot_tower(spark, d):
+    """One day, and one tower with the events of every third phone: its sweep
+    is cut into pieces."""
+    cdr, subj = _inputs(spark, d)
+    hot = cdr.selectExpr("IF(phone % 3 = 0, 0, cellid) AS cellid", f"{HOT_DAY} + times % 1000000 AS times", "register", "phone")
+    return trace(hot, subj, rule="robust", include=True, split_rows=HOT_ROWS, pieces=16)
+
+
 def q_overlapping_stays(rule: str) -> Query:
     """The stays that overlap a subject's, not only their phones."""
     def q(spark, d):
         cdr, subj = _inputs(spark, d)
-        return overlapping_stays(tag_subjects(intervals(cdr, rule), subj))
+        return overlapping_stays(tag_subjects(intervals(cdr, rule), subj), cuts=event_cuts(cdr))
     return q
 
 
@@ -169,7 +187,61 @@ def q_table_list(spark, d):
 
 def q_overlap_counts(spark, d):
     cdr, subj = _inputs(spark, d)
-    return overlap_counts(intervals(cdr, "robust"), subj)
+    return overlap_counts(intervals(cdr, "robust"), subj, cuts=event_cuts(cdr))
+
+
+def q_first_exit_asof(spark, d):
+    """The first-exit rule as an as-of join of two tables: the enters that
+    start a run, and the exits."""
+    cdr = _cdr(spark, d)
+    starts = with_previous(cdr).where("register = 1 AND NOT (prev_register <=> 1)").selectExpr(
+        "phone", "cellid", "times AS enter_time")
+    exits = cdr.where("register = 2").selectExpr("phone", "cellid", "times AS exit_time")
+    return asof_join(starts, exits, ["phone", "cellid"], "enter_time", "exit_time", how="inner", prefix="")
+
+
+def q_next_subject_sighting(spark, d):
+    """Every event with the next event of a subject on its tower."""
+    cdr, subj = _inputs(spark, d)
+    return asof_join(cdr, subject_events(cdr, subj).select("cellid", "times", "phone"), ["cellid"], "times", "times")
+
+
+def q_table_replaced_after_failure(spark, d):
+    """A table is written, a second write fails half way and leaves the old
+    rows, and these are then replaced by rows read from the table itself."""
+    cdr, subj = _inputs(spark, d)
+    name = scratch_table(spark, "replaced")
+    write_table(subj, name)
+    broken = cdr.selectExpr("IF(times > 0, CAST(raise_error('a row that cannot be written') AS BIGINT), phone) AS phone")
+    try:
+        write_table(broken, name)
+    except (PySparkException, Py4JJavaError) as error:
+        if "a row that cannot be written" not in str(error):
+            raise
+    write_table(read_table(spark, name).selectExpr("phone + 1 AS phone"), name)
+    return read_table(spark, name)
+
+
+def q_merged_lines(spark, d):
+    """The sorted event export joined into one file, read back with line numbers."""
+    lines = _cdr(spark, d).orderBy("cellid", "times", "register", "phone").select(csv_line())
+    return numbered_lines(spark, write_lines(lines, scratch_path(spark, "events-merged"), single_file=True)).drop("split")
+
+
+def q_bad_event_lines(spark, d):
+    """Event lines broken in five ways, by phone: the bad ones with their text
+    and place."""
+    line = F.expr("CASE pmod(phone, 8) WHEN 0 THEN concat('x', line) WHEN 1 THEN '' WHEN 2 THEN concat(line, ',9') "
+                  "WHEN 3 THEN concat(line, '99999999999999999999') WHEN 4 THEN substring_index(line, ',', 2) ELSE line END")
+    rows = _cdr(spark, d).orderBy("cellid", "times", "register", "phone").select("phone", csv_line().alias("line"))
+    path = write_lines(rows.select(line.alias("line")), scratch_path(spark, "events-broken"))
+    return read_checked_text(spark, path)[1].select("line_no", "line")
+
+
+def q_phone_range_events(spark, d):
+    """The events joined with the range of all phone numbers."""
+    cdr = _cdr(spark, d)
+    return subject_events(cdr, id_range(cdr, "phone"))
 
 
 def q_reconcile(kind: str, rules: tuple[str, str] = ("first_exit", "robust")) -> Query:
@@ -225,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "external_table_scan": q_external_table_scan,
     "managed_table_overwrite": q_managed_table_overwrite,
     "table_as_select": q_table_as_select,
+    "table_replaced_after_failure": q_table_replaced_after_failure,
     "table_list": q_table_list,
     "trace_job": q_trace_job,
     # windows
@@ -240,18 +313,25 @@ QUERIES: dict[str, Query] = {
     "intervals_first_exit_nulls": lambda s, d: intervals(_null_coded(s, d), "first_exit"),
     "intervals_robust_nulls": lambda s, d: intervals(_null_coded(s, d), "robust"),
     "intervals_without_phone": _stays("robust", include_phone=False),
+    "intervals_robust_rule": lambda s, d: apply_sorted(
+        _cdr(s, d), ["phone", "cellid"], ["times", "register"], robust_rule,
+        "phone bigint, cellid bigint, enter_time bigint, exit_time bigint"),
+    # as-of joins
+    "first_exit_asof": q_first_exit_asof,
+    "next_subject_sighting": q_next_subject_sighting,
     # contacts
     "contacts_include": _contacts("robust", True),
     "contacts_exclude": _contacts("robust", False),
-    "contacts_sweep_include": _contacts("robust", True),
-    "contacts_sweep_exclude": _contacts("robust", False),
+    "contacts_sweep_include": _contacts("robust", True, **PIECEWISE),
+    "contacts_sweep_exclude": _contacts("robust", False, **PIECEWISE),
     "contacts_adjacent": _contacts("adjacent", True),
     "contacts_adjacent_exclude": _contacts("adjacent", False),
     "contacts_ordinal": _contacts("ordinal", True),
     "contacts_ordinal_exclude": _contacts("ordinal", False),
     "contacts_first_exit": _contacts("first_exit", True),
     "contacts_first_exit_exclude": _contacts("first_exit", False),
-    "contacts_first_exit_sweep": _contacts("first_exit", True),
+    "contacts_first_exit_sweep": _contacts("first_exit", True, **PIECEWISE),
+    "contacts_hot_tower": q_contacts_hot_tower,
     "overlapping_stays": q_overlapping_stays("robust"),
     "overlapping_stays_ordinal": q_overlapping_stays("ordinal"),
     "overlap_counts": q_overlap_counts,
@@ -271,6 +351,8 @@ QUERIES: dict[str, Query] = {
     # export formats
     "events_csv_lines": lambda s, d: _cdr(s, d).select(csv_line().alias("line")),
     "events_sorted_lines": q_events_sorted_lines,
+    "merged_lines": q_merged_lines,
+    "bad_event_lines": q_bad_event_lines,
     "rowkey_tsv_lines": lambda s, d: _cdr(s, d).select(rowkey_tsv_line().alias("line")),
     "subject_tsv_lines": lambda s, d: _subjects(s, d).select(subject_tsv_line().alias("line")),
     # reshaping and scale-up
@@ -278,7 +360,7 @@ QUERIES: dict[str, Query] = {
     "split_visits_to_events": lambda s, d: split_visits_to_events(visits_from_events(_events(s, d))),
     "replicate_events": lambda s, d: replicate_events(
         _cdr(s, d), REPLICA_COPIES, REPLICA_PHONE_STRIDE, REPLICA_CELL_STRIDE),
-    "subject_id_events": lambda s, d: subject_events(_cdr(s, d), subject_ids(s, _cdr(s, d))),
+    "phone_range_events": q_phone_range_events,
     "union_visits": q_union_visits,
     "event_summary": q_event_summary,
 }
@@ -314,7 +396,32 @@ SQL: dict[str, str] = {
         "SELECT phone, phone AS line_phone FROM c",
     "overlapping_stays": S.overlapping_sql("robust"),
     "overlapping_stays_ordinal": S.overlapping_sql("ordinal"),
-    "subject_id_events": _W(S.CDR) + "SELECT phone, cellid, times, register FROM cdr WHERE phone % 10 = 0",
+    "phone_range_events": _W(S.CDR) + "SELECT phone, cellid, times, register FROM cdr",
+    "intervals_robust_rule": _W(S.CDR, S.robust("st")) + "SELECT * FROM st",
+    "first_exit_asof": _W(S.CDR, S.first_exit("st")) + "SELECT * FROM st",
+    "next_subject_sighting": _W(S.CDR, S.SUBJECTS) + """
+SELECT e.cellid, e.times, e.register, e.phone, s.times AS next_times, s.phone AS next_phone
+FROM cdr e ASOF LEFT JOIN (
+  SELECT cellid, times, min(phone) AS phone FROM cdr
+  WHERE phone IN (SELECT phone FROM subjects) GROUP BY cellid, times) s
+  ON e.cellid = s.cellid AND e.times <= s.times""",
+    "contacts_hot_tower": _W(S.CDR, S.SUBJECTS, f"""hot AS (
+  SELECT CASE WHEN phone % 3 = 0 THEN 0 ELSE cellid END AS cellid, {HOT_DAY} + times % 1000000 AS times, register, phone
+  FROM cdr)""", S.robust("st", "hot"), S.contacts("c", "st", True)) + "SELECT phone FROM c",
+    "table_replaced_after_failure": _W(S.SUBJECTS) + "SELECT phone + 1 AS phone FROM subjects",
+    "merged_lines": _W(S.CDR) +
+        "SELECT row_number() OVER (ORDER BY cellid, times, register, phone) AS line_no, "
+        "concat_ws(',', CAST(cellid AS VARCHAR), CAST(times AS VARCHAR), "
+        "CAST(register AS VARCHAR), CAST(phone AS VARCHAR)) AS line FROM cdr",
+    "bad_event_lines": _W(S.CDR, """l AS (
+  SELECT row_number() OVER (ORDER BY cellid, times, register, phone) AS line_no, phone % 8 AS how,
+         CAST(cellid AS VARCHAR) || ',' || CAST(times AS VARCHAR) AS short,
+         concat_ws(',', CAST(cellid AS VARCHAR), CAST(times AS VARCHAR),
+                   CAST(register AS VARCHAR), CAST(phone AS VARCHAR)) AS line
+  FROM cdr)""") + """
+SELECT line_no, CASE how WHEN 0 THEN 'x' || line WHEN 1 THEN '' WHEN 2 THEN line || ',9'
+                         WHEN 3 THEN line || '99999999999999999999' ELSE short END AS line
+FROM l WHERE how <= 4""",
     "mixed_lines_bad": _W(S.CDR, S.MIXED) + "SELECT line_no, line FROM l WHERE NOT good",
     "mixed_lines_order_violations": _W(S.CDR, S.MIXED) + """
 SELECT line_no, prev_line, line FROM (

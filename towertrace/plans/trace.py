@@ -8,23 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.contacts import find_contacts
+from ..operators.contacts import event_cuts, find_contacts
+from ..operators.density import PIECES, SPLIT_ROWS
 from ..operators.intervals import intervals
 from ..schema import DAY_BUCKET
 from ..sinks.text import write_sorted_phones, write_table
 
 
 def trace(events: DataFrame, subjects: DataFrame, rule: str = "robust",
-          include: bool = False, bucket_span: int | None = DAY_BUCKET) -> DataFrame:
-    """Distinct contact phones (column `phone`)."""
-    return trace_stays(intervals(events, rule, include_phone=True, bucket_span=bucket_span),
-                       subjects, include, bucket_span)
+          include: bool = False, bucket_span: int | None = DAY_BUCKET,
+          split_rows: int = SPLIT_ROWS, pieces: int = PIECES) -> DataFrame:
+    """Distinct contact phones (column `phone`).  Buckets of a tower with more
+    than `split_rows` events are swept in `pieces`."""
+    return find_contacts(intervals(events, rule, include_phone=True, bucket_span=bucket_span), subjects, include,
+                         bucket_span, event_cuts(events, bucket_span, split_rows, pieces), pieces=pieces)
 
 
 def trace_stays(stays: DataFrame, subjects: DataFrame, include: bool = False,
-                bucket_span: int | None = DAY_BUCKET) -> DataFrame:
+                bucket_span: int | None = DAY_BUCKET, split_rows: int = SPLIT_ROWS,
+                pieces: int = PIECES) -> DataFrame:
     """Contacts from stays that are already intervals."""
-    return find_contacts(stays, subjects, include, bucket_span)
+    return find_contacts(stays, subjects, include, bucket_span, split_rows=split_rows, pieces=pieces)
 
 
 def trace_to(events: DataFrame, subjects: DataFrame, table: str, text_path: str,

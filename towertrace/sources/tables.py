@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import EVENT_SCHEMA
+from ..sinks.text import write_table
 from .text import split_valid
 
 
@@ -49,7 +50,7 @@ def register_external_text_table(spark: SparkSession, name: str, location: str,
 
 def load_managed_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """`LOAD DATA ... OVERWRITE INTO TABLE`: replace a managed table's rows."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    write_table(df, name)
     return spark.table(name)
 
 

@@ -89,10 +89,20 @@ def visits_from_orders(orders: DataFrame) -> DataFrame:
         (enter + 1 + F.col("o_custkey") % 3600).cast("int").alias("exitSec"))
 
 
-def subject_ids(spark: SparkSession, events: DataFrame, step: int = 10) -> DataFrame:
-    """Every `step`-th phone number up to the largest one: a distributed range."""
-    top = events.agg(F.max("phone")).first()[0]
-    return spark.range(0, (top or 0) + 1, step).withColumnRenamed("id", "phone")
+#: Ids that one task of `id_range` makes at a time.
+RANGE_CHUNK = 65_536
+
+
+def id_range(df: DataFrame, column: str) -> DataFrame:
+    """All whole numbers from the least to the largest value of a column, as
+    one plan: the bounds are an aggregate, its row is unfolded to one row per
+    chunk, and the chunks are dealt out before each makes its ids.  Nothing
+    runs while the plan is built; without a value the range is empty."""
+    size = RANGE_CHUNK
+    bounds = df.agg(F.min(column).cast("bigint").alias("_lo"), F.max(column).cast("bigint").alias("_hi")).where("_lo IS NOT NULL")
+    floor = "CAST(floor({} / CAST({} AS DECIMAL(20, 0))) AS BIGINT)".format
+    chunks = bounds.selectExpr("_lo", "_hi", f"explode(sequence({floor('_lo', size)}, {floor('_hi', size)})) AS _c").repartition("_c")
+    return chunks.selectExpr(f"explode(sequence(greatest(_lo, _c * {size}), least(_hi, _c * {size} + {size - 1}))) AS {column}")
 
 
 def stays_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
