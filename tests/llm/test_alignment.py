@@ -112,6 +112,18 @@ def test_segments_encode_like_whole_texts(tokenizers):
             assert (a, b) == tuple(whole), text
 
 
+def test_joined_words_encode_like_whole_texts(tokenizers):
+    """The joined way of the memo, on segments of every kind."""
+    fresh = list(dict.fromkeys(x for text in texts(3, 200) if text for x in alignment.SAFE.split(text)))
+    words = [x for x in fresh if alignment.WORDS.fullmatch(x)]
+    assert 30 < len(words) < len(fresh)
+    good, ids_a, count_a, ids_b, count_b = alignment.Segments(tokenizers)._encode_words(words)
+    a, b = tokenizers.encode(words)
+    assert list(good) == list(range(len(words)))
+    assert ids_a.tolist() == sum(a, []) and count_a.tolist() == list(map(len, a))
+    assert ids_b.tolist() == sum(b, []) and count_b.tolist() == list(map(len, b))
+
+
 def test_real_texts_cut_like_whole(spark, tokenizers):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).toPandas()["text"]
     for text in rows:

@@ -39,6 +39,7 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 
@@ -49,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .bpe import _slices, token_bytes
+from .bpe import PATTERN, _slices, token_bytes
 from .shared import cut
 
 #: Where both tokenizers always cut: the space belongs to what follows.
@@ -57,8 +58,13 @@ SAFE = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ.,;:!?'\")(-]) (?=[A-Za-zÀ-Ö
 SPACE = "▁"
 PIECE = 1 << 20
 B_BITS = 16
-MOST_SEGMENTS, MOST_BYTES = 150_000, 48 << 20
+MOST_SEGMENTS, MOST_BYTES = 400_000, 160 << 20
 CHUNK_BYTES = 1 << 18
+#: Segments that begin and end like those in the middle of a text, and hold only
+#: characters that every version of the character tables puts into the same
+#: class.  Many of them joined are encoded like each alone, and tiktoken, given
+#: A's vocabulary, encodes them like A's own library, and faster.
+WORDS = re.compile(r"""[A-Za-zÀ-ÖØ-öø-ÿ](?:[\t\n\r -~À-ÖØ-öø-ÿ]*[0-9A-Za-zÀ-ÖØ-öø-ÿ.,;:!?'\")(-])?""")
 
 
 class Csr:
@@ -135,6 +141,11 @@ class Tokenizers:
         self.a.no_truncation()
         self.a.no_padding()
         self.a_bytes = token_bytes(a_path)
+        import tiktoken
+
+        special = set(self.a.get_added_tokens_decoder())
+        ranks = {b: i for i, b in enumerate(self.a_bytes) if i not in special}
+        self.plain = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(SPACE in p.lstrip(SPACE) for p in pieces) or len(pieces) > 1 << B_BITS:
@@ -182,26 +193,49 @@ class Alignment:
         every token is in one group."""
         return np.diff(self.group_b.starts)[self.group_a.transposed().columns]
 
-    def group_texts(self) -> list[str]:
-        """`a1,a2|b1` of each group."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        s, t = self.group_a.starts.tolist(), self.group_b.starts.tolist()
-        return [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in zip(s, s[1:], t, t[1:])]
+    def spelled(self, tables: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The groups spelled out, `a1,a2|b1;`, as the strings of their tokens
+        in order, and the place behind each group.  `tables` are the strings
+        of A ids before `,` and before `|`, then of B ids before `,` and `;`."""
+        n_a = len(tables) // 2 - (1 << B_BITS)
+        a_ends, b_ends = self.group_a.starts, self.group_b.starts
+        text = np.empty(len(self.a) + len(self.b), np.int64)
+        sizes_a, sizes_b = np.diff(a_ends), np.diff(b_ends)
+        text[np.arange(len(self.a)) + np.repeat(b_ends[:-1], sizes_a)] = self.a
+        text[np.arange(len(self.b)) + np.repeat(a_ends[1:], sizes_b)] = self.b + 2 * n_a
+        text[a_ends[1:] + b_ends[:-1] - 1] += n_a
+        text[a_ends[1:] + b_ends[1:] - 1] += 1 << B_BITS
+        return a_ends[1:] + b_ends[1:], list(map(tables.__getitem__, text.tolist()))
+
+
+def spelling(tokenizers: Tokenizers) -> list[str]:
+    """The strings that `Alignment.spelled` takes."""
+    return [f"{i}{end}" for n, ends in ((len(tokenizers.a_bytes), ",|"), (1 << B_BITS, ",;")) for end in ends for i in range(n)]
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists one behind the other, and their lengths."""
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64), np.array(list(map(len, lists)), np.int64)
 
 
 class Segments:
-    """Memo of segments: their sums, links and group texts, by number."""
+    """Memo of segments by number: their sums, their links (pairs of ids as
+    keys, one behind the other) and, if asked for, their groups' text."""
 
     SUMS = ("bad", "n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum")
+    LINKS = SUMS.index("n_links")
 
-    def __init__(self, tokenizers: Tokenizers, pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None):
+    def __init__(self, tokenizers: Tokenizers, pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
+                 spell: bool = False):
         self.tokenizers, self.pairs = tokenizers, pairs
+        self.tables = spelling(tokenizers) if spell else None
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.sums = np.zeros((1024, len(self.SUMS)), np.int64)
-        self.keys: list[np.ndarray] = []
+        self.first = np.zeros(1025, np.int64)
+        self.keys = np.empty(4096, np.int64)
         self.texts: list[str] = []
         self.held = 0
 
@@ -211,56 +245,101 @@ class Segments:
         if len(self.number) > room * MOST_SEGMENTS or self.held > room * MOST_BYTES:
             self.clear()
         fresh = [s for s in dict.fromkeys(segments) if s not in self.number]
+        words = [s for s in fresh if WORDS.fullmatch(s)]
+        if len(words) < len(fresh):
+            held = set(words)
+            self._add_all([s for s in fresh if s not in held], self._encode)
+        self._add_all(words, self._encode_words)
+
+    def _add_all(self, fresh: list[str], encode) -> None:
         at = 0
         while at < len(fresh):
             stop, size = at, 0
             while stop < len(fresh) and (stop == at or size < CHUNK_BYTES):
                 size += len(fresh[stop])
                 stop += 1
-            self._add(fresh[at:stop])
-            self.held += 3 * size + 100 * (stop - at)
+            self._add(fresh[at:stop], *encode(fresh[at:stop]))
+            self.held += 12 * size + 200 * (stop - at)
             at = stop
 
-    def _add(self, fresh: list[str]) -> None:
+    def links(self, numbers: list[int]) -> np.ndarray:
+        """The different keys of the links of some segments."""
+        at = np.unique(np.array(numbers))
+        first, count = self.first[at], self.sums[at, self.LINKS]
+        last = np.cumsum(count)
+        return np.unique(self.keys[np.arange(last[-1]) + np.repeat(first - last + count, count)])
+
+    def _encode(self, fresh: list[str]):
+        """(which are given back byte for byte, ids of A and of B of these one
+        behind the other, their numbers of tokens)."""
+        a, b = self.tokenizers.encode(fresh)
+        good = [i for i in range(len(fresh)) if self.tokenizers.faithful(fresh[i], a[i], b[i])]
+        ids_a, count_a = flat([a[i] for i in good])
+        ids_b, count_b = flat([b[i] for i in good])
+        return good, ids_a, count_a, ids_b, count_b
+
+    def _encode_words(self, fresh: list[str]):
+        """The same for segments that are `WORDS`: A takes them joined."""
         t = self.tokenizers
-        a, b = t.encode(fresh)
-        fine = [t.faithful(s, x, y) for s, x, y in zip(fresh, a, b)]
-        good = [i for i, f in enumerate(fine) if f]
-        count_a, count_b = (np.array([len(x[i]) for i in good], np.int64) for x in (a, b))
-        whole = Alignment(t, *(np.array([k for i in good for k in x[i]], np.int64) for x in (a, b)))
+        joined = " " + " ".join(fresh)
+        raw = joined.encode()
+        ids_a = t.plain.encode_to_numpy(joined).astype(np.int64)
+        ids_b, count_b = flat(t.b.encode(fresh, num_threads=1))
+        ends = np.cumsum(np.array(list(map(len, map(str.encode, fresh))), np.int64) + 1)
+        bytes_a = np.cumsum(t.a_size[ids_a])
+        upto = np.searchsorted(bytes_a, ends)
+        if not (np.array_equal(bytes_a[upto], ends) and count_b.all()
+                and np.array_equal(np.cumsum(t.b_size[ids_b])[np.cumsum(count_b) - 1], ends)
+                and b"".join(map(t.a_bytes.__getitem__, ids_a.tolist())) == raw
+                and b"".join(map(t.b_bytes.__getitem__, ids_b.tolist())) == raw):
+            return self._encode(fresh)  # some text is not given back
+        return range(len(fresh)), ids_a, np.diff(upto + 1, prepend=0), ids_b, count_b
+
+    def _add(self, fresh: list[str], good, ids_a, count_a, ids_b, count_b) -> None:
+        whole = Alignment(self.tokenizers, ids_a, ids_b)
         rows, columns, _ = whole.links()
         keys = (whole.a[rows] << B_BITS) | whole.b[columns]
         end_a = np.cumsum(count_a)                                   # A tokens up to each segment's end
         link_end = np.searchsorted(rows, end_a)
         group_end = np.searchsorted(whole.group_a.starts[1:], end_a, "right")
-        shared = np.concatenate(([0], np.cumsum(whole.shared_sizes())))
-        sums = np.zeros((len(fresh), len(self.SUMS)), np.int64)
-        sums[:, 0] = ~np.array(fine, bool)
-        per = [count_a, count_b, np.diff(group_end, prepend=0), np.diff(link_end, prepend=0),
-               np.diff(shared[end_a], prepend=0)]
+        per = [count_a, count_b, np.diff(group_end, prepend=0), np.diff(link_end, prepend=0)]
+
+        def summed(values, ends):
+            per.append(np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[ends], prepend=0))
+
+        summed(whole.shared_sizes(), end_a)
         if self.pairs is not None:
             known, n, best = self.pairs
             at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
             hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-            for x in (hit & best[at] if len(known) else hit, np.where(hit, n[at], 0) if len(known) else hit):
-                total = np.concatenate(([0], np.cumsum(x, dtype=np.int64)))
-                per.append(np.diff(total[link_end], prepend=0))
+            summed(hit & best[at] if len(known) else hit, link_end)
+            summed(np.where(hit, n[at], 0) if len(known) else hit, link_end)
+        start, stop = len(self.number), len(self.number) + len(fresh)
+        sums = np.zeros((len(fresh), len(self.SUMS)), np.int64)
+        sums[:, 0] = 1
+        good = np.array(good, np.int64)
+        sums[good, 0] = 0
         for k, x in enumerate(per):
             sums[good, 1 + k] = x
-        first = len(self.number)
-        while first + len(fresh) > len(self.sums):
+        used = int(self.first[start])
+        while stop > len(self.sums):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        self.sums[first:first + len(fresh)] = sums
-        self.number.update(zip(fresh, range(first, first + len(fresh))))
-        nothing = np.empty(0, np.int64)
-        texts, links = [""] * len(fresh), [nothing] * len(fresh)
-        groups = whole.group_texts()
-        g = l = 0
-        for i, ge, le in zip(good, group_end.tolist(), link_end.tolist()):
-            texts[i], links[i] = ";".join(groups[g:ge]), keys[l:le].copy()
-            g, l = ge, le
-        self.texts += texts
-        self.keys += links
+            self.first = np.concatenate([self.first, np.zeros(len(self.first) - 1, np.int64)])
+        while used + len(keys) > len(self.keys):
+            self.keys = np.concatenate([self.keys, np.empty_like(self.keys)])
+        self.sums[start:stop] = sums
+        self.first[start + 1:stop + 1] = used + np.cumsum(sums[:, self.LINKS])
+        self.keys[used:used + len(keys)] = keys
+        self.number.update(zip(fresh, range(start, stop)))
+        if self.tables is not None:
+            texts = [""] * len(fresh)
+            ends, strings = whole.spelled(self.tables)
+            places = np.concatenate(([0], ends))[group_end].tolist()
+            at = 0
+            for i, end in zip(good.tolist(), places):
+                texts[i] = "".join(strings[at:end])
+                at = end
+            self.texts += texts
 
 
 def pieces(text: str, size: int = PIECE):
@@ -277,19 +356,27 @@ def pieces(text: str, size: int = PIECE):
 
 def _documents(batches, segments: Segments):
     """For each row of slices of the batches: (slice, iterator over (row, list
-    of number lists)); texts of one piece are learnt together."""
+    of number lists)).  The texts of a slice are learnt together, those of
+    more than one piece piece by piece."""
     for batch in batches:
         for part in _slices(batch, 1):
             texts = part.column(1).to_pylist()
             short = [SAFE.split(t) if t and len(t) <= PIECE else None for t in texts]
-            segments.learn(s for x in short if x for s in x)
+
+            def numbers(some, room):
+                segments.learn(some, room)
+                return list(map(segments.number.__getitem__, some))
 
             def rows():
+                segments.learn(itertools.chain.from_iterable(x for x in short if x))
                 for text, one in zip(texts, short):
-                    if one is not None:
-                        yield iter([one])
-                    else:
-                        yield (SAFE.split(p) for p in pieces(text)) if text else iter(())
+                    if one is None:
+                        yield (numbers(SAFE.split(p), 2) for p in pieces(text)) if text else iter(())
+                        continue
+                    try:
+                        yield iter([list(map(segments.number.__getitem__, one))])
+                    except KeyError:  # the memo was emptied for a long text
+                        yield iter([numbers(one, 2)])
 
             yield part, rows()
 
@@ -312,11 +399,9 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for _, rows in _documents(batches, segments):
             for row in rows:
                 linked, bad = [], 0
-                for part in row:
-                    segments.learn(part, room=2)
-                    numbers = list(map(segments.number.__getitem__, set(part)))
+                for numbers in row:
                     bad += int(segments.sums[numbers, 0].sum())
-                    linked.append(np.unique(np.concatenate([segments.keys[i] for i in numbers])))
+                    linked.append(segments.links(numbers))
                 if linked and not bad:
                     waiting.append(linked[0] if len(linked) == 1 else np.unique(np.concatenate(linked)))
                     size += len(waiting[-1])
@@ -354,19 +439,19 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, most_pairs: int = 2_000_0
         last = table == tables - 1
 
         def run(batches, held=held, last=last):
-            segments = Segments(Tokenizers(a_path, b_path), held.value)
+            segments = Segments(Tokenizers(a_path, b_path), held.value, spell=last)
             for part, rows in _documents(batches, segments):
                 out, digests = [], []
                 before = np.column_stack([part.column(k).to_numpy() for k in (2, 3)])
                 for row in rows:
                     total, digest = np.zeros(len(Segments.SUMS), np.int64), hashlib.sha256()
-                    for k, one in enumerate(row):
-                        segments.learn(one, room=2)
-                        numbers = list(map(segments.number.__getitem__, one))
+                    waiting = ""
+                    for numbers in row:
                         total += segments.sums[numbers].sum(axis=0)
                         if last:
-                            text = ";".join(map(segments.texts.__getitem__, numbers))
-                            digest.update((";" * bool(k) + text).encode())
+                            text = waiting + "".join(map(segments.texts.__getitem__, numbers))
+                            waiting = text[-1:]  # a `;` if more follows
+                            digest.update(text[:-1].encode())
                     whole = not total[0] and total[1]
                     out.append(total[1:] if whole else np.zeros(len(names), np.int64))
                     digests.append(digest.hexdigest() if whole else "")
