@@ -363,3 +363,45 @@ def spelling_variants(docs: DataFrame, min_chars: int = 6, min_count: int = 5, r
     return (words.join(named, "word", "left").join(end, "word", "left")
             .select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "form", "form_n",
                     F.coalesce("root", "word").alias("root")))
+
+
+#: DuckDB twin for the parameters 6, 5, 5 and 199: CRC-32 byte by byte from a
+#: table made by its rule, near words by joins on the words less one letter.
+ORACLE_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+  FROM documents),
+per AS (SELECT doc_id, w, count(*) AS n FROM runs GROUP BY doc_id, w),
+hashed AS (
+  SELECT w, n, xor(list_reduce([4294967295] || list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+                               lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM (SELECT w, n, hex(encode(doc_id || ':' || w)) AS x FROM per), tab),
+said AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word, n
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM said WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words, unnest(range(length(word))) u(i)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, n, near, near_n,
+         row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS r FROM pairs),
+forms AS (
+  SELECT word, n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM best WHERE r = 1),
+chain AS (
+  SELECT word, word AS root FROM words
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL),
+ends AS (
+  SELECT c.word, c.root FROM chain c LEFT JOIN forms f ON c.root = f.word WHERE f.form IS NULL)
+SELECT w.word, w.n, coalesce(f.n_near, 0) AS n_near, f.form, f.form_n, e.root
+FROM words w LEFT JOIN forms f ON w.word = f.word JOIN ends e ON w.word = e.word
+"""
