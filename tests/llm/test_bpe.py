@@ -72,3 +72,20 @@ def test_query_digests(spark, library, tmp_path):
 def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([], SCHEMA).withColumnRenamed("lang", "ids").withColumnRenamed("source", "n_tokens")
     assert bpe.bpe_decode(bpe.bpe_encode(df, vocabulary_path()), vocabulary_path()).count() == 0
+
+
+def test_one_pass_equals_two(spark):
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate([*samples(), None, ""])], "doc_id long, text string, n_tokens long")
+    path = vocabulary_path()
+    two = bpe.bpe_decode(bpe.bpe_encode(df, path), path)
+    one = bpe.bpe_round_trip(df, path)
+    assert one.columns == two.columns
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    assert bpe.bpe_round_trip(df.limit(0), path).count() == 0
+
+
+def test_memo_is_bounded_in_bytes():
+    codec = bpe.Codec(vocabulary_path(), most_bytes=20_000)
+    for k in range(8):
+        codec.encode([" ".join(f"w{k}{i}" for i in range(60))])
+        assert codec.held < 20_000 + 60 * 200

@@ -227,9 +227,10 @@ class Vocabulary:
 
 
 class Codec:
-    """Encoder of one task with a memo of at most `most` pre-tokens."""
+    """Encoder of one task with a memo, emptied beyond `most` pre-tokens or
+    about `most_bytes`."""
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 250_000, most_bytes: int = 64 << 20):
         import re
 
         import regex
@@ -246,7 +247,7 @@ class Codec:
         self.split = regex.compile("(" + "|".join(
             map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self.memo: dict[str, bytes] = {}
-        self.most = most
+        self.most, self.most_bytes, self.held = most, most_bytes, 0
 
     def pieces(self, text: str) -> list[str]:
         if not text.isascii() and text.encode("utf-8").translate(None, BELOW_LATER) and self.has_later(text):
@@ -263,12 +264,15 @@ class Codec:
                 parts.append([x if x in self.special else self.pieces(x) for x in self.split(text)])
             else:
                 parts.append([self.pieces(text)])
-        if len(self.memo) > self.most:
+        if len(self.memo) > self.most or self.held > self.most_bytes:
             self.memo.clear()
+            self.held = 0
         memo = self.memo
         fresh = set().union(*(p for part in parts for p in part if isinstance(p, list))).difference(memo)
         fresh = list(fresh)
-        memo.update(zip(fresh, self.vocabulary.encode_pieces([p.encode("utf-8") for p in fresh])))
+        raw = [p.encode("utf-8") for p in fresh]
+        self.held += 6 * sum(map(len, raw)) + 150 * len(raw)
+        memo.update(zip(fresh, self.vocabulary.encode_pieces(raw)))
         return [b"".join(self.special[p] if isinstance(p, str) else b"".join(map(memo.__getitem__, p)) for p in part)
                 for part in parts]
 
@@ -336,6 +340,24 @@ def bpe_decode(encoded: DataFrame, vocabulary_path: str, key: str = "doc_id") ->
         run, f"`{key}` {kind}, n_tokens bigint, ids binary, decoded string")
 
 
+def bpe_round_trip(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`bpe_encode` and `bpe_decode` in one pass: a task holds one codec, and
+    the ids do not travel between two of them."""
+
+    def run(batches):
+        codec, bytes_of = Codec(vocabulary_path), token_bytes(vocabulary_path)
+        for batch in batches:
+            for part in _slices(batch, 1):
+                ids = codec.encode(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                     pa.array([decode(x, bytes_of) for x in ids], pa.string())],
+                    names=[key, "n_tokens", "ids", "decoded"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens bigint, ids binary, decoded string")
+
+
 def with_digests(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "doc_id", "n_tokens", F.sha2(F.col("ids"), 256).alias("ids_sha256"),

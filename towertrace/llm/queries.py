@@ -46,8 +46,7 @@ def vocabulary_path() -> str:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
-    return bpe.with_digests(bpe.bpe_decode(bpe.bpe_encode(read_table(spark, sf_dir, "documents"), path), path))
+    return bpe.with_digests(bpe.bpe_round_trip(read_table(spark, sf_dir, "documents"), vocabulary_path()))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +117,7 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op2_url_filters": urls.oracle(URL_RULES),
+    "op13_spelling_variants": spelling.ORACLE_SQL,
     "op3_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
