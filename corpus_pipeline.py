@@ -41,8 +41,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of each document, with digests of the ids and of the decoded text."""
-    path = vocabulary_path()
-    return bpe.with_digests(bpe.bpe_decode(bpe.bpe_encode(docs, path), path))
+    return bpe.with_digests(bpe.bpe_round_trip(docs, vocabulary_path()))
 
 
 STAGES = [
