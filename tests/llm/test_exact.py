@@ -63,3 +63,35 @@ def test_first_batch_is_decided_by_the_index(spark, monkeypatch):
     rows = exact.decisions(frame(spark, ROWS)).collect()
     assert len(rows) == len(ROWS) and [x for x, _ in asked] == [True]
     assert "LeftAnti" in asked[0][1]._jdf.queryExecution().toString()
+
+
+def test_batch_added_again(spark):
+    """A job that was lost after the append decides the same when it runs again."""
+    index = exact.DigestIndex.fresh(spark, buckets=4)
+    index.add(frame(spark, [(100, "abc"), (101, "old")]), batch_id="one").collect()
+    batch = [(1, "a b"), (2, "ab"), (3, "old"), (4, "x"), (5, "abc")]
+    first = sorted(map(tuple, index.add(frame(spark, batch), batch_id="two").collect()))
+    size = index.rows().count()
+    assert sorted(map(tuple, index.add(frame(spark, batch), batch_id="two").collect())) == first
+    assert index.rows().count() == size
+    assert [r[0] for r in first if r[-1]] == [1, 4]
+    # under another name the same rows are copies
+    assert not any(r.kept for r in index.add(frame(spark, batch), batch_id="three").collect())
+
+
+def test_query_leaves_no_table(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = exact.decisions(frame(spark, ROWS))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert rows.count() == len(ROWS)
+
+
+def test_choice_among_repeated_rows_and_columns_of_ours(spark):
+    rows = [(1, "same", k, h) for k, h in [(5, "b"), (3, "z"), (3, "a"), (9, "c")]] + [(2, "other", 1, "x"), (3, "sa me", 0, "y")]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string, n int, __h string").repartition(parts)
+        kept = exact.drop_copies(df)
+        assert kept.columns == ["doc_id", "text", "n", "__h"]
+        assert sorted(map(tuple, kept.collect())) == [(2, "other", 1, "x"), (3, "sa me", 0, "y")]
+    df = spark.createDataFrame(rows[:5], "doc_id long, text string, n int, __h string").repartition(3)
+    assert sorted(map(tuple, exact.drop_copies(df).collect())) == [(1, "same", 3, "a"), (2, "other", 1, "x")]

@@ -128,3 +128,11 @@ def test_exact_copies_of_short_lines_go(spark):
     df = frame(spark, [(1, "Les.\na"), (2, "Les.\nDes."), (3, " a \n\nLes.")])
     got = {r.doc_id: (r.n_lines, r.dropped_lines, r.n_links) for r in L.decisions(df).collect()}
     assert got == {1: (2, [], 0), 2: (2, [0], 0), 3: (2, [0, 2], 0)}
+
+
+def test_drop_lines_keeps_columns_of_ours(spark):
+    text = "a line that is long enough\nanother one that stays"
+    df = spark.createDataFrame([(1, text, "i", "l"), (2, text, "j", "m")], "doc_id long, text string, __id string, __lines string")
+    got = L.drop_lines(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [(1, text, "i", "l"), (2, "", "j", "m")]

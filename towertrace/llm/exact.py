@@ -12,7 +12,9 @@ Defined results
 * A null text counts as empty; all empty texts form one group.
 * Ties in length are broken by the smallest id, a null id coming last.
 * Rows that repeat both id and text each get a decision row; `drop_copies`
-  keeps one of them.
+  keeps the one whose columns are smallest, written as JSON.
+* A batch that is added again under its name (a job that was lost after the
+  append) gets the same decisions, and nothing is appended.
 * An empty batch appends nothing and gives an empty result.
 * Further columns, whatever their names, are not read; `drop_copies` returns
   them unchanged.
@@ -36,7 +38,7 @@ def normalised(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A digest table `(digest, keep_id, n_chars, group_rows)`.
+    """A digest table `(digest, keep_id, n_chars, group_rows, batch)`.
 
     `table` names a catalog table; the first `add` creates it, empty.
     """
@@ -63,8 +65,12 @@ class DigestIndex:
         held = self.rows().select("digest").hint("merge")
         return batch.hint("merge").join(held, "digest", "left_anti")
 
-    def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+    def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch_id: str | None = None) -> DataFrame:
         """Deduplicate a batch against the index and itself; append what is new.
+        `batch_id` names the batch, so that it may be added again.
 
         Returns one row per input row: `doc_id, text_hash, digest, n_chars,
         keep_id, group_size, kept`.  `keep_id` is the row that stays: the
@@ -90,18 +96,18 @@ class DigestIndex:
                  .agg(best.alias("best"), F.sum("n").alias("group_rows"))
                  .select("digest", F.bitwise_not("best.rank").alias("keep_id"),
                          F.col("best.n_chars").alias("n_chars"), "group_rows"))
-        columns = ["digest", "keep_id", "n_chars", "group_rows"]
-        batch = cut(batch.select(*columns), "digests-batch")
+        own = batch_id or uuid.uuid4().hex
+        columns = ["digest", "keep_id", "n_chars", "group_rows", "batch"]
+        batch = cut(batch.withColumn("batch", F.lit(own)).select(*columns), "digests-batch")
         if not self.exists():
             self._append(batch.where(F.lit(False)))
-        new = cut(self.unseen(batch).select(*columns), "digests-new")
-        self._append(new)
-        # The index decides; rows of this batch add to a group it held before.
-        fresh = new.select("digest", F.lit(True).alias("is_new"))
+        self._append(cut(self.unseen(batch).select(*columns), "digests-new"))
+        # The index decides; rows of this batch add to a group that another
+        # batch brought.
+        mine = F.col("batch") == own
         groups = cut(batch.select("digest", F.col("group_rows").alias("more")).join(self.rows(), "digest")
-                     .join(fresh, "digest", "left")
-                     .select("digest", "keep_id", "n_chars", F.coalesce("is_new", F.lit(False)).alias("is_new"),
-                             (F.col("group_rows") + F.when(F.col("is_new"), 0).otherwise(F.col("more"))).alias("group_rows")),
+                     .select("digest", "keep_id", "n_chars", mine.alias("is_new"),
+                             (F.col("group_rows") + F.when(mine, 0).otherwise(F.col("more"))).alias("group_rows")),
                      "digests-groups")
         # Plain files on both sides: adaptive execution can split the copies
         # of a hot digest over several tasks.
@@ -113,18 +119,30 @@ class DigestIndex:
             F.col("group_rows").alias("group_size"), stays.alias("kept"))
 
 
-def decisions(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """Decision rows of one batch against `index` (a new, empty one if none)."""
-    return (index or DigestIndex.fresh(docs.sparkSession)).add(docs)
+def decisions(docs: DataFrame, index: DigestIndex | None = None, batch_id: str | None = None) -> DataFrame:
+    """Decision rows of one batch against `index`.  Without one a new, empty
+    index is made and dropped again: the decisions are written out by then."""
+    if index is not None:
+        return index.add(docs, batch_id=batch_id)
+    index = DigestIndex.fresh(docs.sparkSession)
+    out = index.add(docs)
+    index.drop()
+    return out
 
 
-def drop_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def drop_copies(docs: DataFrame, index: DigestIndex | None = None, batch_id: str | None = None) -> DataFrame:
     """The rows of `docs` that stay, with their columns unchanged."""
-    kept = cut(decisions(docs, index).where("kept").groupBy("doc_id", "text_hash")
+    kept = cut(decisions(docs, index, batch_id).where("kept").groupBy("doc_id", "text_hash")
                .agg(F.count(F.lit(1)).alias("n")), "kept-rows")
     text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]) & (text_hash == kept["text_hash"]), "left_semi")
-    if kept.where("n > 1").limit(1).count():  # an id and text given more than once
-        out = out.withColumn("__h", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))) \
-                 .dropDuplicates(["doc_id", "__h"]).drop("__h")
-    return out
+
+    def rows_of(some):
+        return docs.join(some, docs["doc_id"].eqNullSafe(some["doc_id"]) & (text_hash == some["text_hash"]), "left_semi")
+
+    if not kept.where("n > 1").limit(1).count():
+        return rows_of(kept)
+    # an id and text given more than once: one of their rows, by its columns
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    one = (rows_of(kept.where("n > 1")).groupBy("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+           .agg(F.min_by(whole, F.to_json(whole)).alias("row")))
+    return rows_of(kept.where("n = 1")).union(one.select(*(F.col(f"row.`{c}`") for c in docs.columns)))

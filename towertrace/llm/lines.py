@@ -43,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, free_name
 
 TRIMMED = " \t\x0b\x0c\r"
 #: Counted by the filter; any letters would do, frequent ones tell most.
@@ -279,8 +279,9 @@ def decisions(docs: DataFrame, edits: Edits = EDITS, min_chars: int = 1) -> Data
 
 def drop_lines(docs: DataFrame, edits: Edits = EDITS, min_chars: int = 1) -> DataFrame:
     """`docs` with the lines that go taken out of `text`."""
+    own, lines = free_name(docs, "__id"), free_name(docs, "__lines")
     gone = cut(decisions(docs, edits, min_chars).where(F.size("dropped_lines") > 0)
-               .select(F.col("doc_id").alias("__id"), F.col("dropped_lines").alias("__lines")), "lines-dropped")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__lines", i)), "\n")
-    return (docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-            .withColumn("text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(kept)).select(docs.columns))
+               .select(F.col("doc_id").alias(own), F.col("dropped_lines").alias(lines)), "lines-dropped")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(lines, i)), "\n")
+    return (docs.join(gone, F.col("doc_id").eqNullSafe(F.col(own)), "left")
+            .withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(kept)).select(docs.columns))

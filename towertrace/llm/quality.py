@@ -195,10 +195,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_trusted: int = MOST_TRUSTED, mo
     return train(training_rows(docs, labels, "quality", 1, most_trusted), corpus_sample(docs, most_unlabelled))
 
 
-def scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """`docs` with its columns and `__score`, the quality from 0 to 1."""
+def scored(docs: DataFrame, model: Model | None, column: str = "__score") -> DataFrame:
+    """`docs` with its columns and `column`, the quality from 0 to 1."""
     if model is None:
-        return docs.withColumn("__score", F.lit(0.5))
+        return docs.withColumn(column, F.lit(0.5))
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -208,4 +208,4 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                 out[at : at + 256] = model.scores(part.iloc[at : at + 256].tolist())
             yield pd.Series(out)
 
-    return docs.withColumn("__score", score("text"))
+    return docs.withColumn(column, score("text"))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .gru import Adam, Network, Words
 from .labelled import held_out, training_rows
+from .shared import free_name
 
 WINDOW, STRIDE = 48, 32
 #: Bounds of the training sample, in labelled rows.
@@ -227,10 +228,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_c
                  training_rows(docs, labels, "toxic", 0, most_clean), share)
 
 
-def scored(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` with its columns and `__score`, the toxicity from 0 to 1."""
+def scored(docs: DataFrame, model: Model | None, column: str = "__score") -> DataFrame:
+    """`docs` with its columns and `column`, the toxicity from 0 to 1."""
     if model is None:
-        return docs.withColumn("__score", F.lit(0.0))
+        return docs.withColumn(column, F.lit(0.0))
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -240,9 +241,10 @@ def scored(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -
                 out[at : at + 128] = model.scores(part.iloc[at : at + 128].tolist())
             yield pd.Series(out)
 
-    return docs.withColumn("__score", score("text"))
+    return docs.withColumn(column, score("text"))
 
 
 def drop_toxic(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score under the threshold, columns unchanged."""
-    return scored(docs, model).where(F.col("__score") < threshold).drop("__score")
+    column = free_name(docs, "__score")
+    return scored(docs, model, column).where(F.col(column) < threshold).drop(column)
