@@ -115,3 +115,42 @@ def test_prior_estimate():
     good = rnd.normal(0, 1, (1500, 6)).astype(np.float32)
     mixed = np.concatenate([rnd.normal(0, 1, (1400, 6)), rnd.normal(4, 1, (600, 6))]).astype(np.float32)
     assert abs(Q.estimate_prior(good, rnd.permutation(mixed)) - 0.7) < 0.06
+
+
+def plain_score(model, text):
+    """The score word by word and window by window."""
+    p, h = model.network.p, model.network.states
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    words = T.words_of((text or "").lower())
+    best = None
+    step, last = T.STRIDE, max(0, len(words) - T.WINDOW)
+    for start in sorted({*range(0, last, step), last}) if words else ():
+        inputs = []
+        for w in words[start:start + T.WINDOW]:
+            one = Words([w])
+            inputs.append(p["word"][one.word[0]] + np.mean([p["char"][c] for c in one.char], axis=0))
+        both = []
+        for way, order in (("f", range(len(inputs))), ("b", range(len(inputs) - 1, -1, -1))):
+            state, states = np.zeros(h), {}
+            for t in order:
+                x = inputs[t] @ p[f"in_{way}"] + p[f"b_{way}"]
+                zr = sigmoid(x[:2 * h] + state @ p[f"gate_{way}"])
+                new = np.tanh(x[2 * h:] + (zr[h:] * state) @ p[f"new_{way}"])
+                state = (1 - zr[:h]) * state + zr[:h] * new
+                states[t] = state
+            both.append([states[t] for t in range(len(inputs))])
+        both = [np.concatenate(x) for x in zip(*both)]
+        weight = np.exp([b @ p["attend"] for b in both])
+        pooled = sum(w * b for w, b in zip(weight / weight.sum(), both))
+        logit = pooled @ p["out"] + p["bias"][0]
+        best = logit if best is None else max(best, logit)
+    return sigmoid(model.slope * (model.none if best is None else best) + model.offset)
+
+
+def test_scores_equal_a_plain_network():
+    rnd = random.Random(6)
+    model = T.Model(Network(size=5, states=4, seed=3), 1.7, -0.2, -2.5)
+    some = ["".join(rnd.choice("abcdéfg") for _ in range(rnd.randint(1, 9))) for _ in range(60)]
+    texts = [None, "", "1 2", "Word", "a  b\nC!", *(" ".join(rnd.choices(some, k=n)) for n in (3, 47, 48, 49, 79, 80, 81, 200))]
+    assert np.allclose(model.scores(texts), [plain_score(model, t) for t in texts], atol=2e-5)
+    assert np.allclose(model.scores(texts[::-1])[::-1], model.scores(texts), atol=1e-6)
