@@ -40,7 +40,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master  # executors of `local-cluster` have folders of their own
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:

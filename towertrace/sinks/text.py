@@ -85,10 +85,10 @@ def merge_parts(spark: SparkSession, folder: str, target: str) -> str:
     fs = source.getFileSystem(conf)
     names = sorted(f.getPath().getName() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-"))
     parts = [path(source, n) for n in names]
-    staged = path(out.getParent(), f".{out.getName()}-{uuid.uuid4().hex}")
     filled = [p for p in parts if fs.getFileStatus(p).getLen()]
+    # joined inside the folder: file systems join files of one folder only
+    staged = path(source, f".merged-{uuid.uuid4().hex}")
     if filled and fs.hasPathCapability(source, CONCAT):
-        fs.mkdirs(out.getParent())
         fs.rename(filled[0], staged)
         rest = spark.sparkContext._gateway.new_array(path, len(filled) - 1)
         for i, p in enumerate(filled[1:]):
@@ -106,6 +106,7 @@ def merge_parts(spark: SparkSession, folder: str, target: str) -> str:
                     part.close()
         finally:
             stream.close()
+    fs.mkdirs(out.getParent())
     fs.delete(out, False)
     fs.rename(staged, out)
     fs.delete(source, True)
