@@ -19,11 +19,12 @@ matrices are therefore block diagonal over such segments, and a segment is
 encoded and multiplied once per task and held in a bounded memo; a document
 is the sum of its segments.
 
-Corpus counts.  The first pass counts in how many documents each (A id, B id)
-pair is linked, added up inside the tasks first.  The second pass looks the
-counts up in a broadcast table of at most `most_pairs` pairs; beyond it, the
-pairs are dealt by hash into as many tables as it takes and the documents are
-read once per table, adding up, so that no pair is ever left out.
+Corpus counts.  The first pass encodes the texts and writes, per document, its
+sums and its linked (A id, B id) pairs with their numbers.  From these files
+the documents of each pair are counted, added up inside the tasks first, and
+in a last pass looked up in a broadcast table of at most `most_pairs` pairs;
+beyond it, the pairs are dealt by hash into as many tables as it takes and the
+files are read once per table, adding up, so that no pair is ever left out.
 
 Defined results
 ---------------
@@ -57,6 +58,7 @@ from .shared import cut
 SAFE = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ.,;:!?'\")(-]) (?=[A-Za-zÀ-ÖØ-öø-ÿ])")
 SPACE = "▁"
 PIECE = 1 << 20
+#: A pair of ids is one unsigned 32-bit number.
 B_BITS = 16
 MOST_SEGMENTS, MOST_BYTES = 400_000, 160 << 20
 CHUNK_BYTES = 1 << 18
@@ -148,8 +150,10 @@ class Tokenizers:
         self.plain = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if any(SPACE in p.lstrip(SPACE) for p in pieces) or len(pieces) > 1 << B_BITS:
-            raise ValueError("the second vocabulary joins words or has too many pieces")
+        if any(SPACE in p.lstrip(SPACE) for p in pieces):
+            raise ValueError("the second vocabulary has pieces over several words")
+        if max(len(pieces), len(self.a_bytes)) > 1 << B_BITS:
+            raise ValueError("a vocabulary has more than 65,536 entries")
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode("utf-8")
                         for i, p in enumerate(pieces)]
         self.a_size = np.array(list(map(len, self.a_bytes)))
@@ -220,15 +224,14 @@ def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 class Segments:
     """Memo of segments by number: their sums, their links (pairs of ids as
-    keys, one behind the other) and, if asked for, their groups' text."""
+    keys, one behind the other) and their groups' text."""
 
-    SUMS = ("bad", "n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum")
+    SUMS = ("bad", "n_a", "n_b", "n_groups", "n_links", "n_shared")
     LINKS = SUMS.index("n_links")
 
-    def __init__(self, tokenizers: Tokenizers, pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
-                 spell: bool = False):
-        self.tokenizers, self.pairs = tokenizers, pairs
-        self.tables = spelling(tokenizers) if spell else None
+    def __init__(self, tokenizers: Tokenizers):
+        self.tokenizers = tokenizers
+        self.tables = spelling(tokenizers)
         self.clear()
 
     def clear(self) -> None:
@@ -263,11 +266,11 @@ class Segments:
             at = stop
 
     def links(self, numbers: list[int]) -> np.ndarray:
-        """The different keys of the links of some segments."""
-        at = np.unique(np.array(numbers))
+        """The keys of all links of some segments."""
+        at = np.array(numbers)
         first, count = self.first[at], self.sums[at, self.LINKS]
         last = np.cumsum(count)
-        return np.unique(self.keys[np.arange(last[-1]) + np.repeat(first - last + count, count)])
+        return self.keys[np.arange(last[-1]) + np.repeat(first - last + count, count)]
 
     def _encode(self, fresh: list[str]):
         """(which are given back byte for byte, ids of A and of B of these one
@@ -304,16 +307,8 @@ class Segments:
         group_end = np.searchsorted(whole.group_a.starts[1:], end_a, "right")
         per = [count_a, count_b, np.diff(group_end, prepend=0), np.diff(link_end, prepend=0)]
 
-        def summed(values, ends):
-            per.append(np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[ends], prepend=0))
-
-        summed(whole.shared_sizes(), end_a)
-        if self.pairs is not None:
-            known, n, best = self.pairs
-            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
-            hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-            summed(hit & best[at] if len(known) else hit, link_end)
-            summed(np.where(hit, n[at], 0) if len(known) else hit, link_end)
+        shared = np.concatenate(([0], np.cumsum(whole.shared_sizes())))
+        per.append(np.diff(shared[end_a], prepend=0))
         start, stop = len(self.number), len(self.number) + len(fresh)
         sums = np.zeros((len(fresh), len(self.SUMS)), np.int64)
         sums[:, 0] = 1
@@ -331,15 +326,13 @@ class Segments:
         self.first[start + 1:stop + 1] = used + np.cumsum(sums[:, self.LINKS])
         self.keys[used:used + len(keys)] = keys
         self.number.update(zip(fresh, range(start, stop)))
-        if self.tables is not None:
-            texts = [""] * len(fresh)
-            ends, strings = whole.spelled(self.tables)
-            places = np.concatenate(([0], ends))[group_end].tolist()
-            at = 0
-            for i, end in zip(good.tolist(), places):
-                texts[i] = "".join(strings[at:end])
-                at = end
-            self.texts += texts
+        texts = [""] * len(fresh)
+        ends, strings = whole.spelled(self.tables)
+        at = 0
+        for i, end in zip(good.tolist(), np.concatenate(([0], ends))[group_end].tolist()):
+            texts[i] = "".join(strings[at:end])
+            at = end
+        self.texts += texts
 
 
 def pieces(text: str, size: int = PIECE):
@@ -381,37 +374,74 @@ def _documents(batches, segments: Segments):
             yield part, rows()
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """`(a, b, n)`: the documents that hold a link of the ids a and b."""
+SUMS = list(Segments.SUMS[1:])
+
+
+def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Per document `doc_id`, its sums, `groups_sha256`, and its linked pairs:
+    `pairs`, the different ones in order, and `times`, the links of each, both
+    packed as unsigned 32-bit integers."""
 
     def run(batches):
         segments = Segments(Tokenizers(a_path, b_path))
+        for part, rows in _documents(batches, segments):
+            sums, digests, pairs, times = [], [], [], []
+            for row in rows:
+                total, digest, waiting = np.zeros(len(Segments.SUMS), np.int64), hashlib.sha256(), ""
+                keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+                for numbers in row:
+                    total += segments.sums[numbers].sum(axis=0)
+                    text = waiting + "".join(map(segments.texts.__getitem__, numbers))
+                    waiting = text[-1:]  # a `;` if more follows
+                    digest.update(text[:-1].encode())
+                    more = np.unique(segments.links(numbers), return_counts=True)
+                    if len(keys):
+                        keys, at = np.unique(np.concatenate([keys, more[0]]), return_inverse=True)
+                        counts = np.bincount(at, np.concatenate([counts, more[1]])).astype(np.int64)
+                    else:
+                        keys, counts = more
+                whole = not total[0] and total[1]
+                sums.append(total[1:] if whole else np.zeros(len(SUMS), np.int64))
+                digests.append(digest.hexdigest() if whole else "")
+                pairs.append(keys.astype("<u4").tobytes() if whole else b"")
+                times.append(counts.astype("<u4").tobytes() if whole else b"")
+            sums = np.array(sums).reshape(-1, len(SUMS))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *(pa.array(np.ascontiguousarray(sums[:, k])) for k in range(len(SUMS))),
+                 pa.array(digests, pa.string()), pa.array(pairs, pa.binary()), pa.array(times, pa.binary())],
+                names=["doc_id", *SUMS, "groups_sha256", "pairs", "times"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    longs = ", ".join(f"{n} bigint" for n in SUMS)
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, {longs}, groups_sha256 string, pairs binary, times binary")
+
+
+def pair_counts(documents: DataFrame) -> DataFrame:
+    """`(a, b, n)`: the documents of `encoded` that hold a link of the ids a and b."""
+
+    def run(batches):
         waiting, size = [], 0
 
         def flush():
             keys, n = np.unique(np.concatenate(waiting), return_counts=True)
             for at in range(0, len(keys), 1 << 17):
-                k = keys[at:at + (1 << 17)]
+                k = keys[at:at + (1 << 17)].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((k >> B_BITS).astype(np.int32)), pa.array((k & ((1 << B_BITS) - 1)).astype(np.int32)),
                      pa.array(n[at:at + (1 << 17)])], names=["a", "b", "n"])
 
-        for _, rows in _documents(batches, segments):
-            for row in rows:
-                linked, bad = [], 0
-                for numbers in row:
-                    bad += int(segments.sums[numbers, 0].sum())
-                    linked.append(segments.links(numbers))
-                if linked and not bad:
-                    waiting.append(linked[0] if len(linked) == 1 else np.unique(np.concatenate(linked)))
-                    size += len(waiting[-1])
-                if size > 1 << 21:
+        for batch in batches:
+            for pairs in batch.column(0).to_pylist():
+                waiting.append(np.frombuffer(pairs, "<u4"))
+                size += len(waiting[-1])
+                if size > 1 << 22:
                     yield from flush()
                     waiting, size = [], 0
-        if waiting:
+        if size:
             yield from flush()
 
-    counts = docs.select("doc_id", "text").mapInArrow(run, "a int, b int, n bigint")
+    counts = documents.select("pairs").mapInArrow(run, "a int, b int, n bigint")
     return counts.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -422,14 +452,16 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, most_pairs: int = 2_000_0
     Both paths are opened by the tasks: the files are installed on every node
     or lie on a mounted path."""
     sc = docs.sparkSession.sparkContext
-    counts = cut(pair_counts(docs, a_path, b_path), "alignment-pairs")
+    documents = cut(encoded(docs, a_path, b_path), "alignment-documents")
+    counts = cut(pair_counts(documents), "alignment-pairs")
     highest = counts.groupBy("a").agg(F.max("n").alias("most"))
     ranked = cut(counts.join(highest, "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best")),
                  "alignment-ranked")
     tables = max(1, -(-ranked.count() // most_pairs))
-    frame = docs.select("doc_id", "text", F.lit(0).cast("long").alias("n_best"), F.lit(0).cast("long").alias("count_sum"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum"]
+    sums = [f"{n} bigint" for n in [*SUMS, "n_best", "count_sum"]]
+    ddl = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, groups_sha256 string, {', '.join(sums)}, pairs binary, times binary"
+    names = ["doc_id", "groups_sha256", *SUMS, "n_best", "count_sum", "pairs", "times"]
+    frame = documents.selectExpr("doc_id", "groups_sha256", *SUMS, "0L AS n_best", "0L AS count_sum", "pairs", "times")
     for table in range(tables):
         rows = ranked.where(F.pmod(F.xxhash64("a", "b"), F.lit(tables)) == table).toArrow()
         keys = (rows.column("a").to_numpy().astype(np.int64) << B_BITS) | rows.column("b").to_numpy()
@@ -439,37 +471,23 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, most_pairs: int = 2_000_0
         last = table == tables - 1
 
         def run(batches, held=held, last=last):
-            segments = Segments(Tokenizers(a_path, b_path), held.value, spell=last)
-            for part, rows in _documents(batches, segments):
-                out, digests = [], []
-                before = np.column_stack([part.column(k).to_numpy() for k in (2, 3)])
-                for row in rows:
-                    total, digest = np.zeros(len(Segments.SUMS), np.int64), hashlib.sha256()
-                    waiting = ""
-                    for numbers in row:
-                        total += segments.sums[numbers].sum(axis=0)
-                        if last:
-                            text = waiting + "".join(map(segments.texts.__getitem__, numbers))
-                            waiting = text[-1:]  # a `;` if more follows
-                            digest.update(text[:-1].encode())
-                    whole = not total[0] and total[1]
-                    out.append(total[1:] if whole else np.zeros(len(names), np.int64))
-                    digests.append(digest.hexdigest() if whole else "")
-                sums = np.array(out).reshape(-1, len(names))
-                sums[:, -2:] += before
-                columns = [pa.array(np.ascontiguousarray(sums[:, k])) for k in range(len(names))]
-                if last:
-                    yield pa.RecordBatch.from_arrays([part.column(0), *columns, pa.array(digests, pa.string())],
-                                                     names=["doc_id", *names, "groups_sha256"])
-                else:
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns[-2:]],
-                                                     names=["doc_id", "text", "n_best", "count_sum"])
+            known, n, best = held.value
+            for batch in batches:
+                found = np.column_stack([batch.column(k).to_numpy() for k in ("n_best", "count_sum")])
+                for i, (pairs, times) in enumerate(zip(batch.column("pairs").to_pylist(), batch.column("times").to_pylist())):
+                    key, count = np.frombuffer(pairs, "<u4").astype(np.int64), np.frombuffer(times, "<u4").astype(np.int64)
+                    if len(key) and len(known):
+                        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                        count = np.where(known[at] == key, count, 0)
+                        found[i] += (count @ best[at], count @ n[at])
+                columns = dict(zip(names, batch.columns)) | {
+                    k: pa.array(np.ascontiguousarray(found[:, i])) for i, k in enumerate(("n_best", "count_sum"))}
+                kept = names[:-2] if last else names
+                yield pa.RecordBatch.from_arrays([columns[k] for k in kept], names=kept)
 
         if last:
-            longs = ", ".join(f"{n} bigint" for n in names)
-            return frame.mapInArrow(run, f"doc_id {kind}, {longs}, groups_sha256 string")
-        frame = cut(frame.mapInArrow(run, f"doc_id {kind}, text string, n_best bigint, count_sum bigint"),
-                    "alignment-sums")
+            return frame.mapInArrow(run, ddl.removesuffix(", pairs binary, times binary"))
+        frame = cut(frame.mapInArrow(run, ddl), "alignment-sums")
 
 
 def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
