@@ -45,9 +45,9 @@ def dense_cuts(points: DataFrame, keys: list[str], time: str = "_key", split_row
     counted = points.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.expr(every).alias("_all"))
     dense = (counted.where(f"_n > {int(split_rows)} AND _all IS NOT NULL").orderBy(F.desc("_n"), *by)
              .limit(MOST_DENSE).select(*by))
-    shares = F.array(*(F.lit(i / pieces) for i in range(1, pieces)))
+    shares = f"array({', '.join(f'{i / pieces!r}D' for i in range(1, pieces))})"
     cut = points.join(F.broadcast(dense), by).groupBy(*by).agg(
-        F.percentile_approx(time, shares, 40 * pieces).alias("_cuts"), F.expr(every).alias("_all"))
+        F.expr(f"percentile_approx(`{time}`, {shares}, {40 * pieces})").alias("_cuts"), F.expr(every).alias("_all"))
     return cut.where("_all IS NOT NULL").select(*by, "_cuts")
 
 
