@@ -136,3 +136,54 @@ def test_drop_lines_keeps_columns_of_ours(spark):
     got = L.drop_lines(df)
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect())) == [(1, text, "i", "l"), (2, "", "j", "m")]
+
+
+def largest_method(df):
+    """Bytes of the largest method that Spark generates for the plan."""
+    debug = getattr(df.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package")
+    code = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return max(code.apply(i)._3().maxMethodCodeSize() for i in range(code.length()))
+
+
+def test_keys_meet_where_a_segment_is_unchanged(spark):
+    """Keys by the plain cut, and code that the JVM compiles (methods of up
+    to 8,000 bytes)."""
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("ab é😀") for _ in range(n)) for n in range(1, 70)]
+    for edits in (L.EDITS, 1, 3):
+        starts, moves = L.lengths(edits), list(L._all_moves(edits))
+        k = lambda n: sum(n >= x for x in starts)
+
+        def cuts(n):
+            parts = k(n) + 1
+            base, rest = divmod(n, parts)
+            at = [1]
+            for j in range(1, parts + 1):
+                at.append(at[-1] + base + (j > parts - rest))
+            return at
+
+        df = L.with_keys(spark.createDataFrame([(x, len(x)) for x in texts], "line string, n int"), edits)
+        assert df.columns == ["line", "n", "own", "probes"]
+        pieces, want = [], {}
+        for x in texts:
+            n = len(x)
+            own = [(n, j, x[a - 1 : b - 1]) for j, (a, b) in enumerate(zip(cuts(n), cuts(n)[1:]), 1)] if k(n) else []
+            probes = [None] * len(moves)
+            for at, (s, j, move) in enumerate(moves):
+                if k(n - s) and (s, j, move) in L._moves(k(n - s)):
+                    a, b = cuts(n - s)[j - 1 : j + 1]
+                    probes[at] = (n - s, j, x[a - 1 + move : b - 1 + move])
+                    assert len(probes[at][2]) == b - a
+            want[x] = (own + [None] * (len(starts) + 1 - len(own)), probes)
+            pieces += [p for p in own + probes if p]
+        pieces = sorted(set(pieces))
+        key = F.xxhash64("n", "j", F.encode("x", "UTF-32"))
+        key_of = {None: None} | {(r.n, r.j, r.x): r.key for r in spark.createDataFrame(
+            pieces, "n int, j int, x string").select("*", key.alias("key")).collect()}
+        for r in df.collect():
+            assert (r.own, r.probes) == tuple([key_of[p] for p in side] for side in want[r.line])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert 0 < largest_method(L.classes(frame(spark, [(1, "a")]), L.EDITS, 1)) <= 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

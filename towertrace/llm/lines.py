@@ -79,29 +79,6 @@ def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
             .withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars))
 
 
-def segment(length: Column, number: int, parts: Column) -> tuple[Column, Column]:
-    """1-based start and length of segment `number` (from 1) of `parts`."""
-    base, rest = F.floor(length / parts), length % parts
-    longer = F.greatest(F.lit(0), F.lit(number - 1) - (parts - rest))
-    start = (F.lit(number - 1) * base + longer + 1).cast("int")
-    return start, (base + F.when(F.lit(number) > parts - rest, 1).otherwise(0)).cast("int")
-
-
-def _key(length: Column, number: int, piece: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(number), piece)
-
-
-def index_keys(line: Column, length: Column, edits: Edits) -> Column:
-    """Keys of the segments, null beyond their number; lines that are allowed
-    no edit have none."""
-    k, most = allowed(length, edits), len(lengths(edits))
-    keys = []
-    for number in range(1, most + 2):
-        start, size = segment(length, number, k + 1)
-        keys.append(F.when(k >= max(1, number - 1), _key(length, number, F.substring(line, start, size))))
-    return F.array(*keys)
-
-
 def _moves(k: int) -> set[tuple[int, int, int]]:
     """`(shorter, number, move)`: where segment `number` of a line that is
     `shorter` characters shorter can lie, for k edits."""
@@ -110,20 +87,43 @@ def _moves(k: int) -> set[tuple[int, int, int]]:
             for move in range(max(1 - number, shorter - (parts - number)), min(number - 1, shorter + (parts - number)) + 1)}
 
 
-def probe_keys(line: Column, length: Column, edits: Edits) -> Column:
-    """Keys of the substrings that may be a segment of a line 0 or more
-    characters shorter, as `(shorter, key)`."""
+def _all_moves(edits: Edits) -> dict[tuple[int, int, int], int]:
+    """The moves, those within lines of equal length first, each with the
+    least k that has it (more edits have all moves of fewer)."""
+    least = {}
+    for k in range(len(lengths(edits)), 0, -1):
+        least |= dict.fromkeys(_moves(k), k)
+    return dict(sorted(least.items()))
+
+
+def with_keys(rows: DataFrame, edits: Edits) -> DataFrame:
+    """`rows (line, n, ...)` with `own`, the keys of the line's segments, and
+    `probes`, those of its substrings that may be a segment of a line 0 or
+    more characters shorter, in the order of `_all_moves`; null where the
+    allowed edits have no such segment.
+
+    A substring is cut by bytes, four a character, so no cut walks the line.
+    Where segments begin is computed in steps of their own, which keeps the
+    method that Spark generates for the keys below the size the JVM compiles.
+    """
     most = len(lengths(edits))
-    of = {k: _moves(k) for k in range(1, most + 1)}
-    keys = []
-    for shorter, number, move in sorted(set().union(*of.values())):
-        k = allowed(length - shorter, edits)
-        start, size = segment(length - shorter, number, k + 1)
-        at = start + move
-        fits = k.isin([x for x in of if (shorter, number, move) in of[x]]) & (at >= 1) & (at + size - 1 <= length)
-        keys.append(F.struct(F.lit(shorter).alias("shorter"), F.when(
-            fits, _key(length - shorter, number, F.substring(line, at, size))).alias("key")))
-    return F.array(*keys)
+    n, shorter = F.col("n"), range(most + 1)
+    out = rows.select("*", F.encode("line", "UTF-32").alias("_units"), *((n - s).alias(f"_n{s}") for s in shorter),
+                      *((allowed(n - s, edits) + 1).alias(f"_parts{s}") for s in shorter))
+    out = out.select("*", *((F.col(f"_n{s}") % F.col(f"_parts{s}")).alias(f"_rest{s}") for s in shorter))
+    out = out.select("*", *(((F.col(f"_n{s}") - F.col(f"_rest{s}")) / F.col(f"_parts{s}")).cast("int").alias(f"_base{s}") for s in shorter))
+    # 1-based starts of the segments, the longer ones last; number parts + 1 ends the line
+    out = out.select("*", *(
+        (F.col(f"_base{s}") * j + F.greatest(F.lit(0), F.col(f"_rest{s}") - F.col(f"_parts{s}") + j) + 1).alias(f"_start{s}_{j + 1}")
+        for s in shorter for j in range(most + 2)))
+
+    def key(s, number, move, k):
+        start, end = F.col(f"_start{s}_{number}"), F.col(f"_start{s}_{number + 1}")
+        piece = F.substring("_units", (start + move) * 4 - 3, (end - start) * 4)
+        return F.when(F.col(f"_parts{s}") > k, F.xxhash64(F.col(f"_n{s}"), F.lit(number), piece))
+
+    return out.select(*rows.columns, F.array(*(key(0, j, 0, max(1, j - 1)) for j in range(1, most + 2))).alias("own"),
+                      F.array(*(key(*move, k) for move, k in _all_moves(edits).items())).alias("probes"))
 
 
 def letter_counts(line: Column, length: Column, letters: str) -> Column:
@@ -188,30 +188,31 @@ def edit_distance(shorter: Column, longer: Column, edits: int) -> Column:
         e["low"] - F.bit_count(e["up"].bitwiseAND(below)) + F.bit_count(e["down"].bitwiseAND(below))).cast("int"))
 
 
-def _exploded(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Index rows `(key, a)` and probe rows `(key, shorter, b)` of lines with
-    their arrays `own` and `probes`; other columns go along on either side."""
+def _exploded(lines: DataFrame, edits: Edits) -> tuple[DataFrame, DataFrame]:
+    """Index rows `(key, a)` and probe rows `(key, even, b)` of lines with
+    their arrays `own` and `probes`; other columns go along on either side.
+    `even`: the key is that of a line of equal length."""
+    even = sum(shorter == 0 for shorter, _, _ in _all_moves(edits))
     rest = [c for c in lines.columns if c not in ("own", "probes", "line_id", "place")]
     index = lines.select(F.explode("own").alias("key"), F.col("line_id").alias("a"), *(F.col(c).alias(f"a_{c}") for c in rest)).where("key IS NOT NULL")
-    probes = lines.select("line_id", *rest, F.explode("probes").alias("p")).where("p.key IS NOT NULL").select(
-        F.col("p.key").alias("key"), F.col("p.shorter").alias("shorter"), F.col("line_id").alias("b"),
+    probes = lines.select("line_id", *rest, F.posexplode("probes").alias("at", "key")).where("key IS NOT NULL").select(
+        "key", (F.col("at") < even).alias("even"), F.col("line_id").alias("b"),
         *(F.col(c).alias(f"b_{c}") for c in rest))
     return index, probes
 
 
 def classes(docs: DataFrame, edits: Edits, min_chars: int) -> DataFrame:
     """One row per different line: `line_id`, its place and its keys."""
-    line, n = F.col("line"), F.col("n")
-    rows = line_rows(docs, min_chars).select(
+    rows = with_keys(line_rows(docs, min_chars), edits).select(
         F.xxhash64("line").alias("line_id"), F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no").alias("place"),
-        index_keys(line, n, edits).alias("own"), probe_keys(line, n, edits).alias("probes"))
+        "own", "probes")
     return rows.groupBy("line_id").agg(F.min("place").alias("place"), F.first("own").alias("own"), F.first("probes").alias("probes"))
 
 
-def sharing(lines: DataFrame) -> DataFrame:
+def sharing(lines: DataFrame, edits: Edits) -> DataFrame:
     """Ids of the lines that share a key with a different line: semi joins,
     which stop at the first partner however many a hot key has."""
-    index, probes = _exploded(lines.select("line_id", "own", "probes"))
+    index, probes = _exploded(lines.select("line_id", "own", "probes"), edits)
     other = F.col("a") != F.col("b")
     hit = index.hint("merge").join(probes, (index["key"] == probes["key"]) & other, "left_semi").select(F.col("a").alias("line_id"))
     hit_by = probes.hint("merge").join(index, (index["key"] == probes["key"]) & other, "left_semi").select(F.col("b").alias("line_id"))
@@ -221,11 +222,12 @@ def sharing(lines: DataFrame) -> DataFrame:
 def edit_join(texts: DataFrame, edits: Edits) -> DataFrame:
     """`texts (line_id, line)`, distinct -> `(a, b, distance)`, each pair of
     lines within the allowed edits once, `a` not longer than `b`."""
-    line, n = F.col("line"), F.char_length("line")
-    keyed = cut(texts.select("line_id", letter_counts(line, n, LETTERS[0]).alias("counts"), letter_counts(line, n, LETTERS[1]).alias("more"), allowed(n, edits).alias("k"), index_keys(line, n, edits).alias("own"),
-                             probe_keys(line, n, edits).alias("probes")), "line-keys")
-    index, probes = _exploded(keyed)
-    meet = F.expr(f"a <> b AND (shorter > 0 OR a < b) AND {count_distance('a_counts', 'b_counts')} <= 2 * a_k "
+    line, n = F.col("line"), F.col("n")
+    keyed = cut(with_keys(texts.select("line_id", "line", F.char_length("line").alias("n")), edits).select(
+        "line_id", letter_counts(line, n, LETTERS[0]).alias("counts"), letter_counts(line, n, LETTERS[1]).alias("more"),
+        allowed(n, edits).alias("k"), "own", "probes"), "line-keys")
+    index, probes = _exploded(keyed, edits)
+    meet = F.expr(f"a <> b AND (NOT even OR a < b) AND {count_distance('a_counts', 'b_counts')} <= 2 * a_k "
                   f"AND {count_distance('a_counts', 'b_counts')} + {count_distance('a_more', 'b_more')} <= 2 * a_k")
     pairs = cut(index.hint("merge").join(probes, "key").where(meet).select("a", "b").distinct(), "line-pairs")
     side = lambda name, to: texts.select(F.col("line_id").alias(name), F.col("line").alias(to))
@@ -244,7 +246,7 @@ def link_lines(docs: DataFrame, edits: Edits = EDITS, min_chars: int = 1, broadc
     and shuffled beyond that.
     """
     lines = cut(classes(docs, edits, min_chars), "line-classes")
-    wanted = cut(sharing(lines), "lines-wanted")
+    wanted = cut(sharing(lines, edits), "lines-wanted")
     few = wanted.count() <= broadcast_rows
     texts = (line_rows(docs, min_chars).select(F.xxhash64("line").alias("line_id"), "line")
              .join(F.broadcast(wanted) if few else wanted, "line_id", "left_semi"))
