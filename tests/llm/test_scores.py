@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -10,6 +11,7 @@ from towertrace.llm.gru import Network, Words
 from towertrace.llm.labelled import held_out, training_rows
 from towertrace.llm.queries import op9_toxicity, op10_quality
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -154,3 +156,32 @@ def test_scores_equal_a_plain_network():
     texts = [None, "", "1 2", "Word", "a  b\nC!", *(" ".join(rnd.choices(some, k=n)) for n in (3, 47, 48, 49, 79, 80, 81, 200))]
     assert np.allclose(model.scores(texts), [plain_score(model, t) for t in texts], atol=2e-5)
     assert np.allclose(model.scores(texts[::-1])[::-1], model.scores(texts), atol=1e-6)
+
+
+def test_scoring_holds_one_word_table_and_no_pandas():
+    import subprocess
+    import sys
+
+    table = T.WordTable(Network(size=5, states=4, seed=3), most=40)
+    held = table.gates
+    words = [f"w{i}" for i in range(90)]
+    for at in range(0, 90, 9):  # 9, 18, ... 45 words, then emptied
+        rows = table.rows([words[at : at + 9], words[at : at + 3]])
+        assert rows[1].tolist() == rows[0][:3].tolist()
+        assert np.array_equal(table.gates[rows[0]], table.network.projected(Words(words[at : at + 9])))
+        assert at > 27 or table.gates is held
+    more = table.rows([words])[0]
+    assert np.array_equal(table.gates[more], table.network.projected(Words(words)))
+    code = "import sys, towertrace.llm.toxicity; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=ROOT).returncode == 0
+
+
+def test_scores_do_not_depend_on_the_batch(spark, monkeypatch):
+    model = T.Model(Network(size=5, states=4, seed=3), 1.7, -0.2, -2.5)
+    rows = [(i, None if i % 50 == 7 else " ".join(["word", "other", f"x{i}"] * (i % 40)), "l", "s", None) for i in range(300)]
+    rows.append((300, "word other " * 200_000, "l", "s", None))
+    monkeypatch.setattr(T, "MOST_AT_ONCE", 1 << 12)
+    got = {r.doc_id: r.score for r in T.scored(spark.createDataFrame(rows, DOCS).coalesce(1), model, "score").collect()}
+    assert len(got) == 301
+    assert np.allclose([got[i] for i, *_ in rows[:300]], model.scores([t for _, t, *_ in rows[:300]]), atol=1e-5)
+    assert abs(got[300] - model.scores([rows[300][1]])[0]) < 1e-5

@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,31 +38,34 @@ WINDOW, STRIDE = 48, 32
 #: Bounds of the training sample, in labelled rows.
 MOST_TOXIC, MOST_CLEAN = 1000, 1500
 THRESHOLD = 0.7
+#: Bytes of text that a task takes out of an Arrow batch at once, if more than one.
+MOST_AT_ONCE = 4 << 20
 
 words_of = re.compile(r"[^\W\d_]+").findall
 
 
 class WordTable:
     """Numbers words as they come and keeps their gate inputs; emptied
-    between batches when it holds over `most` words."""
+    between batches when it holds over `most` words.  Rows of `gates` beyond
+    the words held are unused memory that was never touched."""
 
     def __init__(self, network: Network, most: int = 150_000):
         self.network, self.most = network, most
-        self.clear()
-
-    def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.gates = np.empty((0, 6 * self.network.states), np.float32)
+        self.gates = np.empty((most, 6 * network.states), np.float32)
 
     def rows(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Row numbers of each text's words in `gates`."""
         if len(self.number) > self.most:
-            self.clear()
+            self.number.clear()
         number = self.number
         fresh = list(dict.fromkeys(w for words in texts for w in words if w not in number))
         if fresh:
-            number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
-            self.gates = np.concatenate([self.gates, self.network.projected(Words(fresh))])
+            first, end = len(number), len(number) + len(fresh)
+            number.update(zip(fresh, range(first, end)))
+            if end > len(self.gates):
+                self.gates = np.concatenate([self.gates[:first], np.empty((end - first, self.gates.shape[1]), np.float32)])
+            self.gates[first:end] = self.network.projected(Words(fresh))
         return [np.fromiter(map(number.__getitem__, words), np.int64, len(words)) for words in texts]
 
 
@@ -233,13 +236,17 @@ def scored(docs: DataFrame, model: Model | None, column: str = "__score") -> Dat
     if model is None:
         return docs.withColumn(column, F.lit(0.0))
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            out = np.empty(len(part))
-            for at in range(0, len(part), 128):
-                out[at : at + 128] = model.scores(part.iloc[at : at + 128].tolist())
-            yield pd.Series(out)
+            out, at = np.empty(len(part)), 0
+            while at < len(part):
+                few = part.slice(at, 128)
+                if few.nbytes > MOST_AT_ONCE:
+                    few = few.slice(0, max(1, len(few) * MOST_AT_ONCE // few.nbytes))
+                out[at : at + len(few)] = model.scores(few.to_pylist())
+                at += len(few)
+            yield pa.array(out)
 
     return docs.withColumn(column, score("text"))
 
