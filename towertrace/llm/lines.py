@@ -209,10 +209,15 @@ def classes(docs: DataFrame, edits: Edits, min_chars: int) -> DataFrame:
     return rows.groupBy("line_id").agg(F.min("place").alias("place"), F.first("own").alias("own"), F.first("probes").alias("probes"))
 
 
-def sharing(lines: DataFrame, edits: Edits) -> DataFrame:
+def sharing(lines: DataFrame) -> DataFrame:
     """Ids of the lines that share a key with a different line: semi joins,
     which stop at the first partner however many a hot key has."""
-    index, probes = _exploded(lines.select("line_id", "own", "probes"), edits)
+    # as structs: Spark then sees that both joins read the same exchanges
+    def side(keys, name):
+        return (lines.select("line_id", F.explode(F.arrays_zip(F.col(keys).alias("key"))).alias("p")).where("p.key IS NOT NULL")
+                .select(F.col("p.key").alias("key"), F.col("line_id").alias(name)))
+
+    index, probes = side("own", "a"), side("probes", "b")
     other = F.col("a") != F.col("b")
     hit = index.hint("merge").join(probes, (index["key"] == probes["key"]) & other, "left_semi").select(F.col("a").alias("line_id"))
     hit_by = probes.hint("merge").join(index, (index["key"] == probes["key"]) & other, "left_semi").select(F.col("b").alias("line_id"))
@@ -246,7 +251,7 @@ def link_lines(docs: DataFrame, edits: Edits = EDITS, min_chars: int = 1, broadc
     and shuffled beyond that.
     """
     lines = cut(classes(docs, edits, min_chars), "line-classes")
-    wanted = cut(sharing(lines, edits), "lines-wanted")
+    wanted = cut(sharing(lines), "lines-wanted")
     few = wanted.count() <= broadcast_rows
     texts = (line_rows(docs, min_chars).select(F.xxhash64("line").alias("line_id"), "line")
              .join(F.broadcast(wanted) if few else wanted, "line_id", "left_semi"))
