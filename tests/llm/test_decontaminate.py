@@ -106,3 +106,40 @@ def test_one_substitution_in_short_items_and_two_in_ten(spark):
             rows.append((len(rows), " ".join(["a", *part, "b"]), n))
     found = D.find_overlaps(docs(spark, [r[:2] for r in rows]), items(spark, bench), short_gaps=True).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(d, n) for d, _, n in rows}
+
+
+def test_passages_across_pieces_equal_brute_force(spark):
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(12)]
+    bench = [(i, " ".join(rnd.choices(vocab, k=n))) for i, n in enumerate((5, 8, 9, 12, 20, 33))]
+    rows = [(d, " ".join(rnd.choices(vocab, k=d % 50) + words(rnd.choice(bench)[1]) + rnd.choices(vocab, k=d % 7)))
+            for d in range(60)]
+    want = brute(rows, bench)
+    assert want
+    whole = {(r.doc_id, r.item_id): r for r in D.find_overlaps(docs(spark, rows), items(spark, bench), piece=1000).collect()}
+    assert {k: r.similarity for k, r in whole.items()} == want
+    for piece in (1, 7):
+        assert {(r.doc_id, r.item_id): r for r in D.find_overlaps(docs(spark, rows), items(spark, bench), piece=piece).collect()} == whole
+
+
+def test_long_document_with_many_passages(spark):
+    """Its 80,000 tokens are not carried with each of its some 2,000 hits."""
+    bench = [(i, " ".join(f"i{i}t{k}" for k in range(30))) for i in range(20)]
+    parts = []
+    for _, item in bench:
+        parts += [f"u{len(parts)}x{k}" for k in range(4000)] + [item]
+    found = D.find_overlaps(docs(spark, [(1, " ".join(parts))]), items(spark, bench)).collect()
+    assert sorted((r.item_id, r.similarity, r.first_token) for r in found) == [
+        (i, 1.0, 4000 * (i + 1) + 30 * i) for i in range(20)]
+
+
+def test_one_text_under_many_ids_and_two_texts_under_one(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(25)) for c in "ab")
+    bench = [(i, one) for i in range(40)] + [(None, one), (7, two), (99, two)]
+    df = docs(spark, [(1, f"x {one} y"), (2, f"{two} x x {one}"), (3, f"{two} z")])
+    for limit in (1_000_000, 20):
+        found = D.find_overlaps(df, items(spark, bench), broadcast_rows=limit)
+        got = sorted((r.doc_id, -1 if r.item_id is None else r.item_id, r.first_token) for r in found.collect())
+        ids = [-1, *range(40)]
+        assert got == sorted([(1, i, 1) for i in ids] + [(2, i, 0 if i == 7 else 27) for i in ids] + [(2, 99, 0)]
+                             + [(3, 7, 0), (3, 99, 0)])
