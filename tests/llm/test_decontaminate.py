@@ -143,3 +143,20 @@ def test_one_text_under_many_ids_and_two_texts_under_one(spark):
         ids = [-1, *range(40)]
         assert got == sorted([(1, i, 1) for i in ids] + [(2, i, 0 if i == 7 else 27) for i in ids] + [(2, 99, 0)]
                              + [(3, 7, 0), (3, 99, 0)])
+
+
+def test_ids_found_are_broadcast_up_to_a_row_count(spark):
+    """By their count, not by the size of the file: the documents' texts are
+    not shuffled and sorted for a few ids."""
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    df = docs(spark, [(d, f"{d} {item}" if d % 3 else f"nothing {d}") for d in range(30)] + [(None, "none")])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, join in ((1_000_000, "BroadcastHashJoin"), (19, "SortMergeJoin")):
+            kept = D.drop_contaminated(df, items(spark, [(1, item)]), broadcast_rows=limit)
+            plan = kept._jdf.queryExecution().sparkPlan().toString()
+            assert join in plan, plan
+            assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == [-1, *range(0, 30, 3)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -189,8 +189,10 @@ def _verified(window: int) -> tuple[Column, Column]:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 20, similarity: float = 0.8,
                       min_tokens: int = 5, broadcast_rows: int = 1_000_000, short_gaps: bool = False,
                       piece: int = 128) -> DataFrame:
-    """The documents in which no benchmark item is found, columns unchanged."""
+    """The documents in which no benchmark item is found, columns unchanged.
+    The ids found are broadcast up to `broadcast_rows` rows."""
     found, _ = _found(docs, _items(benchmark, min_tokens), window, similarity, min_tokens,
                       broadcast_rows, short_gaps, piece)
     gone = cut(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    few = gone.count() <= broadcast_rows
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["doc_id"], "left_anti")
